@@ -1,0 +1,54 @@
+"""Compares a query with its SQL in DuckDB: columns, types and all values, in any order."""
+
+import math
+import os
+from decimal import Decimal
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+          "labels conversations").split()
+
+
+def connect(folder):
+    connection = duckdb.connect()
+    for table in TABLES:
+        path = os.path.join(folder, f"{table}.parquet")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def _comparable(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    if isinstance(value, Decimal):
+        return str(value)
+    return value if value is None or isinstance(value, (bool, int, str)) else str(value)
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(
+        (tuple(_comparable(row[i]) for i in order) for row in rows),
+        key=lambda row: [(value is None, str(value)) for value in row],
+    )
+
+
+def differences(spark_df, connection, sql):
+    """A list of differences, empty if the results agree."""
+    result = connection.execute(sql)
+    names = [d[0] for d in result.description]
+    expected = result.fetchall()
+    actual = spark_df.collect()
+    found = []
+    if sorted(names) != sorted(spark_df.columns):
+        found.append(f"columns {sorted(spark_df.columns)} instead of {sorted(names)}")
+        return found
+    if len(expected) != len(actual):
+        found.append(f"{len(actual)} rows instead of {len(expected)}")
+    left, right = _rows(spark_df.columns, actual), _rows(names, expected)
+    for a, b in zip(left, right):
+        if a != b or [type(x) for x in a] != [type(x) for x in b]:
+            found.append(f"{a!r:.500} instead of {b!r:.500}")
+            break
+    return found
