@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -13,7 +14,7 @@ from sluice.operators.rejects import CheckedRows, count_columns, validate
 from sluice.plans.spec import LoadSpec
 from sluice.sources.workspace import materialize
 
-ABORT_MARK = "load aborted, row rejected: "
+ABORT_MARK, ABORT_END = "row rejected: ", " -- load aborted"
 _TIE = "__load_arrival"
 
 
@@ -87,7 +88,7 @@ def cluster(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
 
 def abort_on_reject(rows: CheckedRows) -> DataFrame:
     """The checked rows; the first bad one a task meets fails the job with its reason."""
-    failure = F.raise_error(F.concat(F.lit(ABORT_MARK), rows.reason)).cast("boolean")
+    failure = F.raise_error(F.concat(F.lit(ABORT_MARK), rows.reason, F.lit(ABORT_END))).cast("boolean")
     return rows.checked.where(F.when(rows.is_bad, failure).otherwise(F.lit(True)))
 
 
@@ -146,10 +147,11 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | None = None,
     try:
         target.write(counted.loaded)
     except Exception as error:
-        if ABORT_MARK not in str(error):
+        found = re.search(re.escape(ABORT_MARK) + "(.*?)" + re.escape(ABORT_END), str(error))
+        if not found:
             raise
         _write_reject_logs(df, spec, None, log_mode)
-        reason = str(error).split(ABORT_MARK, 1)[1].splitlines()[0]
+        reason = found[1]
         raise LoadAborted(f"a row was rejected ({reason}); nothing was loaded", reason) from error
 
     report = LoadReport.of(metrics.get)

@@ -40,11 +40,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str):
+    """Register a query under its function's name, without a trailing underscore."""
+
     def register(run):
-        QUERIES[run.__name__] = run
-        if sql is not None:
-            ORACLES[run.__name__] = sql
+        name = run.__name__.rstrip("_")
+        QUERIES[name] = run
+        ORACLES[name] = sql
         return run
 
     return register
@@ -92,13 +94,13 @@ CUSTOMER_COLUMNS = (
 
 @query("SELECT c_custkey AS id, c_name AS full_name, c_nationkey AS nation, c_acctbal AS balance, "
        "c_mktsegment AS segment FROM customer")
-def mapping_by_position(spark, folder):
+def map_by_position_(spark, folder):
     return map_by_position(table(spark, folder, "customer"), CUSTOMER_COLUMNS)
 
 
 @query("SELECT l_orderkey AS order_id, l_extendedprice AS price, l_extendedprice AS list_price, "
        "l_returnflag AS flag FROM lineitem")
-def mapping_by_name(spark, folder):
+def map_by_name_(spark, folder):
     columns = (Col("order_id", "INTEGER"), Col("price", "FLOAT"), Col("list_price", "FLOAT"), Col("flag", "CHAR", 1),
                Col("not_mapped", "DATE"))
     pairs = [("l_orderkey", "order_id"), ("l_extendedprice", "price"), ("l_extendedprice", "list_price"),
@@ -426,7 +428,7 @@ def sql_null_bits(start: int, end: int) -> str:
 
 @query(f"SELECT l_orderkey, lpad(to_hex({sql_null_bits(0, 8)}), 2, '0') || lpad(to_hex({sql_null_bits(8, 9)}), 2, '0') "
        "AS flags FROM lineitem")
-def null_bitmap(spark, folder):
+def null_flags_(spark, folder):
     values = [F.expr(f"nullif({c}, {NULL_VALUES[c]})") for c in NULLED]
     return table(spark, folder, "lineitem").select("l_orderkey", F.hex(null_flags(values)).alias("flags"))
 
@@ -499,7 +501,7 @@ def load_clustered(spark, folder):
 
 @query("SELECT c_custkey AS id, c_name AS full_name, CAST(c_nationkey AS BIGINT) AS nation, "
        "CAST(NULL AS VARCHAR) AS note FROM customer")
-def load_created_table(spark, folder):
+def create_target_(spark, folder):
     out = new_folder(spark, "created")
     name = "created_" + out.rsplit("-", 1)[1]
     columns = (Col("id", "INTEGER"), Col("full_name", "VARCHAR", 25), Col("nation", "INTEGER"), Col("note", "VARCHAR", 9))
@@ -604,7 +606,7 @@ def _stream_events(spark, folder, out):
 
 @query("SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS happened, event_type AS kind, "
        "CAST(CAST(\"value\" AS DECIMAL(9,2)) AS VARCHAR) AS \"value\" FROM events WHERE octet_length(encode(event_type)) <= 6")
-def stream_load_accepted(spark, folder):
+def stream_load_(spark, folder):
     out = new_folder(spark, "stream")
     _stream_events(spark, folder, out)
     return spark.read.parquet(f"{out}/target").select(
@@ -615,7 +617,7 @@ def stream_load_accepted(spark, folder):
 
 @query("SELECT event_id, 'kind: longer than 6 bytes' AS reject_reason FROM events "
        "WHERE octet_length(encode(event_type)) > 6")
-def stream_load_rejected(spark, folder):
+def stream_load_rejects(spark, folder):
     out = new_folder(spark, "stream")
     _stream_events(spark, folder, out)
     return spark.read.parquet(f"{out}/rejected").select("event_id", "reject_reason")
@@ -624,7 +626,7 @@ def stream_load_rejected(spark, folder):
 # F. steps around a load
 
 @query("SELECT row_number() OVER () - 1 AS id FROM lineitem")
-def generated_rows(spark, folder):
+def generate_rows_(spark, folder):
     return generate_rows(spark, table(spark, folder, "lineitem").count())
 
 
@@ -673,7 +675,7 @@ def sequence_hot_keys(spark, folder):
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '\\.' ELSE o_orderpriority END AS o_orderpriority FROM orders")
-def route_and_merge(spark, folder):
+def route_merge_(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     status = F.expr("nullif(o_orderstatus, 'F')")  # an unknown status takes the other branch
     merged = route_merge(orders, status == "P", lambda met: replace_formula(met, "o_orderpriority", r"r'\.'"))
@@ -688,7 +690,7 @@ def route_false_branch(spark, folder):
 
 @query("SELECT p_partkey, upper(p_name) AS p_name, CASE WHEN p_size > 25 THEN CAST(p_size * 2 AS BIGINT) ELSE "
        "CAST(p_size AS BIGINT) END AS p_size FROM part")
-def replace_formulas(spark, folder):
+def replace_formula_(spark, folder):
     parts = replace_formula(table(spark, folder, "part"), "p_name", "upper(p_name)")
     return replace_where(parts, F.col("p_size") > 25, {"p_size": "p_size * 2"}).select(
         "p_partkey", "p_name", F.col("p_size").cast("bigint").alias("p_size")
