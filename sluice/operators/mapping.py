@@ -46,7 +46,7 @@ def resolve_mapping(schema: T.StructType, spec: LoadSpec) -> list[MappedField]:
     for stream_name, target_name in spec.fields:
         source = find_field(schema, stream_name)
         if source is None:
-            raise LoadPlanError(f"field [{stream_name}] is required and is not in the stream")
+            raise LoadPlanError(f"column {target_name} is fed by field [{stream_name}], which the stream does not have")
         target = spec.column(target_name)
         if target is None:
             raise LoadPlanError(f"column [{target_name}] is not in the target table")

@@ -117,10 +117,9 @@ class CheckedRows:
     def exceptions(self) -> DataFrame:
         """One row per bad row: which column failed, on what value and why."""
         zone = self.spec.time_zone
-        value = F.lit(None).cast("string")
-        for i, m in reversed(list(enumerate(self.mapped))):
-            shown = show_value(column(m.source.name), m.source.dataType, zone)
-            value = F.when(F.col(REJECT_INDEX) == i, shown).otherwise(value)
+        value = F
+        for i, m in enumerate(self.mapped):  # one flat CASE, however many columns
+            value = value.when(F.col(REJECT_INDEX) == i, show_value(column(m.source.name), m.source.dataType, zone))
         return self.checked.where(self.is_bad).select(
             F.current_timestamp().alias("rejected_at"),
             self._pick([m.target.name for m in self.mapped]).alias("column"),

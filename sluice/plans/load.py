@@ -9,12 +9,15 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from sluice.errors import LoadAborted, LoadPlanError
+from sluice.functions.conform import conform
 from sluice.operators.mapping import column, resolve_mapping
 from sluice.operators.rejects import CheckedRows, count_columns, validate
 from sluice.plans.spec import LoadSpec
+from sluice.sources.target import create_target
 from sluice.sources.workspace import materialize
 
 ABORT_MARK, ABORT_END = "row rejected: ", " -- load aborted"
+AUTO = "auto"
 _TIE = "__load_arrival"
 
 
@@ -41,8 +44,6 @@ class Remark:
 
 def check_load(schema: T.StructType, spec: LoadSpec) -> list[Remark]:
     """What is wrong or noteworthy about loading a stream of this schema. Runs no job."""
-    from sluice.functions.conform import conform
-
     try:
         mapped = resolve_mapping(schema, spec)
     except LoadPlanError as error:
@@ -114,23 +115,34 @@ def _write_reject_logs(df: DataFrame, spec: LoadSpec, expected: int | None, mode
         )
 
 
-def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | None = None, cluster_by=(),
-         stage: bool = False, log_mode: str = "append") -> LoadReport:
+def spread(df: DataFrame, parallelism: int | str | None) -> DataFrame:
+    """Rows in turn to so many tasks; ``"auto"`` lets adaptive execution pick tasks of even size."""
+    if parallelism == AUTO:
+        return df.hint("rebalance")
+    return df.repartition(parallelism) if parallelism else df
+
+
+def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None = None, cluster_by=(),
+         stage: bool = False, create: bool = False, log_mode: str = "append") -> LoadReport:
     """Load the rows that fit into ``target`` and log the others.
 
     One pass over the input conforms, counts and writes. Rejects are written by a second pass, and only
     if there are any. With ``abort_on_error`` the first bad row fails the write before anything is
     published; the reject logs are still written, and LoadAborted is raised.
 
-    ``stage`` writes the input to the shared folder first, for input that is costly to compute or
-    differs between reads.
+    Rows are written where they are read, without a shuffle. ``parallelism`` (a number of tasks, or
+    ``"auto"`` for files of even size) spreads them first, which helps where a few input files hold most
+    rows; ``cluster_by`` sorts them into ranges of target columns. ``stage`` writes the input to the
+    shared folder first, for input that is costly to compute or differs between reads. ``create`` makes
+    the target table if it does not exist.
     """
     _require_loadable(df, spec)
+    if create:
+        create_target(df.sparkSession, target.table, spec.columns)
     if stage:
         df = materialize(df, "staged")
     # spread before conforming, so that the conversions run in all writing tasks too
-    spread = df.repartition(parallelism) if parallelism and not cluster_by else df
-    rows = validate(spread, spec, passthrough=False)
+    rows = validate(df if cluster_by else spread(df, parallelism), spec, passthrough=False)
 
     if spec.abort_on_error and not target.atomic:
         report = LoadReport.of(rows.counts().first().asDict())
@@ -140,7 +152,8 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | None = None,
 
     # counted in the task that writes, so that a lost executor's rerun is not counted twice
     metrics = Observation(f"load-{uuid4().hex}")
-    checked = cluster(rows.checked, [_loaded_column(rows, c) for c in cluster_by], parallelism)
+    ranges = None if parallelism == AUTO else parallelism
+    checked = cluster(rows.checked, [_loaded_column(rows, c) for c in cluster_by], ranges)
     counted = rows.with_checked(checked.observe(metrics, *count_columns()))
     if spec.abort_on_error:
         counted = counted.with_checked(abort_on_reject(counted))

@@ -526,17 +526,18 @@ def sql_row(columns: list[tuple[str | None, str, str]]) -> str:
     return f"concat({sql_little_endian(' + '.join(sizes), 4)}, {', '.join(flags)}, {', '.join(values)})"
 
 
-NATION_ROW = sql_row([
-    (None, sql_little_endian("n_nationkey"), "8"),
-    (None, sql_wire_text("n_name"), f"4 + {sql_bytes('n_name')}"),
-    (None, sql_little_endian("n_regionkey"), "8"),
+CUSTOMER_ROW = sql_row([
+    (None, sql_little_endian("c_custkey"), "8"),
+    (None, sql_wire_text("c_name"), f"4 + {sql_bytes('c_name')}"),
+    (None, sql_little_endian("c_nationkey"), "8"),
 ])
 
 
-@query(f"SELECT {NATION_ROW} AS row_hex FROM nation")
+@query(f"SELECT {CUSTOMER_ROW} AS row_hex FROM customer")
 def native_row_hex(spark, folder):
-    columns = (Col("id", "INTEGER"), Col("name", "VARCHAR", 25), Col("region", "INTEGER"))
-    loaded = validate(table(spark, folder, "nation"), LoadSpec(columns=columns), passthrough=False).loaded
+    columns = (Col("id", "INTEGER"), Col("name", "VARCHAR", 25), Col("nation", "INTEGER"))
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_nationkey")
+    loaded = validate(customers, LoadSpec(columns=columns), passthrough=False).loaded
     return encode_rows(loaded, columns).select(F.hex("row_bytes").alias("row_hex"))
 
 

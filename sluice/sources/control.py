@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sluice.errors import LoadPlanError
 from sluice.plans.spec import LoadSpec
-from sluice.sources.target import columns_from_table
+from sluice.sources.target import JdbcTarget, TableTarget, columns_from_table
 
 # The keys a control table may hold.
 SETTING_KEYS = (
@@ -69,3 +69,18 @@ def spec_from_control_table(control: DataFrame, load_id: str, columns=None) -> L
         stream_name=settings.get("STREAMNAME"),
         connection=settings.get("CONNECTIONNAME"),
     )
+
+
+def target_for(spec: LoadSpec, connections: dict[str, dict] | None = None):
+    """Where a load goes: the table of its named connection, or else the catalog table.
+
+    ``connections`` holds JDBC options by name, ``url`` among them.
+    """
+    if not spec.table:
+        raise LoadPlanError("no target table is named")
+    if spec.connection is None:
+        return TableTarget(spec.table)
+    options = dict((connections or {}).get(spec.connection, ()))
+    if "url" not in options:
+        raise LoadPlanError(f"connection {spec.connection} is not defined")
+    return JdbcTarget(options.pop("url"), spec.table, options)

@@ -25,8 +25,11 @@ INTEGER = TargetColumn("c", "INTEGER")
 
 
 def test_text_to_integer(spark):
-    values = ["124", "aa", "", " 12 ", "+5", "-7\n", "12.7", "1e3", "9223372036854775807", "9223372036854775808", "0x1", None]
-    assert converted(spark, values, TEXT, INTEGER) == [124, None, None, 12, 5, -7, None, None, 2**63 - 1, None, None, None]
+    values = ["124", "aa", "", " 12 ", "+5", "-7\n", "12.7", "1e3", "9223372036854775807", "9223372036854775808",
+              "-9223372036854775808", "-9223372036854775809", "0" * 50 + "9", "9" * 60, " " * 30 + "8", "0x1", None]
+    assert converted(spark, values, TEXT, INTEGER) == [
+        124, None, None, 12, 5, -7, None, None, 2**63 - 1, None, -2**63, None, 9, None, 8, None, None,
+    ]
 
 
 def test_double_to_integer(spark):
@@ -48,7 +51,8 @@ def test_narrow_integers_reject_instead_of_wrapping(spark, width, limit):
 
 def test_boolean(spark):
     target = TargetColumn("c", "BOOLEAN")
-    assert converted(spark, ["true", "N", "1", "maybe", None], TEXT, target) == [True, False, True, None, None]
+    assert converted(spark, ["true", "N", "1", " Yes\t", "maybe", "", None], TEXT, target) == \
+        [True, False, True, True, None, None, None]
     assert converted(spark, [0, 1, -3, None], LONG, target) == [False, True, True, None]
 
 
@@ -66,6 +70,22 @@ def test_numeric(spark):
         [Decimal("1000.00"), Decimal("-0.01"), None, None, None]
 
 
+def test_numeric_limits(spark):
+    target = TargetColumn("c", "NUMERIC", 5, 2)
+    edge = [999.99, 999.994, 999.995, 999.9999, 1000.0, -999.994, -999.995, float("nan"), float("-inf")]
+    fits = [Decimal("999.99"), Decimal("999.99"), None, None, None, Decimal("-999.99"), None, None, None]
+    assert converted(spark, edge, DOUBLE, target) == fits
+    decimals = [Decimal(v) for v in ("999.990", "999.994", "999.995", "1000.000", "-999.994", "-999.995")]
+    assert converted(spark, decimals, T.DecimalType(20, 3), target) == fits[:3] + fits[4:7]
+    assert converted(spark, [999, 1000, -999, -1000, None], LONG, target) == [Decimal(999), None, Decimal(-999), None, None]
+    wide = TargetColumn("c", "NUMERIC", 38, 0)
+    assert [v is None for v in converted(spark, [1e37, 9.9e37, 1.1e38, -1.1e38], DOUBLE, wide)] == [False, False, True, True]
+    assert converted(spark, [2**63 - 1, -2**63], LONG, wide) == [Decimal(2**63 - 1), Decimal(-2**63)]
+    huge = [Decimal("9" * 38), Decimal("-" + "9" * 38), None]
+    assert converted(spark, huge, T.DecimalType(38, 0), wide) == huge
+    assert converted(spark, huge, T.DecimalType(38, 0), TargetColumn("c", "NUMERIC", 38, 1)) == [None, None, None]
+
+
 def test_lengths_count_bytes(spark):
     assert converted(spark, ["abc", "äb", "äbc", "abcd", "", None], TEXT, TargetColumn("c", "VARCHAR", 3)) == \
         ["abc", "äb", None, None, "", None]

@@ -11,7 +11,7 @@ from sluice.errors import LoadAborted, LoadPlanError
 from sluice.operators.rejects import null_flags, passthrough, rejected_line, split_rejects, validate
 from sluice.plans.load import LoadReport, load
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
-from sluice.sources.target import JdbcTarget, PathTarget, TableTarget, columns_from_table, create_target
+from sluice.sources.target import JdbcTarget, PathTarget, TableTarget, columns_from_table
 from sluice.sources.workspace import materialize, new_folder, shared_root
 
 COLUMNS = (Col("text", "VARCHAR", 15), Col("number", "INTEGER"))
@@ -141,9 +141,10 @@ def test_load_into_a_table(spark, name):
 
 
 def test_create_and_load(spark, name):
-    create_target(spark, name, COLUMNS)
-    load(pairs(spark, [GOOD]), LoadSpec(COLUMNS, table=name), TableTarget(name))
-    assert spark.table(name).collect() == [("onetwothreefour", 124)]
+    for _ in range(2):
+        load(pairs(spark, [GOOD]), LoadSpec(COLUMNS, table=name), TableTarget(name), create=True)
+    assert spark.table(name).collect() == [("onetwothreefour", 124)] * 2
+    assert columns_from_table(spark, name) == COLUMNS
 
 
 def test_planning_errors_start_no_job(spark, tmp_path):
@@ -168,6 +169,13 @@ def test_parallel_load_spreads_rows_and_counts_once(spark, tmp_path):
     assert spark.read.parquet(out).agg(F.count_distinct("id")).first()[0] == 10000
 
 
+def test_even_files(spark, tmp_path):
+    out = str(tmp_path / "t")
+    columns = (Col("id", "INTEGER"),)
+    assert load(spark.range(0, 1000, 1, 50), LoadSpec(columns), PathTarget(out, columns), parallelism="auto").rows_read == 1000
+    assert len(data_files(out)) == 1 and spark.read.parquet(out).count() == 1000
+
+
 def test_clustered_load_splits_a_hot_key(spark, tmp_path):
     """One key holds all rows, and they are copies of each other."""
     out = str(tmp_path / "t")

@@ -7,8 +7,8 @@ from sluice.errors import LoadPlanError
 from sluice.operators.mapping import map_by_name, map_by_position, resolve_mapping
 from sluice.plans.load import check_load
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
-from sluice.sources.control import CONTROL_SCHEMA, spec_from_control_table
-from sluice.sources.target import columns_from_schema, columns_from_table, create_target
+from sluice.sources.control import CONTROL_SCHEMA, spec_from_control_table, target_for
+from sluice.sources.target import JdbcTarget, TableTarget, columns_from_schema, columns_from_table, create_target
 
 ABC = (Col("a", "INTEGER"), Col("b", "VARCHAR", 5), Col("c", "DATE"))
 
@@ -31,8 +31,8 @@ def test_by_name(stream):
 
 
 @pytest.mark.parametrize("pairs, message", [
-    ([("zero", "a")], r"field \[zero\] is required"),
-    ([(None, "a")], r"field \[None\] is required"),
+    ([("zero", "a")], r"fed by field \[zero\]"),
+    ([(None, "a")], r"fed by field \[None\]"),
     ([("one", "z")], r"column \[z\] is not in the target"),
     ([("one", "a"), ("two", "a")], "mapped twice"),
 ])
@@ -84,7 +84,7 @@ def test_control_table_defaults_and_uneven_lists(spark, stream):
     spec = spec_from_control_table(control(spark, entries), "l", columns)
     assert spec.abort_on_error is True
     assert [s for s, _ in spec.fields] == ["one", "one", "one", None, None]
-    with pytest.raises(LoadPlanError, match="required"):
+    with pytest.raises(LoadPlanError, match="does not have"):
         resolve_mapping(stream.schema, spec)
     assert spec_from_control_table(control(spark, [("DIRECT", None, "N")]), "l", columns).fields is None
 
@@ -122,3 +122,13 @@ def test_created_table_has_the_declared_types(spark, name):
 def test_nested_types_have_no_target_column(spark):
     with pytest.raises(LoadPlanError, match="not supported"):
         columns_from_schema(T.StructType([T.StructField("e", T.ArrayType(T.FloatType()))]))
+
+
+def test_targets_by_connection_name():
+    connections = {"c": {"url": "jdbc:x:y", "user": "u"}}
+    assert target_for(LoadSpec(ABC, table="t")) == TableTarget("t")
+    assert target_for(LoadSpec(ABC, table="t", connection="c"), connections) == JdbcTarget("jdbc:x:y", "t", {"user": "u"})
+    assert connections == {"c": {"url": "jdbc:x:y", "user": "u"}}
+    for spec in (LoadSpec(ABC), LoadSpec(ABC, table="t", connection="d")):
+        with pytest.raises(LoadPlanError):
+            target_for(spec, connections)
