@@ -96,6 +96,10 @@ class CheckedRows:
         """Good rows as target columns."""
         return self.checked.where(self.is_good).select(self.loaded_columns())
 
+    def bad_rows(self) -> DataFrame:
+        """Bad rows as far as the reject logs need them: source fields and the failing column."""
+        return self.checked.where(self.is_bad).select(*self._source_columns(), REJECT_INDEX)
+
     @property
     def all_rows(self) -> DataFrame:
         """Every source row with its reason."""

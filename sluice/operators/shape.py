@@ -12,10 +12,7 @@ from sluice.sources.target import LENGTH
 
 # Shapes of random fields.
 STRING_LENGTH = 13
-UUID_PATTERN = r"^(.{8})(.{4})(.{4})(.{4})(.{12})$"
-UUID_PARTS = "$1-$2-$3-$4-$5"
-UUID4_PATTERN = r"^(.{8})(.{4}).(.{3}).(.{3})(.{12})$"
-UUID4_PARTS = "$1-$2-4$3-8$4-$5"  # version 4, variant 8
+UUID_GROUPS = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))  # first digit and length of each group
 FRACTION_DIGITS = 13  # hex digits, 52 bits
 RANDOM_KINDS = ("random string", "random uuid", "random uuid4", "random integer", "random number")
 
@@ -41,10 +38,12 @@ def random_field(kind: str, key: Column, seed: str) -> Column:
     digest = _digest(key, seed)
     if kind == "random string":
         return F.substring(digest, 1, STRING_LENGTH)
-    if kind == "random uuid":
-        return F.regexp_replace(digest, UUID_PATTERN, UUID_PARTS)
-    if kind == "random uuid4":
-        return F.regexp_replace(digest, UUID4_PATTERN, UUID4_PARTS)
+    if kind in ("random uuid", "random uuid4"):
+        groups = [F.substring(digest, at, length) for at, length in UUID_GROUPS]
+        if kind == "random uuid4":  # version 4, variant 8
+            groups[2] = F.concat(F.lit("4"), F.substring(digest, 14, 3))
+            groups[3] = F.concat(F.lit("8"), F.substring(digest, 18, 3))
+        return F.concat_ws("-", *groups)
     if kind == "random integer":
         return _hex_number(F.substring(digest, 1, 8)) - F.lit(1 << 31)
     if kind == "random number":

@@ -6,12 +6,12 @@ import re
 from dataclasses import dataclass
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from sluice.errors import LoadAborted, LoadPlanError
-from sluice.functions.conform import conform
+from sluice.functions.conform import conform, to_text
 from sluice.operators.mapping import column, resolve_mapping
-from sluice.operators.rejects import CheckedRows, count_columns, validate
+from sluice.operators.rejects import NULL_TEXT, CheckedRows, count_columns, validate
 from sluice.plans.spec import LoadSpec
 from sluice.sources.target import create_target
 from sluice.sources.workspace import materialize
@@ -93,20 +93,30 @@ def abort_on_reject(rows: CheckedRows) -> DataFrame:
     return rows.checked.where(F.when(rows.is_bad, failure).otherwise(F.lit(True)))
 
 
+def log_entry(text: Column, zone: str) -> Column:
+    """One time-stamped entry of a text log."""
+    return F.concat_ws(" - ", to_text(F.col("rejected_at"), T.TimestampType(), zone), text)
+
+
 def _write_reject_logs(df: DataFrame, spec: LoadSpec, expected: int | None, mode: str) -> None:
     """Second pass over the input, taken only when rows were rejected and somebody wants to see them."""
     if not (spec.rejected_path or spec.exceptions_path):
         return
     rows = validate(df, spec, passthrough=True)
     seen = Observation(f"rejects-{uuid4().hex}")
-    bad = rows.checked.where(rows.is_bad).observe(seen, F.count(F.lit(1)).alias("rows"))
+    bad = rows.bad_rows().observe(seen, F.count(F.lit(1)).alias("rows"))
     if spec.rejected_path and spec.exceptions_path:
         bad = materialize(bad, "rejects")  # both logs come from one pass
     rows = rows.with_checked(bad)
+    rejected, exceptions = rows.rejected, rows.exceptions
+    if spec.log_format == "text":
+        rejected = rejected.select(log_entry(F.col("rejected_line"), spec.time_zone))
+        what = F.concat_ws(": ", "reason", F.coalesce("value", F.lit(NULL_TEXT)))
+        exceptions = exceptions.select(log_entry(what, spec.time_zone))
     if spec.rejected_path:
-        rows.rejected.write.mode(mode).parquet(spec.rejected_path)
+        rejected.write.format(spec.log_format).mode(mode).save(spec.rejected_path)
     if spec.exceptions_path:
-        rows.exceptions.write.mode(mode).parquet(spec.exceptions_path)
+        exceptions.write.format(spec.log_format).mode(mode).save(spec.exceptions_path)
     logged = seen.get["rows"]
     if expected is not None and logged != expected:
         raise RuntimeError(

@@ -21,6 +21,7 @@ TARGET_TYPES = (
 )
 
 DEFAULT_NUMERIC = (37, 15)
+LOG_FORMATS = ("parquet", "json", "text")
 INTEGER_SPARK_TYPES = {1: T.ByteType(), 2: T.ShortType(), 4: T.IntegerType(), 8: T.LongType()}
 
 
@@ -111,7 +112,8 @@ class LoadSpec:
     ``fields`` lists (stream field, target column) pairs; without it fields map by position.
     ``time_zone`` turns wall-clock input into instants and back; the session time zone is never used.
     ``precision`` is ``"millis"`` (sub-millisecond digits are dropped) or ``"micros"``.
-    Blank reject paths switch the corresponding log off.
+    Blank reject paths switch the corresponding log off; ``log_format`` is ``"parquet"``, ``"json"`` or
+    ``"text"`` (one time-stamped entry per rejected row).
     """
 
     columns: tuple[TargetColumn, ...]
@@ -120,6 +122,7 @@ class LoadSpec:
     abort_on_error: bool = True
     rejected_path: str | None = None
     exceptions_path: str | None = None
+    log_format: str = "parquet"
     stream_name: str | None = None
     connection: str | None = None
     time_zone: str = "UTC"
@@ -134,6 +137,8 @@ class LoadSpec:
             object.__setattr__(self, setting, value if value and value.strip() else None)
         if self.precision not in ("millis", "micros"):
             raise LoadPlanError(f"precision is 'millis' or 'micros', not {self.precision!r}")
+        if self.log_format not in LOG_FORMATS:
+            raise LoadPlanError(f"log_format is one of {', '.join(LOG_FORMATS)}, not {self.log_format!r}")
         names = [c.name.lower() for c in self.columns]
         repeated = sorted({n for n in names if names.count(n) > 1})
         if repeated:

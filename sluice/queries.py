@@ -229,7 +229,7 @@ FIRST_WORD = r"^\S*"
 @query("WITH w AS (SELECT doc_id, regexp_extract(text, '^\\S*') AS word FROM documents) "
        f"SELECT doc_id, CASE WHEN {sql_bytes('word')} <= 12 THEN "
        f"concat(word, repeat(' ', 12 - {sql_bytes('word')})) END AS padded, "
-       f"CASE WHEN {sql_bytes('word')} <= 12 THEN 12 END AS padded_bytes FROM w")
+       f"CASE WHEN {sql_bytes('word')} <= 12 THEN CAST(12 AS BIGINT) END AS padded_bytes FROM w")
 def conform_char(spark, folder):
     words = table(spark, folder, "documents").select("doc_id", F.regexp_extract("text", FIRST_WORD, 0).alias("word"))
     padded = words.select("doc_id", C.to_char(F.col("word"), TEXT, 12).alias("padded"))
@@ -589,7 +589,7 @@ def native_export(spark, folder):
     out = new_folder(spark, "native")
     report = load(native_lineitem(spark, folder), NATIVE_SPEC, NativeTarget(out, NATIVE_COLUMNS))
     return published_bytes(spark, out, len(NATIVE_COLUMNS)).select(
-        F.lit(report.rows_accepted).alias("rows_accepted"), "row_bytes"
+        F.lit(report.rows_accepted).cast("bigint").alias("rows_accepted"), "row_bytes"
     )
 
 

@@ -18,6 +18,12 @@ def connect(folder):
     return connection
 
 
+SPARK_TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean",
+    "TIMESTAMP": "timestamp_ntz", "DATE": "date",
+}
+
+
 def _comparable(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value)
@@ -36,6 +42,7 @@ def _rows(columns, rows):
 
 def differences(spark_df, connection, sql):
     """A list of differences, empty if the results agree."""
+    kinds = {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
     result = connection.execute(sql)
     names = [d[0] for d in result.description]
     expected = result.fetchall()
@@ -44,6 +51,9 @@ def differences(spark_df, connection, sql):
     if sorted(names) != sorted(spark_df.columns):
         found.append(f"columns {sorted(spark_df.columns)} instead of {sorted(names)}")
         return found
+    for name, kind in spark_df.dtypes:
+        if SPARK_TYPES.get(kinds[name]) != kind:
+            found.append(f"{name} is {kind} instead of {kinds[name]}")
     if len(expected) != len(actual):
         found.append(f"{len(actual)} rows instead of {len(expected)}")
     left, right = _rows(spark_df.columns, actual), _rows(names, expected)

@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 from datetime import timedelta
 
 import pytest
@@ -70,6 +71,19 @@ def test_logs_are_appended(spark, tmp_path):
     assert logged.count() == 2 and logged.where("rejected_at IS NULL").count() == 0
 
 
+def test_text_logs(spark, tmp_path):
+    rejected, exceptions = str(tmp_path / "r"), str(tmp_path / "e")
+    spec = LoadSpec(COLUMNS, abort_on_error=False, rejected_path=rejected, exceptions_path=exceptions, log_format="text")
+    load(pairs(spark, [BAD, GOOD, (None, "x")]), spec, PathTarget(str(tmp_path / "t"), COLUMNS))
+    stamp = r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d+)? - "
+    lines = sorted(re.sub(stamp, "", r[0]) for r in spark.read.text(rejected).collect())
+    assert lines == ["null | x", "onetwothreefour | onetwothreefour"]
+    lines = sorted(re.sub(stamp, "", r[0]) for r in spark.read.text(exceptions).collect())
+    assert lines == ["number: not a INTEGER: onetwothreefour", "number: not a INTEGER: x"]
+    with pytest.raises(LoadPlanError):
+        spec.with_options(log_format="xml")
+
+
 def test_exception_log_names_the_first_failing_column(spark):
     columns = (Col("a", "INTEGER"), Col("b", "VARCHAR", 2), Col("c", "NUMERIC", 3, 1))
     df = spark.createDataFrame([("x", "long", "y"), ("1", "long", "y"), ("1", "ok", "100"), (None, None, None)], "a string, b string, c string")
