@@ -19,7 +19,7 @@ from pyspark.sql import Column, functions as F
 
 from sluice.errors import LoadPlanError
 from sluice.functions import epoch
-from sluice.plans.spec import FLOAT_TYPES, INTEGER_TYPES, TargetColumn
+from sluice.plans.spec import INTEGER_TYPES, TargetColumn
 
 # Fixed values of the format.
 SIGNATURE = b"NATIVE\n\xff\r\n\x00"

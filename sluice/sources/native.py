@@ -38,6 +38,12 @@ def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return fs, inner.rstrip("/")
 
 
+def qualified(spark, path: str) -> str:
+    """A plain path is on the cluster's default file system, for Spark and so for us."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return path if "://" in path or path.startswith("file:") else default.rstrip("/") + path
+
+
 @dataclass
 class PartWritten(WriterCommitMessage):
     name: str | None
@@ -150,12 +156,13 @@ class NativeTarget:
     atomic = True
 
     def write(self, loaded: DataFrame) -> None:
-        loaded.sparkSession.dataSource.register(NativeSink)
+        spark = loaded.sparkSession
+        spark.dataSource.register(NativeSink)
         widths = _widths(loaded, self.columns)
         wire.file_header(widths)  # refuses too many columns before any job
         (
             wire_columns(loaded, self.columns).write.format(FORMAT).mode(self.mode)
-            .option("path", self.path).option("widths", json.dumps(widths)).save()
+            .option("path", qualified(spark, self.path)).option("widths", json.dumps(widths)).save()
         )
 
 

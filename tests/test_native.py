@@ -4,6 +4,7 @@ import os
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
@@ -13,6 +14,7 @@ from sluice.errors import LoadAborted, LoadPlanError
 from sluice.functions import wire
 from sluice.plans.load import load
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
+from sluice.sources import native
 from sluice.sources.native import NativeTarget, encode_rows, filesystem, published_bytes, read_manifests
 from tests.native_reader import read_rows
 
@@ -128,3 +130,40 @@ def test_sliced_and_chunked_batches(monkeypatch):
 def test_local_paths():
     for path in ("/a/b", "/a/b/", "file:/a/b", "file:///a/b"):
         assert filesystem(path)[1] == "/a/b"
+
+
+def test_repeated_and_lost_attempts(tmp_path, monkeypatch):
+    """Only the attempt the driver heard of is published; the others vanish with the staging folder."""
+    out = tmp_path / "out"
+    writer = native.NativeWriter(str(out), [8], overwrite=False)
+    batch = pa.RecordBatch.from_pydict({"k": [1, 2]})
+
+    def attempt(partition, number, batches):
+        context = SimpleNamespace(partitionId=lambda: partition, taskAttemptId=lambda: number)
+        monkeypatch.setattr(native, "TaskContext", SimpleNamespace(get=lambda: context))
+        return writer.write(iter(batches))
+
+    def dies():
+        yield batch
+        raise OSError("executor lost")
+
+    with pytest.raises(OSError):
+        attempt(0, 1, dies())
+    attempt(0, 2, [batch])  # finished, but its message never arrived
+    messages = [attempt(0, 3, [batch]), attempt(1, 4, []), attempt(2, 5, [batch, batch])]
+    assert parts(out) == [] and read_manifests(str(out)) == []
+    writer.commit(messages)
+    assert sorted(read_all(out, ["int"])) == [(1,)] * 3 + [(2,)] * 3
+    assert sorted(p.name[:4] for p in out.iterdir()) == ["_man", "part", "part"]
+
+    other = native.NativeWriter(str(out), [8], overwrite=True)
+    writer, message = other, None
+    message = attempt(0, 6, [batch])
+    other.abort([message])
+    assert sorted(p.name[:4] for p in out.iterdir()) == ["_man", "part", "part"]
+
+
+def test_plain_paths_follow_the_default_file_system(spark):
+    assert filesystem(native.qualified(spark, "/a/b"))[1] == "/a/b"
+    assert native.qualified(spark, "hdfs://h/a") == "hdfs://h/a"
+    assert filesystem("file:///a/b")[1] == "/a/b"
