@@ -28,7 +28,7 @@ def add_sequence(df: DataFrame, name: str, start: int = START, step: int = STEP,
                  order_by=(), partitions: int | None = None) -> DataFrame:
     """Number the rows ``start, start + step, ...`` in arrival order, or in the order of some columns.
 
-    Raises before any row is returned if the last number would pass ``maximum``.
+    Rows that tie in those columns get their numbers in no particular order. Raises before any row is returned if the last number would pass ``maximum``.
     """
     if step == 0:
         raise LoadPlanError("a sequence needs a step other than 0")

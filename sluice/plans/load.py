@@ -18,6 +18,7 @@ from sluice.sources.workspace import materialize
 
 ABORT_MARK, ABORT_END = "row rejected: ", " -- load aborted"
 AUTO = "auto"
+UNORDERED_STEPS = ("Exchange", "InMemoryTableScan", "ExistingRDD")
 _TIE = "__load_arrival"
 
 
@@ -73,16 +74,35 @@ def _require_loadable(df: DataFrame, spec: LoadSpec) -> None:
         raise LoadPlanError("; ".join(errors))
 
 
+def _content_hashes(df: DataFrame) -> list[Column]:
+    """Two independent hashes over all fields of a row."""
+    values = [column(f.name).cast("string") if "map<" in f.dataType.simpleString() else column(f.name) for f in df.schema]
+    return [F.xxhash64(*values), F.hash(*values)]
+
+
+def arrives_in_order(df: DataFrame) -> bool:
+    """Whether a task that is run again sees its rows in the same order, as it does when reading files.
+
+    After a shuffle, or from a cache or an RDD, rows may come in any order.
+    """
+    # one more column, as the statement's temporary view would otherwise take a cached input out of the cache
+    probe = df.withColumn(_TIE, F.lit(0))
+    plan = df.sparkSession.sql("EXPLAIN SELECT * FROM {rows}", rows=probe).first()[0]
+    return not any(step in plan for step in UNORDERED_STEPS)
+
+
 def cluster(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
     """Rows sorted into ranges of some columns; without columns they stay where they are.
 
-    Ties are split by arrival, so a key with very many rows, or copies of one row, spread over several
-    tasks.
+    Ties are numbered and split, so a key with very many rows, or copies of one row, spread over several
+    tasks. A task that is run again has to give every row the number it had, or rows would be lost or
+    doubled between two runs; input that may come in another order is sorted by content first.
     """
     if not columns:
         return df
     order = [column(c) for c in columns] + [F.col(_TIE)]
-    tied = df.withColumn(_TIE, F.monotonically_increasing_id())
+    steady = df if arrives_in_order(df) else df.sortWithinPartitions(*_content_hashes(df))
+    tied = steady.withColumn(_TIE, F.monotonically_increasing_id())
     ranged = tied.repartitionByRange(partitions, *order) if partitions else tied.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order).drop(_TIE)
 

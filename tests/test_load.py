@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.errors import LoadAborted, LoadPlanError
 from sluice.operators.rejects import null_flags, passthrough, rejected_line, split_rejects, validate
-from sluice.plans.load import LoadReport, load
+from sluice.plans.load import LoadReport, cluster, load
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
 from sluice.sources.target import JdbcTarget, PathTarget, TableTarget, columns_from_table
 from sluice.sources.workspace import materialize, new_folder, shared_root
@@ -214,6 +214,11 @@ def test_clustered_load_sorts(spark, tmp_path):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
+def test_clustering_rows_with_maps(spark):
+    df = spark.range(10).select("id", F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    assert sorted(r["m"]["a"] for r in cluster(df, ["id"], 3).collect()) == list(range(10))
+
+
 def test_input_that_changes_between_reads(spark, tmp_path):
     columns = (Col("v", "INTEGER"),)
     toss = F.udf(lambda: random.choice(["x", "1"]), "string").asNondeterministic()

@@ -7,7 +7,7 @@ from pyspark.sql import Observation
 
 from sluice.operators.rejects import count_columns, validate
 from sluice.operators.sequence import add_sequence
-from sluice.plans.load import abort_on_reject
+from sluice.plans.load import abort_on_reject, arrives_in_order, cluster
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
 from sluice.queries import LINEITEM_COLUMNS, NATIVE_COLUMNS, NATIVE_SPEC, native_lineitem
 from sluice.sources.native import encode_rows
@@ -65,6 +65,26 @@ def test_sequence_shuffles_counts_only(spark, plan):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 
+def test_files_are_clustered_without_another_sort(spark, plan):
+    assert arrives_in_order(customers(spark).where("c_custkey > 5"))
+    assert "xxhash64" not in plan(cluster(customers(spark), ["c_mktsegment"], 4))
+
+
+@pytest.mark.parametrize("shuffled", [
+    lambda df: df.repartition(3), lambda df: df.groupBy("c_mktsegment", "c_name").count(), lambda df: df.cache(),
+    lambda df: df.sparkSession.createDataFrame(df.limit(5).collect()),
+])
+def test_ties_after_a_shuffle_are_numbered_by_content(spark, plan, shuffled):
+    """Otherwise a map task that is run again could send rows to other ranges than before."""
+    df = shuffled(customers(spark))
+    assert not arrives_in_order(df)
+    text = plan(cluster(df, ["c_mktsegment"], 4))
+    assert 0 < text.index("xxhash64(") < text.index("monotonically_increasing_id()") < text.index("rangepartitioning(c_mktsegment")
+    if df.is_cached:
+        assert "InMemoryTableScan" in text
+        df.unpersist()
+
+
 def test_native_rows_leave_the_jvm_once(spark, plan):
     rows = validate(native_lineitem(spark, FOLDER), NATIVE_SPEC, passthrough=False)
     text = plan(encode_rows(rows.loaded, NATIVE_COLUMNS))
