@@ -1,14 +1,16 @@
 """Native binary datasets: one self-contained file per writing task.
 
-Tasks write below a staging folder of the run; the driver's commit moves whole files into place and
-writes a manifest last. A run without manifest is not published, and failed, repeated or lost task
-attempts leave nothing outside the staging folder, which commit and abort both remove.
+Tasks write below a staging folder that the driver makes for the run; the driver's commit moves whole
+files into place and writes a manifest last. A run without manifest is not published, and failed,
+repeated or lost task attempts leave nothing outside the staging folder, which commit and abort both
+remove. A task that outlives an aborted run finds no folder to write to.
 """
 
 from __future__ import annotations
 
 import json
 import posixpath
+import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from uuid import uuid4
@@ -26,6 +28,7 @@ STAGING = "_staging-"
 MANIFEST = "_manifest-"
 SUFFIX = ".bin"
 MOVERS = 32  # files the driver moves at a time
+REMOVALS = 50  # tries to remove a folder that tasks are still leaving
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -51,15 +54,34 @@ class PartWritten(WriterCommitMessage):
     bytes: int
 
 
+def staging_folder(path: str, run: str) -> tuple[pafs.FileSystem, str]:
+    fs, root = filesystem(path)
+    return fs, posixpath.join(root, STAGING + run)
+
+
+def make_staging(path: str, run: str) -> None:
+    fs, staging = staging_folder(path, run)
+    fs.create_dir(staging, recursive=True)
+
+
+def remove_staging(path: str, run: str) -> None:
+    fs, staging = staging_folder(path, run)
+    for _ in range(REMOVALS):
+        if fs.get_file_info(staging).type != pafs.FileType.Directory:
+            return
+        try:
+            fs.delete_dir(staging)
+        except OSError:  # a task added a file meanwhile
+            time.sleep(0.1)
+
+
 class NativeWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, widths: list[int], overwrite: bool):
-        self.path, self.widths, self.overwrite = path, widths, overwrite
-        self.run = uuid4().hex
+    def __init__(self, path: str, run: str, widths: list[int], overwrite: bool):
+        self.path, self.run, self.widths, self.overwrite = path, run, widths, overwrite
 
     def write(self, iterator):
         context = TaskContext.get()
-        fs, root = filesystem(self.path)
-        staging = posixpath.join(root, STAGING + self.run)
+        fs, staging = staging_folder(self.path, self.run)
         name = f"part-{context.partitionId():06d}-{self.run}{SUFFIX}"
         attempt = f"{name}.{context.taskAttemptId()}"
         rows = size = 0
@@ -68,7 +90,6 @@ class NativeWriter(DataSourceArrowWriter):
             for batch in iterator:
                 for piece in wire.slices(batch):
                     if out is None:  # tasks without rows leave no file
-                        fs.create_dir(staging, recursive=True)
                         out = fs.open_output_stream(posixpath.join(staging, attempt))
                         header = wire.file_header(self.widths)
                         out.write(header)
@@ -86,7 +107,6 @@ class NativeWriter(DataSourceArrowWriter):
         fs, root = filesystem(self.path)
         staging = posixpath.join(root, STAGING + self.run)
         parts = [m for m in messages if m is not None and m.name]
-        fs.create_dir(root, recursive=True)
         old = self._published(fs, root) if self.overwrite else []
 
         def publish(part):
@@ -105,15 +125,10 @@ class NativeWriter(DataSourceArrowWriter):
         fs.move(draft, posixpath.join(root, f"{MANIFEST}{self.run}.json"))
         for path in old:
             fs.delete_file(path)
-        self._remove_staging(fs, staging)
+        remove_staging(self.path, self.run)
 
     def abort(self, messages):
-        fs, root = filesystem(self.path)
-        self._remove_staging(fs, posixpath.join(root, STAGING + self.run))
-
-    def _remove_staging(self, fs, staging):
-        if fs.get_file_info(staging).type == pafs.FileType.Directory:
-            fs.delete_dir(staging)
+        remove_staging(self.path, self.run)
 
     def _published(self, fs, root):
         """Files of earlier runs, manifests first so that no manifest names a missing file."""
@@ -129,7 +144,7 @@ class NativeSink(DataSource):
         return FORMAT
 
     def writer(self, schema, overwrite):
-        return NativeWriter(self.options["path"], json.loads(self.options["widths"]), overwrite)
+        return NativeWriter(self.options["path"], self.options["run"], json.loads(self.options["widths"]), overwrite)
 
 
 def wire_columns(loaded: DataFrame, columns) -> DataFrame:
@@ -160,10 +175,15 @@ class NativeTarget:
         spark.dataSource.register(NativeSink)
         widths = _widths(loaded, self.columns)
         wire.file_header(widths)  # refuses too many columns before any job
-        (
-            wire_columns(loaded, self.columns).write.format(FORMAT).mode(self.mode)
-            .option("path", qualified(spark, self.path)).option("widths", json.dumps(widths)).save()
-        )
+        path, run = qualified(spark, self.path), uuid4().hex
+        make_staging(path, run)
+        try:
+            (
+                wire_columns(loaded, self.columns).write.format(FORMAT).mode(self.mode)
+                .option("path", path).option("run", run).option("widths", json.dumps(widths)).save()
+            )
+        finally:
+            remove_staging(path, run)
 
 
 def encode_rows(loaded: DataFrame, columns, name: str = "row_bytes") -> DataFrame:

@@ -94,7 +94,8 @@ def test_append_and_overwrite(spark, tmp_path):
     assert len(read_manifests(out)) == 1
 
 
-def test_abort_leaves_nothing(spark, tmp_path):
+@pytest.mark.parametrize("repeat", range(4))
+def test_abort_leaves_nothing(spark, tmp_path, repeat):
     columns = (Col("k", "INTEGER"),)
     out = tmp_path / "out"
     df = spark.range(0, 4000, 1, 4).select(F.when(F.col("id") == 3999, "x").otherwise("1"))
@@ -135,7 +136,8 @@ def test_local_paths():
 def test_repeated_and_lost_attempts(tmp_path, monkeypatch):
     """Only the attempt the driver heard of is published; the others vanish with the staging folder."""
     out = tmp_path / "out"
-    writer = native.NativeWriter(str(out), [8], overwrite=False)
+    native.make_staging(str(out), "first")
+    writer = native.NativeWriter(str(out), "first", [8], overwrite=False)
     batch = pa.RecordBatch.from_pydict({"k": [1, 2]})
 
     def attempt(partition, number, batches):
@@ -156,10 +158,12 @@ def test_repeated_and_lost_attempts(tmp_path, monkeypatch):
     assert sorted(read_all(out, ["int"])) == [(1,)] * 3 + [(2,)] * 3
     assert sorted(p.name[:4] for p in out.iterdir()) == ["_man", "part", "part"]
 
-    other = native.NativeWriter(str(out), [8], overwrite=True)
-    writer, message = other, None
+    native.make_staging(str(out), "second")
+    writer = native.NativeWriter(str(out), "second", [8], overwrite=True)
     message = attempt(0, 6, [batch])
-    other.abort([message])
+    writer.abort([message])
+    with pytest.raises(OSError):  # a task that was still running
+        attempt(1, 7, [batch])
     assert sorted(p.name[:4] for p in out.iterdir()) == ["_man", "part", "part"]
 
 
