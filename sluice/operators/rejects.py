@@ -8,6 +8,7 @@ a conversion came out NULL. Everything here is a narrow transformation: no shuff
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -160,10 +161,13 @@ def reject_reason(m: MappedField) -> str:
     return f"{target.name}: not a {target.type_text}"
 
 
-def validate(df: DataFrame, spec: LoadSpec, passthrough: bool = True) -> CheckedRows:
+def validate(df: DataFrame, spec: LoadSpec, passthrough: bool = True, barrier: bool = True) -> CheckedRows:
     """Conform every mapped field and mark rows that do not fit.
 
-    Without ``passthrough`` only mapped fields are kept, so a scan reads no other columns.
+    Without ``passthrough`` only mapped fields are kept, so a scan reads no other columns. The ``barrier``
+    is a row count between the conversions and whatever filters them. It keeps the optimizer from moving
+    the filter below the conversions, where they would run twice, and where filter inference would
+    take time exponential in the number of columns.
     """
     mapped = resolve_mapping(df.schema, spec)
     if not mapped:
@@ -187,6 +191,8 @@ def validate(df: DataFrame, spec: LoadSpec, passthrough: bool = True) -> Checked
     ]
     first = F.coalesce(*checks) if checks else F.lit(None).cast("int")
     checked = rows.withColumn(REJECT_INDEX, first)
+    if barrier:
+        checked = checked.observe(f"checked-{uuid4().hex}", F.count(F.lit(1)).alias("rows"))
     return CheckedRows(checked, T.StructType(kept), mapped, spec, [reject_reason(m) for m in mapped])
 
 

@@ -172,7 +172,7 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None =
     if stage:
         df = materialize(df, "staged")
     # spread before conforming, so that the conversions run in all writing tasks too
-    rows = validate(df if cluster_by else spread(df, parallelism), spec, passthrough=False)
+    rows = validate(df if cluster_by else spread(df, parallelism), spec, passthrough=False, barrier=False)
 
     if spec.abort_on_error and not target.atomic:
         report = LoadReport.of(rows.counts().first().asDict())

@@ -105,6 +105,7 @@ class TableTarget:
             for c in loaded.columns
         ]
         names = ", ".join("`" + c.replace("`", "``") + "`" for c in loaded.columns)
+        names = names.replace("{", "{{").replace("}", "}}")  # braces mark the statement's parameters
         spark.sql(
             f"INSERT INTO {self.table} ({names}) SELECT {names} FROM {{loaded}}", loaded=loaded.select(values)
         )

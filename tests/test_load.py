@@ -269,3 +269,41 @@ def test_shared_folder_comes_from_the_session(spark):
     assert new_folder(spark, "x").startswith(shared_root(spark) + "/x-")
     copy = materialize(spark.range(5), "copy")
     assert copy.count() == 5 and copy.inputFiles()[0].startswith("file://" + shared_root(spark))
+
+
+@pytest.mark.parametrize("empty", [
+    lambda spark: spark.range(0), lambda spark: spark.range(5).where("false"), lambda spark: spark.createDataFrame([], "id long"),
+    lambda spark: spark.range(5).limit(0),
+])
+def test_empty_input(spark, tmp_path, empty):
+    columns = (Col("id", "VARCHAR", 1),)
+    for abort in (True, False):
+        spec = LoadSpec(columns, abort_on_error=abort, rejected_path=str(tmp_path / "r"))
+        assert load(empty(spark), spec, PathTarget(str(tmp_path / "t"), columns)) == LoadReport(0, 0, 0)
+    assert not (tmp_path / "r").exists()
+
+
+def test_odd_names(spark, tmp_path, name):
+    odd = ["a b", "c.d", "e`f", "{g}", "Ünï", "select"]
+    df = spark.range(3).select([F.col("id").cast("string").alias(c) for c in odd])
+    columns = tuple(Col(c, "INTEGER") for c in odd)
+    out = str(tmp_path / "t")
+    spec = LoadSpec(columns, fields=[(c, c) for c in odd], abort_on_error=False, rejected_path=str(tmp_path / "r"))
+    bad = df.union(df.withColumn("{g}", F.lit("x")))
+    assert load(bad, spec, PathTarget(out, columns), cluster_by=["c.d"]) == LoadReport(6, 3, 3)
+    assert sorted(spark.read.parquet(out).collect()) == [(i,) * 6 for i in range(3)]
+    load(df, spec, TableTarget(name), create=True)
+    assert sorted(spark.table(name).collect()) == [(i,) * 6 for i in range(3)]
+
+
+def test_wide_rows(spark, tmp_path):
+    """Two hundred columns of every kind, each with a check of its own."""
+    columns = tuple(Col(f"c{i}", *(("INTEGER",), ("VARCHAR", 4), ("NUMERIC", 6, 2), ("FLOAT",))[i % 4]) for i in range(200))
+    df = spark.range(0, 400, 1, 4).select([
+        F.when(F.col("id") == i, "wrong").otherwise(F.col("id").cast("string")).alias(f"c{i}") for i in range(200)
+    ])
+    out, log = str(tmp_path / "t"), str(tmp_path / "e")
+    spec = LoadSpec(columns, abort_on_error=False, exceptions_path=log)
+    assert load(df, spec, PathTarget(out, columns)) == LoadReport(400, 200, 200)
+    logged = spark.read.parquet(log).select("column", "value").collect()
+    assert sorted(logged) == sorted((f"c{i}", "wrong") for i in range(200))
