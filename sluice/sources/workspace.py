@@ -1,30 +1,22 @@
-"""Shared folder for intermediate tables, as the cluster names it in ``spark.checkpoint.dir``."""
+"""Shared folder for intermediate tables, as the cluster names it in ``spark.checkpoint.dir``.
+
+A session without that setting uses a folder in its warehouse, which all of a cluster's machines share as well.
+"""
 
 from __future__ import annotations
 
-import tempfile
-from functools import lru_cache
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.errors import LoadPlanError
-
 SETTING = "spark.checkpoint.dir"
-
-
-@lru_cache(maxsize=None)
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="sluice-")
+WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(SETTING, None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise LoadPlanError(f"{SETTING} is not set: executors need a shared folder for intermediate tables")
-    return _local_root()
+    return root.rstrip("/") if root else spark.conf.get(WAREHOUSE).rstrip("/") + "/_shared"
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -32,9 +24,28 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write rows once and read them back, so that later passes see the same rows and lineage is cut."""
-    spark = df.sparkSession
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str):
+    """A new folder for tables that are read up before the block ends, which removes them."""
     path = new_folder(spark, label)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write rows once and read them back, so that later passes see the same rows and lineage is cut."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """``write_table`` in a new folder, for lazy results; ``remove`` takes the folder away when they are read up."""
+    return write_table(df, new_folder(df.sparkSession, label))
