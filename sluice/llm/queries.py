@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.token_counts import token_counts
 
 QUERIES: dict = {}
@@ -26,3 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
+@query
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_exact_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS content
+    FROM documents
+), k AS (
+    SELECT doc_id, content, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY content) AS group_size,
+        row_number() OVER w AS place
+    FROM d WINDOW w AS (PARTITION BY content ORDER BY n_chars DESC, doc_id)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM k
+"""
