@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.exact_dedup import exact_dedup
+from sluice.llm.mixing import mix
 from sluice.llm.token_counts import token_counts
 
 QUERIES: dict = {}
@@ -45,3 +46,42 @@ WITH d AS (
 )
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(content) AS text_sha256 FROM k
 """
+
+
+@query
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    return mixed.select("_row.doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op10_mix_sources"] = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+        (strlen(regexp_replace(coalesce(text, ''), '[!-@\[-`{-~]', '', 'g')) + 1)::DOUBLE
+            / (strlen(coalesce(text, '')) + 1)::DOUBLE AS share,
+        (('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 1.0) / 4503599627370496.0 AS u
+    FROM documents
+), k AS (
+    SELECT doc_id, source, size, -ln(u) / (share * share) AS key FROM d
+), s AS (
+    SELECT source, sum(size)::BIGINT AS source_size, 2.0::DOUBLE * sum(size) AS most,
+        ([5.0, 2.0, 1.0])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
+    FROM k GROUP BY source
+), levels AS (
+    SELECT 0 AS turn, 0.0::DOUBLE AS level
+    UNION ALL
+    SELECT turn + 1, (SELECT (sum(source_size)::DOUBLE * 1.5::DOUBLE
+        - coalesce(sum(most) FILTER (weight * l.level >= most), 0.0)) / sum(weight) FILTER (weight * l.level < most) FROM s)
+    FROM levels l WHERE turn < 30
+), t AS (
+    SELECT source, source_size, least(weight * (SELECT max(level) FROM levels), most) AS target,
+        CASE WHEN source_size > 0 THEN floor(least(weight * (SELECT max(level) FROM levels), most) / source_size) ELSE 0 END AS epochs
+    FROM s
+), p AS (
+    SELECT doc_id, size, source_size, target, epochs, target - epochs * source_size AS rest,
+        sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS upto
+    FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+    (epochs::BIGINT + CASE WHEN rest > 0 AND 2 * upto - size <= 2 * rest THEN 1 ELSE 0 END) * size AS taken FROM p
+"""
