@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.mixing import mix
+from sluice.llm.record_files import read_sequences, write_sequences
 from sluice.llm.token_counts import token_counts
+from sluice.sources.workspace import new_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +89,10 @@ WITH RECURSIVE d AS (
 SELECT doc_id, size, source_size, target,
     (epochs::BIGINT + CASE WHEN rest > 0 AND 2 * upto - size <= 2 * rest THEN 1 ELSE 0 END) * size AS taken FROM p
 """
+
+
+@query
+def op5_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "sequences")
+    write_sequences(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_TOKENIZER), end_id=2)
+    return read_sequences(spark, folder, lambda ids: (zlib.crc32(ids.tobytes()),), "ids_crc32 bigint")
