@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
+from sluice.llm.bpe import bpe_encode
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.mixing import mix
 from sluice.llm.record_files import read_sequences, write_sequences
@@ -96,3 +98,15 @@ def op5_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "sequences")
     write_sequences(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_TOKENIZER), end_id=2)
     return read_sequences(spark, folder, lambda ids: (zlib.crc32(ids.tobytes()),), "ids_crc32 bigint")
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256: the ids of every text, and the text that they decode to."""
+    digests = (("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()))
+    return bpe_encode(docs, public_tokenizers.path(BYTE_TOKENIZER), lambda ids, decoder: (
+        hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(decoder.data(ids)).hexdigest()), digests)
+
+
+@query
+def op7_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
