@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from sluice.llm.bpe import bpe_encode
 from sluice.llm.exact_dedup import exact_dedup
+from sluice.llm.license_scan import license_scan
 from sluice.llm.mixing import mix
 from sluice.llm.record_files import read_sequences, write_sequences
 from sluice.llm.token_counts import token_counts
@@ -110,3 +111,8 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 @query
 def op7_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
