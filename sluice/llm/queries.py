@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from sluice.llm.bpe import bpe_encode
+from sluice.llm.cover_tree import top_k
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.license_scan import license_scan
 from sluice.llm.mixing import mix
@@ -116,3 +117,23 @@ def op7_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op8_exact_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS vector FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, d.vec_id,
+        list_sum(list_transform(list_zip(q.vector, d.vector), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
+), r AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+)
+SELECT * FROM r WHERE rank <= 5
+"""
