@@ -8,6 +8,7 @@ import zlib
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from sluice.llm import jaccard_join
 from sluice.llm.bpe import bpe_encode
 from sluice.llm.cover_tree import top_k
 from sluice.llm.exact_dedup import exact_dedup
@@ -137,3 +138,32 @@ WITH v AS (
 )
 SELECT * FROM r WHERE rank <= 5
 """
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    settings = jaccard_join.Settings(n=4, percent=85)
+    return jaccard_join.near_copies(table(spark, sf_dir, "documents"), settings).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op9_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), s AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' '))) END AS shingles
+    FROM w
+), e AS (
+    SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT s.doc_id, len(shingles) AS n_shingles, min(b) AS component_id FROM s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, shingles
+"""
