@@ -16,6 +16,7 @@ from sluice.llm.license_scan import license_scan
 from sluice.llm.mixing import mix
 from sluice.llm.record_files import read_sequences, write_sequences
 from sluice.llm.token_counts import token_counts
+from sluice.llm.toxicity import toxicity
 from sluice.sources.workspace import new_folder
 
 QUERIES: dict = {}
@@ -167,3 +168,8 @@ WITH RECURSIVE w AS (
 )
 SELECT s.doc_id, len(shingles) AS n_shingles, min(b) AS component_id FROM s JOIN reach ON s.doc_id = reach.a GROUP BY s.doc_id, shingles
 """
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
