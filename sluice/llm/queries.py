@@ -14,6 +14,7 @@ from sluice.llm.cover_tree import top_k
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.license_scan import license_scan
 from sluice.llm.mixing import mix
+from sluice.llm.quality import quality
 from sluice.llm.record_files import read_sequences, write_sequences
 from sluice.llm.token_counts import token_counts
 from sluice.llm.toxicity import toxicity
@@ -173,3 +174,8 @@ SELECT s.doc_id, len(shingles) AS n_shingles, min(b) AS component_id FROM s JOIN
 @query
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
