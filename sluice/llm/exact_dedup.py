@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sluice.llm.common import pieces
 from sluice.sources.workspace import materialize
 
 WHITE = r"[\x20\x09-\x0D]+"
+WHITE_BYTES = b" \t\n\x0b\x0c\r"
+#: Rows of a task that are compared before any shuffle.
+TOGETHER = 4096
 #: Parts that a group of copies is merged in before its winners are combined.
 SALTS = 256
 
@@ -79,17 +85,35 @@ def exact_dedup(docs: DataFrame, salts: int = SALTS, digest=sha256) -> DataFrame
              F.col("digest").alias("text_sha256"))
 
 
+def _local_copies(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` without those that repeat the content of a better one among the rows around them in their task."""
+    def drop(batches):
+        for piece in pieces(batches, TOGETHER):
+            data = pc.fill_null(piece.column("text").cast(pa.string()), "")
+            ids = piece.column("doc_id").to_pylist()
+            best: dict = {}
+            for i, (text, n, doc_id) in enumerate(zip(data.cast(pa.binary()).to_pylist(), pc.utf8_length(data).to_pylist(), ids)):
+                rank = (-n, doc_id is None, doc_id if doc_id is not None else 0, i)
+                content = text.translate(None, WHITE_BYTES)
+                if content not in best or rank < best[content]:
+                    best[content] = rank
+            yield piece.take(pa.array(sorted(rank[-1] for rank in best.values())))
+
+    return docs.mapInArrow(drop, docs.schema)
+
+
 def drop_exact_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; one row of those that repeat id and length."""
-    best = winners(docs, salts).select("digest", "check", "best.*").select(
-        F.col("digest").alias("_digest"), F.col("check").alias("_check"), (-F.col("less")).alias("_n_chars"),
-        F.col("doc_id").alias("_id"))
-    content = content_of(F.col("text"))
-    rows = docs.select(
-        F.struct("*").alias("_row"), F.col("doc_id").alias("_own_id"),
-        F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)).alias("_own_chars"),
-        sha256(content).alias("_own_digest"))
-    stay = rows.join(best, (F.col("_own_digest") == F.col("_digest")) & F.col("_own_id").eqNullSafe(F.col("_id"))
-                     & (F.col("_own_chars") == F.col("_n_chars")))
-    first = Window.partitionBy("_own_digest", "_own_chars", "_own_id").orderBy(F.xxhash64("_row"))
-    return stay.withColumn("_first", F.row_number().over(first)).filter("_first = 1").select("_row.*")
+    """The rows of ``docs`` that stay, with all their columns; one row of those that repeat id and length.
+
+    The rows themselves go through the three stages: copies are dropped in each task, then among the rows of a
+    digest and salt, then among those of a digest. Contents are compared in full each time, but not shuffled beside the rows.
+    """
+    rank = _rank(F.coalesce(F.length(F.col("_row.text").cast("string")), F.lit(0)), F.col("_row.doc_id"))
+    rows = _local_copies(docs).select(F.struct("*").alias("_row"))
+    rows = rows.withColumn("_digest", sha256(content_of(F.col("_row.text")))).withColumn(
+        "_salt", F.pmod(F.xxhash64("_row.doc_id"), F.lit(salts)).cast("int"))
+    for keys in (("_digest", "_salt"), ("_digest",)):
+        rows = rows.repartition(*keys).withColumn("_content", content_of(F.col("_row.text")))
+        first = Window.partitionBy(*keys, "_content").orderBy(rank)
+        rows = rows.withColumn("_place", F.row_number().over(first)).filter("_place = 1").drop("_content", "_place")
+    return rows.select("_row.*")
