@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sluice.operators.sequence import add_sequence
 from sluice.sources.workspace import materialize
@@ -17,7 +17,7 @@ BUCKETS = 65536
 MARKS = (string.punctuation + string.digits).encode()
 
 
-@F.arrow_udf("struct<size bigint, bytes bigint, plain bigint>")
+@F.arrow_udf(T.StructType([T.StructField(name, T.LongType()) for name in ("size", "bytes", "plain")]))
 def measured(text: pa.Array) -> pa.Array:
     """Words between blanks, UTF-8 bytes, and bytes that are neither ASCII marks nor digits; null counts as empty."""
     found = [(len(b.split()), len(b), len(b.translate(None, MARKS)))
