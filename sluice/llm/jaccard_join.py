@@ -31,14 +31,16 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Settings:
     """``n``: words of a shingle. ``percent``: least similarity. ``ratio``: largest to smallest size of a band. ``spare``: equal parts that
-    similar sets have beyond one, so that each set may leave out that many of its commonest keys when groups are compared in full.
-    ``empty``: share of the parts that may be empty before a set uses its empty parts as keys too."""
+    similar sets have beyond one, as a share of those that may differ; sets that meet in fewer groups aren't compared.
+    ``empty``: share of the parts that may be empty before a set uses its empty parts as keys too. ``work``: pairs for each row
+    of a group above which groups are compared around new leaders before they are compared in full."""
 
     n: int = 5
     percent: int = 80
     ratio: float = 1.5
-    spare: int = 2
+    spare: float = 1 / 16
     empty: float = 0.04
+    work: float = 4
 
 
 def shingles(data: bytes, n: int) -> np.ndarray:
@@ -79,12 +81,15 @@ class Bands:
             self.lows.append(max(self.lows[-1] + 1, int(self.lows[-1] * self.settings.ratio)))
         return self.lows[band]
 
-    def parts(self, band: int) -> tuple[int, int]:
-        """Number of parts, and how many of a set's may be empty."""
+    def parts(self, band: int) -> tuple[int, int, int]:
+        """Number of parts; how many of a set's may be empty; how many keys similar sets share beyond one."""
         most = self.low(band + 1) - 1
         differ = 2 * most * (100 - self.settings.percent) // (100 + self.settings.percent)
-        empty = int(np.ceil(differ * self.settings.empty))
-        return differ + 1 + self.settings.spare + empty, empty
+        empty, spare = int(differ * self.settings.empty), int(differ * self.settings.spare)
+        return differ + 1 + spare + empty, empty, spare
+
+    def spares(self) -> list[int]:
+        return [self.parts(band)[2] for band in range(64)]
 
     def of(self, size: int) -> list[int]:
         """The set's own band and those above where it can be the smaller one of a similar pair."""
@@ -100,7 +105,7 @@ class Bands:
         """Keys of the set's parts. Their last 6 bits are the band's."""
         out = []
         for band in self.of(len(elements)):
-            parts, may_be_empty = self.parts(band)
+            parts, may_be_empty, _ = self.parts(band)
             place = (elements >> np.uint64(32)) % np.uint64(parts)
             order = np.argsort(place, kind="stable")
             place, bits = place[order], mixed(elements[order] * GOLDEN)
@@ -256,24 +261,40 @@ def _ordered(x: str, y: str) -> list:
     return [F.least(x, y).alias("x"), F.greatest(x, y).alias("y")]
 
 
+def _band(key: str = "key"):
+    return F.col(key).bitwiseAND(F.lit(63)).cast("int")
+
+
+def _spare(settings: Settings, band):
+    return F.element_at(F.array(*map(F.lit, Bands(settings).spares())), band + 1)
+
+
+def _members(groups: DataFrame, settings: Settings) -> DataFrame:
+    """key and h1 of the sets that are in enough groups of their band to be similar to another one."""
+    members = groups.select("key", F.col("member").alias("h1")).union(groups.select("key", "leader")).distinct()
+    met = F.count(F.lit(1)).over(Window.partitionBy("h1", _band()))
+    return members.withColumn("met", met).filter(F.col("met") > _spare(settings, _band())).drop("met")
+
+
 class _Linking:
-    """Turns groups of sets that share a key into links, until every similar pair is linked, if by a path.
+    """Turns members of groups (key, h1), sets that share a key, into links, until every similar pair is linked, if by a path.
 
-    First each group's sets are compared with its leader. Groups whose sets then still belong to several components are
-    looked at again: while comparing all of their pairs would be much, each is compared with another leader,
-    drawn anew for every group; then all pairs of different components are. Before that a set leaves out the
-    ``spare`` largest of its groups in a band, as similar sets meet in more than that many.
+    Similar sets meet in one group more than their band's ``spare``, at least. First each group's sets are compared with its
+    leader, if they meet it that often. Groups whose sets then still belong to several components are looked at
+    again: while comparing all of their pairs would be much, each is compared with another leader, drawn anew for every
+    group; then all pairs of different components are counted, and those compared that meet often enough. For the count each set
+    leaves out half the spare of its largest groups; two sets leave out no more than that of their common ones.
     """
 
-    def __init__(self, groups: DataFrame, elements: DataFrame, settings: Settings, folder: str):
-        self.groups, self.elements, self.settings, self.folder = groups, elements, settings, folder
+    def __init__(self, members: DataFrame, elements: DataFrame, settings: Settings, folder: str):
+        self.members, self.elements, self.settings, self.folder = members, elements, settings, folder
         self.turn = 0
         self.tested = self.links = None
 
     def test(self, pairs: DataFrame) -> bool:
         """Compare pairs that weren't compared before; True if some are similar."""
         self.turn += 1
-        pairs = pairs.distinct()
+        pairs = pairs.select(*_ordered("x", "y")).distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["x", "y"], "left_anti")
         pairs = write_table(pairs, f"{self.folder}/pairs-{self.turn}")
@@ -282,24 +303,44 @@ class _Linking:
         self.links = links if self.links is None else self.links.union(links)
         return not links.isEmpty()
 
+    def around_first_leaders(self) -> DataFrame:
+        leaders = self.members.groupBy("key").agg(F.min("h1").alias("leader"))
+        stars = self.members.join(leaders, "key").filter("h1 != leader")
+        met = stars.groupBy(F.col("leader").alias("x"), F.col("h1").alias("y"), _band().alias("band")).agg(F.count(F.lit(1)).alias("met"))
+        return met.filter(F.col("met") > _spare(self.settings, F.col("band")))
+
     def open_groups(self, nodes: DataFrame) -> DataFrame:
-        """key, set, component and size of group for groups with several components."""
-        members = self.groups.select("key", F.col("member").alias("h1")).union(self.groups.select("key", "leader")).distinct()
-        rows = members.join(self.elements.select("h1", "sid"), "h1").join(nodes, F.col("sid") == F.col("node"), "left")
+        """key, h1, component and size of group for groups with several components."""
+        rows = self.members.join(self.elements.select("h1", "sid"), "h1").join(nodes, F.col("sid") == F.col("node"), "left")
         rows = rows.select("key", "h1", F.coalesce("component", "sid").alias("component"))
         several = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"),
                                           F.count(F.lit(1)).alias("size")).filter("least != most")
         return rows.join(several.select("key", "size"), "key")
 
+    def around_new_leaders(self, rows: DataFrame) -> DataFrame:
+        draw = F.struct(F.xxhash64("key", "h1", F.lit(self.turn)).alias("draw"), F.col("h1").alias("leader"),
+                        F.col("component").alias("its"))
+        leaders = rows.groupBy("key").agg(F.min(draw).alias("new")).select("key", "new.leader", "new.its")
+        return rows.join(leaders, "key").filter("component != its").select(F.col("leader").alias("x"), F.col("h1").alias("y"))
+
+    def in_full(self, few: DataFrame) -> DataFrame:
+        left, right = few.alias("l"), few.alias("r")
+        across = left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component"))
+                           & (F.col("l.h1") < F.col("r.h1")))
+        met = across.select(F.col("l.h1").alias("x"), F.col("r.h1").alias("y"), _band("l.key").alias("band")).groupBy(
+            "x", "y", "band").agg(F.count(F.lit(1)).alias("met"))
+        spare = _spare(self.settings, F.col("band"))
+        return met.filter(F.col("met") > spare - F.floor(spare / 2))
+
     def run(self) -> DataFrame:
-        spare, every = self.settings.spare, F.col("size").desc()
-        self.test(self.groups.select(*_ordered("leader", "member")))
-        work = 4 * self.groups.count()
+        self.test(self.around_first_leaders())
+        work = self.settings.work * self.members.count()
         while True:
             nodes = components(self.links)
             rows = write_table(self.open_groups(nodes), f"{self.folder}/open-{self.turn}")
-            own = Window.partitionBy("h1", F.col("key").bitwiseAND(F.lit(63))).orderBy(every, "key")
-            few = rows.withColumn("place", F.row_number().over(own)).filter(F.col("place") > spare).drop("place")
+            own = Window.partitionBy("h1", _band()).orderBy(F.desc("size"), "key")
+            few = rows.withColumn("place", F.row_number().over(own)).filter(
+                F.col("place") > F.floor(_spare(self.settings, _band()) / 2)).drop("place")
             sizes = few.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
                 F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same"))
             pairs = sizes.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0.0))).first()[0]
@@ -307,16 +348,7 @@ class _Linking:
                 return nodes
             if pairs > work and self.test(self.around_new_leaders(rows)):
                 continue
-            left, right = few.alias("l"), few.alias("r")
-            across = left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component"))
-                               & (F.col("l.h1") < F.col("r.h1")))
-            return components(self.links) if self.test(across.select(F.col("l.h1").alias("x"), F.col("r.h1").alias("y"))) else nodes
-
-    def around_new_leaders(self, rows: DataFrame) -> DataFrame:
-        draw = F.struct(F.xxhash64("key", "h1", F.lit(self.turn)).alias("draw"), F.col("h1").alias("leader"),
-                        F.col("component").alias("its"))
-        leaders = rows.groupBy("key").agg(F.min(draw).alias("new")).select("key", "new.leader", "new.its")
-        return rows.join(leaders, "key").filter("component != its").select(*_ordered("leader", "h1"))
+            return components(self.links) if self.test(self.in_full(few)) else nodes
 
 
 def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -339,9 +371,9 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sets = materialize(_sets(rows, settings.n), "sets")
     with scratch(spark, "near-copies") as folder:
         groups = write_table(_groups(rows.select("text"), settings), f"{folder}/groups")
-        wanted = groups.select(F.col("member").alias("h1")).union(groups.select("leader")).distinct()
-        elements = write_table(_elements(rows, sets, wanted, settings.n), f"{folder}/elements")
-        nodes = materialize(_Linking(groups, elements, settings, folder).run(), "nodes")
+        members = write_table(_members(groups, settings), f"{folder}/members")
+        elements = write_table(_elements(rows, sets, members.select("h1").distinct(), settings.n), f"{folder}/elements")
+        nodes = materialize(_Linking(members, elements, settings, folder).run(), "nodes")
     hexed = F.concat(*(F.lpad(F.hex(h), 16, "0") for h in ("h1", "h2")))
     known = sets.filter("n_shingles > 0").withColumn("sid", F.unhex(hexed)).join(
         nodes, F.col("sid") == F.col("node"), "left").withColumn("of", F.coalesce("component", "sid"))
@@ -356,6 +388,7 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` with all their columns, one for each component; documents without words all stay."""
-    gone = near_copies(docs, settings).filter("NOT stays").select(F.col("row").alias("_gone"))
+    # a table of its own, so that Spark sees its size and broadcasts it only if small
+    gone = materialize(near_copies(docs, settings).filter("NOT stays").select(F.col("row").alias("_gone")), "gone")
     whole = docs.select(F.struct("*").alias("_doc"), _row().alias("_row"))
     return whole.join(gone, F.col("_row") == F.col("_gone"), "left_anti").select("_doc.*")
