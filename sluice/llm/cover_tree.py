@@ -14,8 +14,8 @@ from sluice.sources.workspace import materialize
 BLOCK = 2048
 #: Ratio of the radii of two levels.
 BASE = 1.3
-#: Points below which a node isn't divided.
-LEAF = 64
+#: Points below which a node isn't divided, of the data and of the queries: small groups of queries prune more.
+LEAF, GROUP = 64, 8
 #: Nodes of the data that a query group looks at before it prunes again.
 STEP = 64
 #: Most tasks that pairs of blocks are dealt out to.
@@ -37,7 +37,7 @@ class CoverTree:
     reordered so that they stand together. Points that are all equal form one leaf, however many they are.
     """
 
-    def __init__(self, points: np.ndarray, ids: np.ndarray):
+    def __init__(self, points: np.ndarray, ids: np.ndarray, leaf: int = LEAF):
         apart = _distances(points)
         order: list[np.ndarray] = []
         centers, radii, starts, ends, children = [], [], [], [], []
@@ -49,7 +49,7 @@ class CoverTree:
             starts.append(sum_of[0])
             ends.append(0)
             children.append([])
-            if len(members) <= LEAF or radius == 0:
+            if len(members) <= leaf or radius == 0:
                 order.append(members)
                 sum_of[0] += len(members)
             else:
@@ -171,14 +171,14 @@ def whole(vector: Column) -> Column:
     return F.when(fine, F.transform(x, lambda v: F.floor(v * 256.0).cast("double")))
 
 
-def _trees(vectors: DataFrame, blocks: int, name: str) -> DataFrame:
+def _trees(vectors: DataFrame, blocks: int, name: str, leaf: int) -> DataFrame:
     """One row for each block and vector length: the block's cover tree."""
     def build(table: pa.Table) -> pa.Table:
         points = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         points = points.reshape(table.num_rows, -1)
         ids = table.column("vec_id").to_numpy()
         order = np.lexsort((*points.T[:2], ids))  # the same tree whatever order the rows arrive in
-        tree = CoverTree(points[order], ids[order])
+        tree = CoverTree(points[order], ids[order], leaf)
         return pa.table({name: table.column(name)[:1], "size": table.column("size")[:1], f"{name}_tree": [tree.to_bytes()]})
 
     block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int").alias(name)
@@ -204,8 +204,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, block: int = BLOCK) -
     queries = usable.filter(F.col("vec_id") % every == 0)
     counts = usable.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("q")).first()
     n, q = max(1, -(-counts["n"] // block)), max(1, -(-counts["q"] // block))
-    data = materialize(_trees(usable, n, "data"), "vectors")
-    asked = materialize(_trees(queries, q, "query"), "queries")
+    data = materialize(_trees(usable, n, "data", LEAF), "vectors")
+    asked = materialize(_trees(queries, q, "query", GROUP), "queries")
 
     def search(batches):
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])

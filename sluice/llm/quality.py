@@ -61,7 +61,7 @@ def features(data: bytes) -> tuple[list[int], list[float]]:
     """Places and values of a text's features: words of equal weight that sum to a square of 1, and a one for each measure's step."""
     words, statistics, metadata = measures(data)
     places = sorted({crc(word) % WORDS for word in words})
-    values = [len(places) ** -0.5] * len(places)
+    values = [max(1, len(places)) ** -0.5] * len(places)
     at = WORDS
     for share in statistics:  # finer towards 0
         places.append(at + min(STEPS - 1, int(share ** 0.5 * STEPS)))

@@ -112,12 +112,12 @@ def fit(examples: pa.Table, terms=IDENTITY_TERMS, settings: Settings = Settings(
     """Logistic loss plus ``swap`` times the mean squared change of the score (the logit) under swaps of identity terms.
 
     Swaps are those in the labelled sentences and, so that no term goes unseen, each term against the next of its row. Proximal
-    Adagrad with an L1 pull. Without examples of both labels the model is the share of toxic ones.
+    Adagrad with an L1 pull. Without examples of both labels the score is the share of toxic ones, below 0.5, as no text then differs from others.
     """
     y = examples.column("y").to_numpy().astype(np.float64)
     weights = np.zeros(1 << BITS, np.float32)
     if not len(y) or y.min() == y.max():
-        rate = (y.sum() + 0.5) / (len(y) + 1)
+        rate = min(0.49, (y.sum() + 0.5) / (len(y) + 1))
         return Model(weights, float(np.log(rate / (1 - rate))))
     places, starts = _flat(examples.column("places"))
     pairs = [(lost, won) for row in zip(examples.column("lost").to_pylist(), examples.column("won").to_pylist()) for lost, won in zip(*row)]
@@ -165,7 +165,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, terms=IDENTITY_TERMS, settings:
     labels 0 and 1 only. Scores are probabilities; null and empty texts get the one of no words.
 
     Rows are kept as they are, with null or repeated ids too; a null id counts as held out. Empty labels
-    give every document the score 0.5, an empty table of documents gives an empty result. Other columns don't matter.
+    give every document the score 0.49, an empty table of documents gives an empty result. Other columns don't matter.
     """
     model = fit(_examples(sampled(docs, labels, "toxic", settings.most), terms), terms, settings)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))

@@ -1,0 +1,124 @@
+"""Classifiers by their accuracy on rows that weren't learned from, and on odd rows; the pipeline's stages."""
+
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from sluice.llm import quality, toxicity
+from sluice.llm.queries import QUERIES
+from tests.conftest import TESTDATA
+from tests.llm.conftest import TEXTS
+
+FOLDER = f"{TESTDATA}/sf0.01"
+
+
+def held(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+
+
+@pytest.mark.parametrize("query, label, least, cut", [("op1_toxicity", "toxic", 0.9, 0.5), ("op6_quality", "quality", 0.9, 0.3)])
+def test_held_out_accuracy(spark, query, label, least, cut):
+    rows = QUERIES[query](spark, FOLDER).collect()
+    assert len(rows) == 1000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= cut) for r in rows)
+    assert all(r.held_out == held(r.doc_id) for r in rows)
+    known = {r.doc_id: r[label] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    right = [r.predicted == known[r.doc_id] for r in rows if r.held_out and r.doc_id in known]
+    assert len(right) > 50 and np.mean(right) >= least
+
+
+@pytest.mark.parametrize("operator, unknown", [(toxicity.toxicity, 0.49), (quality.quality, 0.5)])
+def test_odd_rows(documents, labels, operator, unknown):
+    for known in ([], [(1, 1, 1)], [(i, i % 2, i % 2) for i in range(1, 20)] + [(None, 1, 1), (3, None, None), (4, 7, 7), (999, 1, 1)]):
+        rows = operator(documents(), labels(known)).collect()
+        assert len(rows) == len(TEXTS) and all(0 <= r.score <= 1 for r in rows)
+        if not known:
+            assert {round(r.score, 9) for r in rows} == {unknown}
+    assert all(r.held_out for r in rows if r.doc_id is None)
+    assert operator(documents([]), labels()).collect() == []
+
+
+def test_held_out_labels_do_not_matter(documents, labels):
+    rows = [(i, f"good words {i} bad" if i % 3 else f"awful stuff {i}", "a") for i in range(200)]
+    for operator in (toxicity.toxicity, quality.quality):
+        scores = []
+        for wrong in (0, 1):
+            known = [(i, wrong, wrong) if held(i) else (i, int(i % 3 > 0), int(i % 3 == 0)) for i in range(200)]
+            scores.append(sorted((r.doc_id, r.score) for r in operator(documents(rows), labels(known)).collect()))
+        assert scores[0] == scores[1]
+
+
+def examples(rows, terms):
+    return pa.Table.from_pylist([
+        {"y": y, "places": toxicity._numbers(sorted(toxicity.distinct_words(text))),
+         "lost": [toxicity._numbers(sorted(a)) for a, _ in toxicity.swapped(text, terms)],
+         "won": [toxicity._numbers(sorted(b)) for _, b in toxicity.swapped(text, terms)]} for text, y in rows])
+
+
+def test_swaps_of_identity_terms_change_little():
+    """One group is only ever named in toxic sentences; with the penalty neutral mentions of it aren't toxic."""
+    rng = random.Random(3)
+    words = [f"w{chr(97 + i)}{chr(97 + k)}" for i in range(20) for k in range(20)]
+    rows = []
+    for k in range(600):
+        text = " ".join(rng.sample(words, 12))
+        toxic = k % 3 == 0
+        rows.append((text + (" Vile muslims scum." if toxic else " Kind christians." if k % 2 else "."), int(toxic)))
+    neutral = [" ".join(rng.sample(words, 12)) + " Kind muslims." for _ in range(50)]
+    scores = []
+    for swap in (0.0, 20.0):
+        model = toxicity.fit(examples(rows, toxicity.IDENTITY_TERMS), settings=toxicity.Settings(swap=swap))
+        logits = {w: np.array([sum(model.of_words(toxicity.distinct_words(t.replace("muslims", w)))) + model.bias for t in neutral])
+                  for w in ("muslims", "christians")}
+        toxic = [sum(model.of_words(toxicity.distinct_words(t))) + model.bias for t, y in rows if y]
+        scores.append((np.abs(logits["muslims"] - logits["christians"]).mean(), (logits["muslims"] > 0).mean(), np.mean(np.array(toxic) > 0)))
+    assert scores[1][0] < 0.3 * scores[0][0] and scores[1][1] <= scores[0][1] and scores[1][1] == 0 and scores[1][2] > 0.99
+
+
+def test_swapped_sentences():
+    found = toxicity.swapped("The women left. No one else! Muslim and christian", toxicity.IDENTITY_TERMS)
+    assert found == [({b"women"}, {b"men"}), ({b"muslim", b"christian"} - {b"christian"}, {b"jewish"})]
+
+
+def test_linear_time_interactions():
+    """The machine's scores are those of all pairs, summed one by one."""
+    random_ = np.random.default_rng(2)
+    machine = quality.Machine(0.3, random_.normal(size=quality.WIDTH), random_.normal(size=(quality.WIDTH, 4)) * 0.1)
+    rows = [quality.features(text.encode()) for text in ("", "a b c", "A!! B!! a b\nA!! B!! a b", "long " * 50)]
+    for row, score in zip(rows, machine.scores(rows)):
+        logit = 0.3 + sum(machine.weights[p] * x for p, x in zip(*row))
+        logit += sum(machine.vectors[p] @ machine.vectors[q] * x * y
+                     for i, (p, x) in enumerate(zip(*row)) for q, y in list(zip(*row))[i + 1:])
+        assert score == pytest.approx(1 / (1 + np.exp(-logit)))
+
+
+def test_pipeline(spark):
+    """Each stage against the operator that decides, on what the stage before it kept."""
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+    folder = f"{TESTDATA}/sf0.001"
+    columns, kept = docs.columns, docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, kept = kept, stage(spark, kept, folder).cache()
+        assert kept.columns == columns and 0 < kept.count(), name
+        if name != "mixing":
+            assert kept.exceptAll(before).count() == 0
+        if name == "toxicity":
+            toxic = QUERIES["op1_toxicity"](spark, folder).filter("predicted = 1").select("doc_id")
+            assert before.join(toxic, "doc_id", "left_anti").exceptAll(kept).count() == 0 == kept.join(toxic, "doc_id").count()
+    rows = corpus_pipeline.run(spark, folder)
+    assert rows.count() == kept.count()
+    assert sorted(r.doc_id for r in rows.collect()) == sorted(r.doc_id for r in kept.collect())
+
+
+def test_pipeline_on_odd_rows(spark, documents, tmp_path):
+    for name, rows in (("odd", TEXTS), ("empty", [])):
+        folder = str(tmp_path / name)
+        documents(rows).withColumnRenamed("_row", "other").write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(1, 1, 0), (2, 1, 1), (12, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        found = corpus_pipeline.run(spark, folder)
+        assert (found.count() > 0) == bool(rows)
+        assert found.filter(F.col("ids_sha256").isNull()).count() == 0
