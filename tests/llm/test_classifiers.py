@@ -118,7 +118,7 @@ def test_pipeline_on_odd_rows(spark, documents, tmp_path):
     for name, rows in (("odd", TEXTS), ("empty", [])):
         folder = str(tmp_path / name)
         documents(rows).withColumnRenamed("_row", "other").write.parquet(f"{folder}/documents.parquet")
-        spark.createDataFrame([(1, 1, 0), (2, 1, 1), (12, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([(i, 1, int(i == 12)) for i in range(1, 13)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         found = corpus_pipeline.run(spark, folder)
         assert (found.count() > 0) == bool(rows)
         assert found.filter(F.col("ids_sha256").isNull()).count() == 0
