@@ -57,7 +57,9 @@ def _no_conversion(source_type, target):
 
 
 def _as_text(value: Column, source_type: T.DataType) -> Column:
-    """Text form of binary or text input, for parsing."""
+    """Text form of a value; bytes that are no UTF-8 have none."""
+    if isinstance(source_type, T.BinaryType):
+        return F.when(F.is_valid_utf8(value.cast("string")), value.cast("string"))
     return value if isinstance(source_type, T.StringType) else value.cast("string")
 
 
@@ -108,7 +110,8 @@ def to_float(value: Column, source_type: T.DataType) -> Column:
     if isinstance(source_type, (T.NumericType, T.BooleanType)):
         return value.cast("double")
     if isinstance(source_type, T.StringType):
-        return F.when(value.rlike(NUMBER_PATTERN), value.try_cast("double"))
+        number = F.when(value.rlike(NUMBER_PATTERN), value.try_cast("double"))
+        return F.when(F.abs(number) < math.inf, number)  # a plain number may be too large
     _no_conversion(source_type, "FLOAT")
 
 
@@ -258,6 +261,8 @@ def may_reject(source_type: T.DataType, target: TargetColumn) -> bool:
         return not (target.width == 8 and isinstance(source_type, _INTEGRAL + (T.BooleanType,)))
     if kind == "BOOLEAN" or kind in FLOAT_TYPES:
         return isinstance(source_type, T.StringType)
-    if kind in ("VARCHAR", "VARBINARY", "BINARY"):
+    if kind == "VARCHAR":
+        return target.length is not None or isinstance(source_type, T.BinaryType)
+    if kind in ("VARBINARY", "BINARY"):
         return target.length is not None
     return True

@@ -113,8 +113,8 @@ class FieldMeta:
 def set_meta(df: DataFrame, fields, select_unspecified: bool = False) -> DataFrame:
     """Select, rename and declare lengths.
 
-    Numbers with a precision become DECIMAL(length, precision); one that does not fit fails the job
-    rather than turning NULL. Lengths of other fields are kept in the schema, where table creation
+    Numbers with a precision become DECIMAL(length, precision), whole ones with precision 0 keep their type; one that does
+    not fit fails the job rather than turning NULL. Lengths of other fields are kept in the schema, where table creation
     finds them; values are not cut.
     """
     out, named = [], set()
@@ -123,7 +123,11 @@ def set_meta(df: DataFrame, fields, select_unspecified: bool = False) -> DataFra
         named.add(f.name)
         value = column(f.name)
         name = meta.rename or f.name
-        if meta.length and meta.precision and isinstance(f.dataType, T.NumericType):
+        if meta.length and meta.precision == 0 and isinstance(f.dataType, T.IntegralType):
+            message = F.concat(F.lit(f"field {f.name} has more than {meta.length} digits: "), value.cast("string"))
+            fits = value.cast("decimal(20,0)").between(1 - 10**meta.length, 10**meta.length - 1) if meta.length < 19 else F.lit(True)
+            value = F.when(value.isNotNull() & ~fits, F.raise_error(message).cast(f.dataType)).otherwise(value)
+        elif meta.length and meta.precision is not None and isinstance(f.dataType, T.NumericType):
             kind = T.DecimalType(meta.length, meta.precision)
             fitted = value.try_cast(kind)
             message = F.concat(F.lit(f"field {f.name} does not fit {kind.simpleString()}: "), value.cast("string"))
@@ -135,8 +139,7 @@ def set_meta(df: DataFrame, fields, select_unspecified: bool = False) -> DataFra
 
 
 def abort_after(df: DataFrame, threshold: int) -> DataFrame:
-    """The rows, unless there are more than ``threshold`` of them. Counts once, in all tasks."""
-    rows = df.count()
-    if rows > threshold:
-        raise LoadAborted(f"{rows} rows passed the limit of {threshold}; nothing was loaded")
+    """The rows, unless there are more than ``threshold`` of them. Reads no more rows than it takes to tell."""
+    if df.limit(threshold + 1).count() > threshold:
+        raise LoadAborted(f"more rows than the limit of {threshold}; nothing was loaded")
     return df

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from contextlib import ExitStack
 from dataclasses import dataclass
 from uuid import uuid4
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from sluice.errors import LoadAborted, LoadPlanError
@@ -13,12 +15,16 @@ from sluice.functions.conform import conform, to_text
 from sluice.operators.mapping import column, resolve_mapping
 from sluice.operators.rejects import NULL_TEXT, CheckedRows, count_columns, validate
 from sluice.plans.spec import LoadSpec
-from sluice.sources.target import create_target
-from sluice.sources.workspace import materialize
+from sluice.sources.target import TableTarget, create_target
+from sluice.sources.workspace import scratch, write_table
 
 ABORT_MARK, ABORT_END = "row rejected: ", " -- load aborted"
 AUTO = "auto"
-UNORDERED_STEPS = ("Exchange", "InMemoryTableScan", "ExistingRDD")
+# plan steps that hand on rows in the order in which they get them, or make them in a fixed one
+ORDERED_STEPS = ("Project", "Filter", "Generate", "Expand", "CollectMetrics", "Range", "LocalRelation", "OneRowRelation", "Union")
+FILES = "HadoopFsRelation"
+RANGE_BYTES = 256 << 20  # of a range that rows are sorted in
+UNKNOWN_SIZE = 1 << 60
 _TIE = "__load_arrival"
 
 
@@ -81,14 +87,36 @@ def _content_hashes(df: DataFrame) -> list[Column]:
 
 
 def arrives_in_order(df: DataFrame) -> bool:
-    """Whether a task that is run again sees its rows in the same order, as it does when reading files.
+    """Whether a task that is run again is sure to see its rows in the same order.
 
-    After a shuffle, or from a cache or an RDD, rows may come in any order.
+    That holds for files under steps that work row by row with functions that always give the same. All else, such as
+    shuffles, caches, RDDs, Python steps and connectors, counts as unordered.
     """
-    # one more column, as the statement's temporary view would otherwise take a cached input out of the cache
-    probe = df.withColumn(_TIE, F.lit(0))
-    plan = df.sparkSession.sql("EXPLAIN SELECT * FROM {rows}", rows=probe).first()[0]
-    return not any(step in plan for step in UNORDERED_STEPS)
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if not plan.deterministic():
+        return False
+    steps = [plan]
+    while steps:
+        step = steps.pop()
+        kind = step.nodeName()
+        if kind == "LogicalRelation" or step.getClass().getSimpleName() == "LogicalRelation":
+            if step.relation().getClass().getSimpleName() != FILES:
+                return False
+        elif kind not in ORDERED_STEPS:
+            return False
+        children = step.children()
+        steps.extend(children.apply(i) for i in range(children.size()))
+    return True
+
+
+def range_count(df: DataFrame) -> int:
+    """Number of ranges to sort rows in: by the plan's estimate of their size, and the session's shuffle partitions at least.
+
+    It only shapes the layout of files. A size that Spark doesn't know doesn't count.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ranges if size >= UNKNOWN_SIZE else max(ranges, -(-size // RANGE_BYTES))
 
 
 def cluster(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
@@ -103,7 +131,7 @@ def cluster(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
     order = [column(c) for c in columns] + [F.col(_TIE)]
     steady = df if arrives_in_order(df) else df.sortWithinPartitions(*_content_hashes(df))
     tied = steady.withColumn(_TIE, F.monotonically_increasing_id())
-    ranged = tied.repartitionByRange(partitions, *order) if partitions else tied.repartitionByRange(*order)
+    ranged = tied.repartitionByRange(partitions or range_count(df), *order)
     return ranged.sortWithinPartitions(*order).drop(_TIE)
 
 
@@ -126,8 +154,21 @@ def _write_reject_logs(df: DataFrame, spec: LoadSpec, expected: int | None, mode
     seen = Observation(f"rejects-{uuid4().hex}")
     bad = rows.bad_rows().observe(seen, F.count(F.lit(1)).alias("rows"))
     if spec.rejected_path and spec.exceptions_path:
-        bad = materialize(bad, "rejects")  # both logs come from one pass
+        bad = bad.persist(StorageLevel.DISK_ONLY)  # the second log needs no other pass, unless an executor is lost
     rows = rows.with_checked(bad)
+    try:
+        _write_logs(rows, spec, mode)
+    finally:
+        bad.unpersist()
+    logged = seen.get["rows"]
+    if expected is not None and logged != expected:
+        raise RuntimeError(
+            f"{expected} rows were rejected but {logged} logged: the input is not the same on every read; "
+            "load it with stage=True"
+        )
+
+
+def _write_logs(rows: CheckedRows, spec: LoadSpec, mode: str) -> None:
     rejected, exceptions = rows.rejected, rows.exceptions
     if spec.log_format == "text":
         rejected = rejected.select(log_entry(F.col("rejected_line"), spec.time_zone))
@@ -137,12 +178,6 @@ def _write_reject_logs(df: DataFrame, spec: LoadSpec, expected: int | None, mode
         rejected.write.format(spec.log_format).mode(mode).save(spec.rejected_path)
     if spec.exceptions_path:
         exceptions.write.format(spec.log_format).mode(mode).save(spec.exceptions_path)
-    logged = seen.get["rows"]
-    if expected is not None and logged != expected:
-        raise RuntimeError(
-            f"{expected} rows were rejected but {logged} logged: the input is not the same on every read; "
-            "load it with stage=True"
-        )
 
 
 def spread(df: DataFrame, parallelism: int | str | None) -> DataFrame:
@@ -164,15 +199,26 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None =
     ``"auto"`` for files of even size) spreads them first, which helps where a few input files hold most
     rows; ``cluster_by`` sorts them into ranges of target columns. ``stage`` writes the input to the
     shared folder first, for input that is costly to compute or differs between reads. ``create`` makes
-    the target table if it does not exist.
+    the target table if it does not exist; other targets make themselves. Staged rows are removed when the load ends.
     """
     _require_loadable(df, spec)
     if create:
+        if not isinstance(target, TableTarget):
+            raise LoadPlanError(f"create makes catalog tables, not a {type(target).__name__}")
         create_target(df.sparkSession, target.table, spec.columns)
-    if stage:
-        df = materialize(df, "staged")
+    with ExitStack() as stack:
+        if stage:
+            if not (spec.rejected_path or spec.exceptions_path):  # the logs show every field
+                mapped = {m.source.name for m in resolve_mapping(df.schema, spec)}
+                if spec.fields:
+                    df = df.select([column(f) for f in df.columns if f in mapped])
+            df = write_table(df, stack.enter_context(scratch(df.sparkSession, "staged")))
+        return _load(df, spec, target, parallelism, cluster_by, log_mode)
+
+
+def _load(df: DataFrame, spec: LoadSpec, target, parallelism, cluster_by, log_mode: str) -> LoadReport:
     # spread before conforming, so that the conversions run in all writing tasks too
-    rows = validate(df if cluster_by else spread(df, parallelism), spec, passthrough=False, barrier=False)
+    rows = validate(df if cluster_by else spread(df, parallelism), spec, passthrough=False, barrier=bool(cluster_by))
 
     if spec.abort_on_error and not target.atomic:
         report = LoadReport.of(rows.counts().first().asDict())
@@ -183,9 +229,12 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None =
     # counted in the task that writes, so that a lost executor's rerun is not counted twice
     metrics = Observation(f"load-{uuid4().hex}")
     ranges = None if parallelism == AUTO else parallelism
-    checked = cluster(rows.checked, [_loaded_column(rows, c) for c in cluster_by], ranges)
+    checked = rows.checked
+    if spec.abort_on_error and cluster_by:  # before rows are sampled, shuffled and sorted
+        checked = abort_on_reject(rows)
+    checked = cluster(checked, [_loaded_column(rows, c) for c in cluster_by], ranges)
     counted = rows.with_checked(checked.observe(metrics, *count_columns()))
-    if spec.abort_on_error:
+    if spec.abort_on_error and not cluster_by:
         counted = counted.with_checked(abort_on_reject(counted))
     try:
         target.write(counted.loaded)

@@ -126,8 +126,9 @@ def map_control_table(spark, folder):
     entries = [("orders", "TABLENAME", None, "daily_orders"), ("orders", "ABORTONERROR", None, "N")]
     streams = ["o_orderkey", "priority_digit", "o_custkey"]
     targets = ["id", "priority", "customer"]
-    entries += [("orders", "FIELDSTREAM", i, s) for i, s in enumerate(streams)]
-    entries += [("orders", "FIELDDATABASE", i, t) for i, t in enumerate(targets)]
+    entries += [("orders", "FIELDSTREAM", 10 * i, s) for i, s in enumerate(streams)]
+    entries += [("orders", "FIELDDATABASE", 10 * i, t) for i, t in enumerate(targets)]
+    entries = [entries[i] for i in (6, 2, 0, 7, 4, 1, 5, 3)]  # their positions count, not their order
     columns = (Col("id", "INTEGER"), Col("customer", "INTEGER"), Col("priority", "CHAR", 1))
     spec = spec_from_control_table(spark.createDataFrame(entries, CONTROL_SCHEMA), "orders", columns)
     orders = table(spark, folder, "orders").withColumn("priority_digit", F.substring("o_orderpriority", 1, 1))
@@ -193,6 +194,7 @@ def conform_boolean(spark, folder):
 
 @query(f"SELECT p_partkey, {sql_number(chr(39) + ' ' + chr(39) + ' || p_size || ' + chr(39) + '.25 ' + chr(39), 'DOUBLE')} "
        f"AS from_text, {sql_number('p_size || ' + chr(39) + 'e-2' + chr(39), 'DOUBLE')} AS from_exponent, "
+       "CASE WHEN p_size < 40 THEN CAST(p_size || 'e300' AS DOUBLE) END AS from_large, "
        f"{sql_number('p_name', 'DOUBLE')} AS from_name, CAST(p_size AS DOUBLE) AS from_integer FROM part")
 def conform_float(spark, folder):
     size = F.col("p_size").cast("string")
@@ -200,6 +202,7 @@ def conform_float(spark, folder):
         "p_partkey",
         C.to_float(F.concat(F.lit(" "), size, F.lit(".25 ")), TEXT).alias("from_text"),
         C.to_float(F.concat(size, F.lit("e-2")), TEXT).alias("from_exponent"),
+        C.to_float(F.concat(size, F.when(F.col("p_size") < 40, "e300").otherwise("e400")), TEXT).alias("from_large"),
         C.to_float(F.col("p_name"), TEXT).alias("from_name"),
         C.to_float(F.col("p_size"), T.IntegerType()).alias("from_integer"),
     )
@@ -223,17 +226,17 @@ def conform_numeric(spark, folder):
     )
 
 
-FIRST_WORD = r"^\S*"
+def sql_padded(value: str, length: int) -> str:
+    return f"CASE WHEN {sql_bytes(value)} <= {length} THEN concat({value}, repeat(' ', {length} - {sql_bytes(value)})) END"
 
 
-@query("WITH w AS (SELECT doc_id, regexp_extract(text, '^\\S*') AS word FROM documents) "
-       f"SELECT doc_id, CASE WHEN {sql_bytes('word')} <= 12 THEN "
-       f"concat(word, repeat(' ', 12 - {sql_bytes('word')})) END AS padded, "
-       f"CASE WHEN {sql_bytes('word')} <= 12 THEN CAST(12 AS BIGINT) END AS padded_bytes FROM w")
+@query(f"SELECT doc_id, {sql_padded('lang', 2)} AS lang, {sql_padded('source', 5)} AS source, {sql_padded('text', 4000)} AS body, "
+       f"CASE WHEN {sql_bytes('text')} <= 4000 THEN CAST(4000 AS BIGINT) END AS body_bytes FROM documents")
 def conform_char(spark, folder):
-    words = table(spark, folder, "documents").select("doc_id", F.regexp_extract("text", FIRST_WORD, 0).alias("word"))
-    padded = words.select("doc_id", C.to_char(F.col("word"), TEXT, 12).alias("padded"))
-    return padded.withColumn("padded_bytes", F.octet_length("padded").cast("bigint"))
+    padded = table(spark, folder, "documents").select(
+        "doc_id", C.to_char(F.col("lang"), TEXT, 2).alias("lang"), C.to_char(F.col("source"), TEXT, 5).alias("source"),
+        C.to_char(F.col("text"), TEXT, 4000).alias("body"))
+    return padded.withColumn("body_bytes", F.octet_length("body").cast("bigint"))
 
 
 @query(f"SELECT doc_id, CASE WHEN {sql_bytes('text')} <= 1500 THEN text END AS body, "
@@ -626,9 +629,12 @@ def stream_load_rejects(spark, folder):
 
 # F. steps around a load
 
-@query("SELECT row_number() OVER () - 1 AS id FROM lineitem")
+@query("SELECT o_orderkey AS id, o_custkey FROM orders")
 def generate_rows_(spark, folder):
-    return generate_rows(spark, table(spark, folder, "lineitem").count())
+    """A row for every key up to the largest, and the orders that have it."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    largest = orders.agg(F.max("o_orderkey")).first()[0]
+    return generate_rows(spark, (largest or 0) + 1).join(orders, F.col("id") == F.col("o_orderkey")).select("id", "o_custkey")
 
 
 RANDOM_FIELDS = {"str": "random string", "uuid": "random uuid", "uuid4": "random uuid4", "integ": "random integer",
@@ -698,14 +704,16 @@ def replace_formula_(spark, folder):
     )
 
 
-@query("SELECT o_orderkey AS id, o_orderpriority AS priority, CAST(CAST(o_totalprice AS DECIMAL(12,5)) AS VARCHAR) AS price "
-       "FROM orders")
+@query("SELECT o_orderkey AS id, o_orderpriority AS priority, o_custkey AS customer, "
+       "CAST(CAST(o_totalprice AS DECIMAL(12,5)) AS VARCHAR) AS price, "
+       "CAST(CAST(floor(o_totalprice) + 0.25 AS DECIMAL(10,0)) AS VARCHAR) AS whole FROM orders")
 def meta_conform(spark, folder):
-    described = set_meta(table(spark, folder, "orders"), [
-        FieldMeta("o_orderkey", "id", 10), FieldMeta("o_orderpriority", "priority", 15),
-        FieldMeta("o_totalprice", "price", 12, 5),
+    orders = table(spark, folder, "orders").withColumn("whole", F.floor("o_totalprice") + F.lit(0.25))
+    described = set_meta(orders, [
+        FieldMeta("o_orderkey", "id", 10), FieldMeta("o_orderpriority", "priority", 15), FieldMeta("o_custkey", "customer", 10, 0),
+        FieldMeta("o_totalprice", "price", 12, 5), FieldMeta("whole", length=10, precision=0),
     ])
-    return described.withColumn("price", F.col("price").cast("string"))
+    return described.withColumns({"price": F.col("price").cast("string"), "whole": F.col("whole").cast("string")})
 
 
 @query("SELECT count(*) > 50000 AS aborted, CASE WHEN count(*) > 50000 THEN 0 ELSE count(*) END AS rows_passed FROM lineitem")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from dataclasses import dataclass, field
 from datetime import timedelta
@@ -13,6 +14,7 @@ from sluice.operators.mapping import column
 from sluice.plans.spec import TargetColumn
 
 LENGTH = "length"  # metadata key of a text field's declared length
+DECLARED = "declared"  # metadata key of a created column's type as it was declared
 _CHAR_METADATA = "__CHAR_VARCHAR_TYPE_STRING"
 _WIDTHS = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8}
 _SIMPLE = {
@@ -28,7 +30,9 @@ _SIMPLE = {
 
 
 def target_column(f: T.StructField) -> TargetColumn:
-    """Target column that takes the values of a field of this Spark type."""
+    """Target column that takes the values of a field: as it was declared when created, or by its Spark type."""
+    if DECLARED in f.metadata:
+        return TargetColumn(f.name, *json.loads(f.metadata[DECLARED]))
     kind = type(f.dataType)
     if kind in _WIDTHS:
         return TargetColumn(f.name, "INTEGER", width=_WIDTHS[kind])
@@ -60,10 +64,17 @@ def columns_from_table(spark: SparkSession, table: str | None) -> tuple[TargetCo
 
 
 def create_target(spark: SparkSession, table: str, columns, path: str | None = None, source: str = "parquet") -> None:
-    """Create the table for these target columns, unless it exists."""
+    """Create the table for these target columns, unless it exists; an existing one must have the same columns.
+
+    The declared types are kept with the columns, so that ``columns_from_table`` finds TIME or BINARY(3) again.
+    """
     if spark.catalog.tableExists(table):
+        there = [(f.name.lower(), target_column(f).spark_type) for f in spark.table(table).schema.fields]
+        if there != [(c.name.lower(), c.spark_type) for c in columns]:
+            raise LoadPlanError(f"table {table} exists with other columns")
         return
-    schema = T.StructType([T.StructField(c.name, c.table_type) for c in columns])
+    schema = T.StructType([T.StructField(c.name, c.table_type, True, {DECLARED: json.dumps(
+        [c.type_name, c.length, c.scale, c.width, c.fixed])}) for c in columns])
     spark.catalog.createTable(table, path=path, source=source, schema=schema)
 
 

@@ -89,6 +89,26 @@ def test_control_table_defaults_and_uneven_lists(spark, stream):
     assert spec_from_control_table(control(spark, [("DIRECT", None, "N")]), "l", columns).fields is None
 
 
+@pytest.mark.parametrize("streams, targets, message", [
+    ([(0, "s0"), (2, "s2")], [(0, "a"), (1, "b"), (2, "c")], "columns without a stream field: b"),
+    ([(0, "s0"), (1, "s1"), (2, "s2")], [(0, "a"), (2, "c")], "stream fields without a column: s1"),
+    ([(0, "s0"), (1, "s1")], [(0, "a")], "stream fields without a column: s1"),
+    ([(0, "s0"), (0, "s1")], [(0, "a"), (1, "b")], "FIELDSTREAM has position 0 twice"),
+    ([(0, "s0"), (1, "s1")], [(1, "a"), (1, "b")], "FIELDDATABASE has position 1 twice"),
+    ([(None, "s0")], [(0, "a")], "FIELDSTREAM entry s0 has no position"),
+    ([(i, f"s{i}") for i in range(9)], [(i, f"t{i}") for i in range(9)], "more fields than the target has columns"),
+])
+def test_lists_pair_by_position(spark, streams, targets, message):
+    entries = [("FIELDSTREAM", *e) for e in streams] + [("FIELDDATABASE", *e) for e in targets]
+    with pytest.raises(LoadPlanError, match=message):
+        spec_from_control_table(control(spark, entries), "l", ABC)
+
+
+def test_positions_may_have_gaps(spark):
+    entries = [("FIELDDATABASE", 40, "c"), ("FIELDSTREAM", -3, "x"), ("FIELDDATABASE", -3, "b"), ("FIELDSTREAM", 40, "y")]
+    assert spec_from_control_table(control(spark, entries), "l", ABC).fields == (("x", "b"), ("y", "c"))
+
+
 @pytest.mark.parametrize("entries, message", [
     ([("COLOUR", None, "red")], "unknown control keys: COLOUR"),
     ([("TABLENAME", None, "a"), ("TABLENAME", None, "b")], "twice"),

@@ -42,7 +42,7 @@ def test_sequence_with_a_hot_key_and_copies(spark):
         assert (low, high - low + 1) == (first, count)
         first = high + 1
     assert first == 30001
-    written = spark.read.parquet(*set(numbered.inputFiles()))
+    written = spark.read.parquet(*{f for f in numbered.inputFiles() if "/rows/" in f})
     files = written.where("k = 50").groupBy(F.input_file_name()).count().collect()
     assert len(files) > 1 and max(r["count"] for r in files) < 6000
 
@@ -107,7 +107,7 @@ def test_meta(spark):
 
 def test_abort_after(spark):
     assert abort_after(spark.range(100), 100).count() == 100
-    with pytest.raises(LoadAborted, match="101 rows"):
+    with pytest.raises(LoadAborted, match="limit of 100"):
         abort_after(spark.range(101), 100)
 
 
