@@ -151,3 +151,15 @@ def joined_bytes(rows: pa.Array) -> memoryview:
     _, offsets, data = rows.buffers()
     bounds = np.frombuffer(offsets, dtype=np.int64)[rows.offset:rows.offset + len(rows) + 1]
     return memoryview(data)[bounds[0]:bounds[-1]] if len(rows) else memoryview(b"")
+
+
+def split_rows(data: bytes, flags: int) -> tuple[list[bytes], bytes]:
+    """Whole rows at the start of some bytes, and what is left; ``flags`` is the number of bytes for NULL flags."""
+    rows, at = [], 0
+    while at + 4 <= len(data):
+        end = at + 4 + flags + int.from_bytes(data[at : at + 4], "little")
+        if end > len(data):
+            break
+        rows.append(data[at:end])
+        at = end
+    return rows, data[at:]

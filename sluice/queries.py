@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from sluice.errors import LoadAborted
+from sluice.errors import LoadAborted, LoadPlanError
 from sluice.functions import conform as C, epoch
 from sluice.operators.mapping import map_by_name, map_by_position
 from sluice.operators.rejects import null_flags, passthrough, split_rejects, validate
@@ -26,13 +26,13 @@ from sluice.operators.shape import (
     route_merge,
     set_meta,
 )
-from sluice.plans.load import load
+from sluice.plans.load import check_load, load
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
 from sluice.sources.control import CONTROL_SCHEMA, spec_from_control_table
-from sluice.sources.native import NativeTarget, encode_rows, published_bytes
+from sluice.sources.native import NativeTarget, encode_rows, published_rows
 from sluice.sources.target import PathTarget, TableTarget, columns_from_table, create_target
 from sluice.sources.workspace import new_folder
-from sluice.streaming.stream import StreamTarget, stream_load
+from sluice.streaming.stream import NativeStreamTarget, StreamTarget, TableStreamTarget, stream_load
 
 LONG, DOUBLE, TEXT, WALL = T.LongType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
@@ -290,6 +290,33 @@ def conform_dates(spark, folder):
     )
 
 
+GUARDED = (("embeddings", "embedding", "FLOAT"), ("embeddings", "vec_id", "DATE"), ("embeddings", "vec_id", "INTEGER"),
+           ("events", "event_id", "TIMESTAMP"), ("events", "props", "TIME"), ("events", "ts", "INTEGER"), ("events", "ts", "TIMETZ"),
+           ("events", "value", "INTERVAL"), ("events", "value", "VARCHAR"))
+GUARD_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{f}' AS field, '{kind}' AS target, {taken} AS accepted, count(*) AS rows, "
+    f"count({f}) FILTER ({taken}) AS loaded FROM {t}"
+    for (t, f, kind), taken in zip(GUARDED, ("false", "false", "true", "false", "false", "false", "true", "false", "true")))
+
+
+@query(GUARD_SQL)
+def type_guard(spark, folder):
+    """Pairs of a field and a target type: refused before any job, or loaded in full."""
+    out = None
+    for name, f, kind in GUARDED:
+        rows = table(spark, folder, name).select(f)
+        try:
+            loaded = validate(rows, LoadSpec((Col(f, kind),)), passthrough=False).checked.select(F.col("__load_0").alias("value"))
+            accepted = True
+        except LoadPlanError:
+            loaded, accepted = rows.select(F.lit(None).cast("string").alias("value")), False
+        counted = loaded.agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("loaded")).select(
+            F.lit(name).alias("table_name"), F.lit(f).alias("field"), F.lit(kind).alias("target"), F.lit(accepted).alias("accepted"),
+            "rows", "loaded")
+        out = counted if out is None else out.union(counted)
+    return out
+
+
 # C. encodings
 
 @query("SELECT o_orderkey, date_diff('day', DATE '2000-01-01', CAST(o_orderdate AS DATE)) AS days FROM orders")
@@ -587,38 +614,73 @@ def native_rows_lineitem(spark, folder):
     return encode_rows(loaded, NATIVE_COLUMNS).select(F.hex("row_bytes").alias("row_hex"))
 
 
-@query(f"SELECT count(*) AS rows_accepted, CAST(sum(length({NATIVE_ROW}) // 2) AS BIGINT) AS row_bytes FROM lineitem")
+@query(f"SELECT md5({NATIVE_ROW}) AS row_digest, octet_length(encode({NATIVE_ROW})) // 2 AS row_bytes, "
+       "count(*) OVER () AS rows_accepted FROM lineitem")
 def native_export(spark, folder):
+    """Every row as it stands in the files that the manifest names."""
     out = new_folder(spark, "native")
     report = load(native_lineitem(spark, folder), NATIVE_SPEC, NativeTarget(out, NATIVE_COLUMNS))
-    return published_bytes(spark, out, len(NATIVE_COLUMNS)).select(
-        F.lit(report.rows_accepted).cast("bigint").alias("rows_accepted"), "row_bytes"
-    )
+    return published_rows(spark, out, len(NATIVE_COLUMNS)).select(
+        F.md5(F.hex("row_bytes").cast("binary")).alias("row_digest"), F.octet_length("row_bytes").cast("bigint").alias("row_bytes"),
+        F.lit(report.rows_accepted).cast("bigint").alias("rows_accepted"))
 
 
 EVENT_COLUMNS = (Col("id", "INTEGER"), Col("happened", "TIMESTAMP"), Col("kind", "VARCHAR", 6), Col("value", "NUMERIC", 9, 2))
 EVENT_FIELDS = (("event_id", "id"), ("ts", "happened"), ("event_type", "kind"), ("value", "value"))
 
 
-def _stream_events(spark, folder, out):
+def _stream_events(spark, folder, out, target=None):
     schema = table(spark, folder, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     spec = LoadSpec(columns=EVENT_COLUMNS, fields=EVENT_FIELDS, abort_on_error=False, rejected_path=f"{out}/rejected")
-    target = StreamTarget(f"{out}/target", EVENT_COLUMNS)
+    target = target or StreamTarget(f"{out}/target", EVENT_COLUMNS)
     stream_load(stream, spec, target, f"{out}/checkpoint", trigger={"availableNow": True}).awaitTermination()
 
 
-@query("SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS happened, event_type AS kind, "
-       "CAST(CAST(\"value\" AS DECIMAL(9,2)) AS VARCHAR) AS \"value\" FROM events WHERE octet_length(encode(event_type)) <= 6")
-def stream_load_(spark, folder):
-    out = new_folder(spark, "stream")
-    _stream_events(spark, folder, out)
-    return spark.read.parquet(f"{out}/target").select(
+STREAM_SQL = (
+    "SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS happened, event_type AS kind, "
+    "CAST(CAST(\"value\" AS DECIMAL(9,2)) AS VARCHAR) AS \"value\" FROM events WHERE octet_length(encode(event_type)) <= 6"
+)
+
+
+def _plain_events(df):
+    return df.select(
         "id", F.date_format("happened", "yyyy-MM-dd HH:mm:ss.SSS").alias("happened"), "kind",
         F.col("value").cast("string").alias("value"),
     )
 
 
+@query(STREAM_SQL)
+def stream_load_(spark, folder):
+    out = new_folder(spark, "stream")
+    _stream_events(spark, folder, out)
+    return _plain_events(spark.read.parquet(f"{out}/target"))
+
+
+@query(STREAM_SQL)
+def stream_load_table(spark, folder):
+    out = new_folder(spark, "stream")
+    name = "streamed_" + out.rsplit("-", 1)[1]
+    _stream_events(spark, folder, out, TableStreamTarget(name, EVENT_COLUMNS))
+    return _plain_events(spark.table(name))
+
+
+EVENT_PRICE = "CAST(CAST(\"value\" AS DECIMAL(9,2)) AS VARCHAR)"
+EVENT_ROW = sql_row([
+    (None, sql_little_endian("event_id"), "8"),
+    (None, sql_little_endian("epoch_us(ts) // 1000 * 1000 - 946684800000000"), "8"),
+    (None, sql_wire_text("event_type"), f"4 + {sql_bytes('event_type')}"),
+    (None, sql_wire_text(EVENT_PRICE), f"4 + {sql_bytes(EVENT_PRICE)}"),
+])
+
+
+@query(f"SELECT {EVENT_ROW} AS row_hex FROM events WHERE octet_length(encode(event_type)) <= 6")
+def stream_load_native(spark, folder):
+    out = new_folder(spark, "stream")
+    _stream_events(spark, folder, out, NativeStreamTarget(f"{out}/target", EVENT_COLUMNS))
+    return published_rows(spark, f"{out}/target", len(EVENT_COLUMNS)).select(F.hex("row_bytes").alias("row_hex"))
+
+
 @query("SELECT event_id, 'kind: longer than 6 bytes' AS reject_reason FROM events "
        "WHERE octet_length(encode(event_type)) > 6")
 def stream_load_rejects(spark, folder):
@@ -627,6 +689,20 @@ def stream_load_rejects(spark, folder):
     return spark.read.parquet(f"{out}/rejected").select("event_id", "reject_reason")
 
 
+@query("SELECT level, remark, (SELECT count(*) FROM lineitem) AS rows FROM ("
+       "SELECT 'warning' AS level, 'field ' || column_name || ' is not loaded' AS remark FROM (DESCRIBE lineitem) "
+       "WHERE column_name NOT IN ('l_orderkey', 'l_shipdate', 'l_quantity') UNION ALL "
+       "SELECT 'error', 'field l_quantity: a double field cannot be loaded into DATE: it must be a date or timestamp' UNION ALL "
+       "SELECT 'warning', 'column remark gets no value from the stream')")
+def check_load_(spark, folder):
+    """What the check before a load finds on a table's own fields."""
+    lines = table(spark, folder, "lineitem")
+    spec = LoadSpec((Col("id", "INTEGER"), Col("shipped", "DATE"), Col("wrong", "DATE"), Col("remark", "VARCHAR", 4)),
+                    fields=(("l_orderkey", "id"), ("l_shipdate", "shipped"), ("l_quantity", "wrong")))
+    found = spark.createDataFrame([(r.level, r.text) for r in check_load(lines.schema, spec)], "level string, remark string")
+    return found.crossJoin(F.broadcast(lines.agg(F.count(F.lit(1)).alias("rows"))))
+
+
 # F. steps around a load
 
 @query("SELECT o_orderkey AS id, o_custkey FROM orders")

@@ -1,50 +1,62 @@
-"""Native binary datasets: one self-contained file per writing task.
+"""Native binary datasets: one self-contained file per writing task, and a manifest per run.
 
-Tasks write below a staging folder that the driver makes for the run; the driver's commit moves whole
-files into place and writes a manifest last. A run without manifest is not published, and failed,
-repeated or lost task attempts leave nothing outside the staging folder, which commit and abort both
-remove. A task that outlives an aborted run finds no folder to write to.
+Tasks write files under their final names, which hold the run and the attempt. The driver's commit only writes the
+manifest, which names the files of the attempts that counted; readers take files from manifests alone. So nothing is moved, a
+run without manifest is not published, and files of failed, repeated or lost attempts are never read; commit and
+abort remove those they find.
+
+A manifest has one JSON object per line: the first holds the run and the runs that it replaces, the others a file each.
 """
 
 from __future__ import annotations
 
 import json
 import posixpath
-import time
+import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from uuid import uuid4
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from sluice.errors import LoadPlanError
 from sluice.functions import wire
 from sluice.operators.mapping import column
 
 FORMAT = "native_rows"
-STAGING = "_staging-"
-MANIFEST = "_manifest-"
+MANIFEST = "manifest-"
+MANIFEST_SCHEMA = "run string, replaces array<string>, file string, rows bigint, bytes bigint"
 SUFFIX = ".bin"
-MOVERS = 32  # files the driver moves at a time
-REMOVALS = 50  # tries to remove a folder that tasks are still leaving
+REMOVERS = 32  # files the driver removes at a time
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}  # names that Spark and Arrow have for the same stores
+SCHEME = re.compile("[A-Za-z][A-Za-z0-9+.-]*:")
+READ_BYTES = 1 << 22
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a plain path or a URI (file, hdfs, s3, ...)."""
+    """File system and path of a plain path or a URI (file, hdfs, s3, ...); other schemes are refused."""
     if path.startswith("file:"):
         path = "/" + path[len("file:"):].lstrip("/")
     if path.startswith("/"):
         return pafs.LocalFileSystem(), path.rstrip("/")
-    fs, inner = pafs.FileSystem.from_uri(path)
+    scheme, separator, rest = path.partition("://")
+    if not separator:
+        raise LoadPlanError(f"files cannot be written to {path}: it is neither a path nor a URI with a host")
+    try:
+        fs, inner = pafs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as error:
+        raise LoadPlanError(f"files cannot be written to {path}: {error}") from error
     return fs, inner.rstrip("/")
 
 
 def qualified(spark, path: str) -> str:
     """A plain path is on the cluster's default file system, for Spark and so for us."""
     default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
-    return path if "://" in path or path.startswith("file:") else default.rstrip("/") + path
+    return path if SCHEME.match(path) else default.rstrip("/") + path
 
 
 @dataclass
@@ -54,43 +66,21 @@ class PartWritten(WriterCommitMessage):
     bytes: int
 
 
-def staging_folder(path: str, run: str) -> tuple[pafs.FileSystem, str]:
-    fs, root = filesystem(path)
-    return fs, posixpath.join(root, STAGING + run)
-
-
-def make_staging(path: str, run: str) -> None:
-    fs, staging = staging_folder(path, run)
-    fs.create_dir(staging, recursive=True)
-
-
-def remove_staging(path: str, run: str) -> None:
-    fs, staging = staging_folder(path, run)
-    for _ in range(REMOVALS):
-        if fs.get_file_info(staging).type != pafs.FileType.Directory:
-            return
-        try:
-            fs.delete_dir(staging)
-        except OSError:  # a task added a file meanwhile
-            time.sleep(0.1)
-
-
 class NativeWriter(DataSourceArrowWriter):
     def __init__(self, path: str, run: str, widths: list[int], overwrite: bool):
         self.path, self.run, self.widths, self.overwrite = path, run, widths, overwrite
 
     def write(self, iterator):
         context = TaskContext.get()
-        fs, staging = staging_folder(self.path, self.run)
-        name = f"part-{context.partitionId():06d}-{self.run}{SUFFIX}"
-        attempt = f"{name}.{context.taskAttemptId()}"
+        fs, root = filesystem(self.path)
+        name = f"part-{context.partitionId():06d}-{self.run}-{context.taskAttemptId()}{SUFFIX}"
         rows = size = 0
         out = None
         try:
             for batch in iterator:
                 for piece in wire.slices(batch):
                     if out is None:  # tasks without rows leave no file
-                        out = fs.open_output_stream(posixpath.join(staging, attempt))
+                        out = fs.open_output_stream(posixpath.join(root, name))
                         header = wire.file_header(self.widths)
                         out.write(header)
                         size += len(header)
@@ -101,41 +91,58 @@ class NativeWriter(DataSourceArrowWriter):
         finally:
             if out is not None:
                 out.close()
-        return PartWritten(attempt if out is not None else None, rows, size)
+        return PartWritten(name if out is not None else None, rows, size)
 
     def commit(self, messages):
         fs, root = filesystem(self.path)
-        staging = posixpath.join(root, STAGING + self.run)
-        parts = [m for m in messages if m is not None and m.name]
-        old = self._published(fs, root) if self.overwrite else []
-
-        def publish(part):
-            final = part.name.rsplit(".", 1)[0]
-            fs.move(posixpath.join(staging, part.name), posixpath.join(root, final))
-            return {"file": final, "rows": part.rows, "bytes": part.bytes}
-
-        with ThreadPoolExecutor(MOVERS) as movers:
-            files = list(movers.map(publish, parts))
-        manifest = {
-            "run": self.run, "rows": sum(p.rows for p in parts), "bytes": sum(p.bytes for p in parts), "files": files,
-        }
+        files = [{"run": self.run, "file": m.name, "rows": m.rows, "bytes": m.bytes} for m in messages if m is not None and m.name]
+        old = [m for m in _manifests(fs, root) if m["run"] != self.run] if self.overwrite else []
+        lines = [{"run": self.run, "replaces": [m["run"] for m in old]}, *files]
         draft = posixpath.join(root, f".{MANIFEST}{self.run}")
         with fs.open_output_stream(draft) as out:
-            out.write(json.dumps(manifest).encode())
-        fs.move(draft, posixpath.join(root, f"{MANIFEST}{self.run}.json"))
-        for path in old:
-            fs.delete_file(path)
-        remove_staging(self.path, self.run)
+            for line in lines:
+                out.write(json.dumps(line).encode() + b"\n")
+        fs.move(draft, posixpath.join(root, f"{MANIFEST}{self.run}.json"))  # published
+        _remove(fs, [posixpath.join(root, f"{MANIFEST}{m['run']}.json") for m in old])
+        _remove(fs, [posixpath.join(root, f["file"]) for m in old for f in m["files"]])
+        _remove(fs, _files_of(fs, root, self.run, {f["file"] for f in files}))
 
     def abort(self, messages):
-        remove_staging(self.path, self.run)
+        fs, root = filesystem(self.path)
+        published = {f["file"] for m in _manifests(fs, root) if m["run"] == self.run for f in m["files"]}
+        _remove(fs, _files_of(fs, root, self.run, published))
+
 
-    def _published(self, fs, root):
-        """Files of earlier runs, manifests first so that no manifest names a missing file."""
-        found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-        ours = [f for f in found if f.base_name.startswith(MANIFEST)
-                or f.base_name.startswith("part-") and f.base_name.endswith(SUFFIX)]
-        return [f.path for f in sorted(ours, key=lambda f: not f.base_name.startswith(MANIFEST))]
+def _listed(fs, root):
+    return fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
+
+
+def _files_of(fs, root, run: str, published: set[str]) -> list[str]:
+    """Files of a run that its manifest doesn't name."""
+    return [f.path for f in _listed(fs, root) if f.base_name.startswith("part-") and f"-{run}-" in f.base_name
+            and f.base_name not in published]
+
+
+def _remove(fs, paths: list[str]) -> None:
+    def remove(path):
+        try:
+            fs.delete_file(path)
+        except FileNotFoundError:
+            pass  # an earlier try removed it
+
+    with ThreadPoolExecutor(REMOVERS) as removers:
+        list(removers.map(remove, paths))
+
+
+def _manifests(fs, root) -> list[dict]:
+    found = []
+    for f in _listed(fs, root):
+        if f.base_name.startswith(MANIFEST):
+            with fs.open_input_stream(f.path) as stream:
+                head, *files = [json.loads(line) for line in stream.readall().splitlines()]
+            found.append({**head, "rows": sum(p["rows"] for p in files), "bytes": sum(p["bytes"] for p in files), "files": files})
+    replaced = {run for m in found for run in m["replaces"]}
+    return sorted((m for m in found if m["run"] not in replaced), key=lambda m: m["run"])
 
 
 class NativeSink(DataSource):
@@ -163,11 +170,15 @@ def _widths(loaded: DataFrame, columns) -> list[int]:
 
 @dataclass(frozen=True)
 class NativeTarget:
-    """Native files of the loaded columns, for ``plans.load.load`` or on their own."""
+    """Native files of the loaded columns, for ``plans.load.load`` or on their own.
+
+    A ``run`` that is given is published again in place of its earlier try.
+    """
 
     path: str
     columns: tuple
     mode: str = "append"
+    run: str | None = None
     atomic = True
 
     def write(self, loaded: DataFrame) -> None:
@@ -175,15 +186,13 @@ class NativeTarget:
         spark.dataSource.register(NativeSink)
         widths = _widths(loaded, self.columns)
         wire.file_header(widths)  # refuses too many columns before any job
-        path, run = qualified(spark, self.path), uuid4().hex
-        make_staging(path, run)
-        try:
-            (
-                wire_columns(loaded, self.columns).write.format(FORMAT).mode(self.mode)
-                .option("path", path).option("run", run).option("widths", json.dumps(widths)).save()
-            )
-        finally:
-            remove_staging(path, run)
+        path = qualified(spark, self.path)
+        fs, root = filesystem(path)  # and schemes it cannot write to
+        fs.create_dir(root, recursive=True)
+        (
+            wire_columns(loaded, self.columns).write.format(FORMAT).mode(self.mode).option("path", path)
+            .option("run", self.run or uuid4().hex).option("widths", json.dumps(widths)).save()
+        )
 
 
 def encode_rows(loaded: DataFrame, columns, name: str = "row_bytes") -> DataFrame:
@@ -205,22 +214,43 @@ def header_size(columns: int) -> int:
     return len(wire.file_header([0] * columns))
 
 
+def published_files(spark, path: str) -> DataFrame:
+    """run, file, rows and bytes of the published files, from the manifests."""
+    lines = spark.read.schema(MANIFEST_SCHEMA).option("pathGlobFilter", f"{MANIFEST}*.json").json(path)
+    replaced = lines.select(F.explode("replaces").alias("run"))
+    files = lines.where(F.col("file").isNotNull()).join(replaced, "run", "left_anti")
+    return files.select("run", "file", "rows", "bytes")
+
+
 def published_bytes(spark, path: str, columns: int) -> DataFrame:
-    """One row: the published files of a native dataset and the bytes of their rows, from file listings."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"part-*{SUFFIX}").load(path)
-    return files.select("length").agg(
+    """One row: the published files of a native dataset and the bytes of their rows."""
+    return published_files(spark, path).agg(
         F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum(F.col("length") - header_size(columns)), F.lit(0)).alias("row_bytes"),
+        F.coalesce(F.sum(F.col("bytes") - header_size(columns)), F.lit(0)).alias("row_bytes"),
     )
 
 
+def published_rows(spark, path: str, columns: int) -> DataFrame:
+    """The bytes of every published row, read back from the files that the manifests name, one task for each file."""
+    root, flags = qualified(spark, path), (columns + 7) // 8
+
+    def read(batches):
+        for batch in batches:
+            for name in batch.column("file").to_pylist():
+                fs, folder = filesystem(root)
+                with fs.open_input_stream(posixpath.join(folder, name)) as data:
+                    data.read(header_size(columns))
+                    rest = b""
+                    while more := data.read(READ_BYTES):
+                        rows, rest = wire.split_rows(rest + more, flags)
+                        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["row_bytes"])
+                    if rest:
+                        raise ValueError(f"file {name} ends within a row")
+
+    files = published_files(spark, path).select("file")
+    return files.repartition("file").mapInArrow(read, T.StructType([T.StructField("row_bytes", T.BinaryType())]))
+
+
 def read_manifests(path: str) -> list[dict]:
     """Manifests of the published runs."""
-    fs, root = filesystem(path)
-    found = [f for f in fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-             if f.base_name.startswith(MANIFEST)]
-    manifests = []
-    for f in sorted(found, key=lambda f: f.base_name):
-        with fs.open_input_stream(f.path) as stream:
-            manifests.append(json.loads(stream.readall()))
-    return manifests
+    return _manifests(*filesystem(path))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.errors import LoadPlanError
 from sluice.plans.load import check_load, load
 from sluice.plans.spec import LoadSpec
-from sluice.sources.target import PathTarget
+from sluice.sources.native import NativeTarget
+from sluice.sources.target import PathTarget, full_row
 
 BATCH = "batch_id"
 
@@ -27,13 +28,52 @@ class StreamTarget:
         return PathTarget(_partition(self.path, batch_id), self.columns, self.format, mode="overwrite")
 
 
+@dataclass(frozen=True)
+class NativeStreamTarget:
+    """Native files; a batch is a run of its own, and a repeated batch publishes its run again in place of the first try."""
+
+    path: str
+    columns: tuple
+
+    def batch(self, batch_id: int) -> NativeTarget:
+        return NativeTarget(self.path, self.columns, run=f"batch{batch_id}")
+
+
+@dataclass(frozen=True)
+class TableStreamTarget:
+    """A catalog table partitioned by ``batch_id``, made at the first batch; a repeated batch overwrites its partition alone."""
+
+    table: str
+    columns: tuple
+    source: str = "parquet"
+
+    def batch(self, batch_id: int) -> _TableBatch:
+        return _TableBatch(self, batch_id)
+
+
+@dataclass(frozen=True)
+class _TableBatch:
+    target: TableStreamTarget
+    batch_id: int
+    atomic = True
+
+    def write(self, loaded: DataFrame) -> None:
+        spark: SparkSession = loaded.sparkSession
+        rows = full_row(loaded, self.target.columns)
+        if not spark.catalog.tableExists(self.target.table):
+            empty = spark.createDataFrame([], rows.schema).withColumn(BATCH, F.lit(None).cast("bigint"))
+            empty.write.format(self.target.source).partitionBy(BATCH).saveAsTable(self.target.table)
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {self.target.table} PARTITION ({BATCH} = {int(self.batch_id)}) SELECT * FROM {{rows}}", rows=rows)
+
+
 def _partition(path: str | None, batch_id: int) -> str | None:
     return path and f"{path.rstrip('/')}/{BATCH}={batch_id}"
 
 
-def stream_load(stream: DataFrame, spec: LoadSpec, target: StreamTarget, checkpoint: str, trigger: dict | None = None,
+def stream_load(stream: DataFrame, spec: LoadSpec, target, checkpoint: str, trigger: dict | None = None,
                 on_report=None) -> StreamingQuery:
-    """Start loading a stream.
+    """Start loading a stream into a ``StreamTarget``, ``TableStreamTarget`` or ``NativeStreamTarget``.
 
     The checkpoint decides which rows belong to which batch, so a restarted query repeats the batch it
     was in. ``on_report(batch_id, report)`` gets the exact counts of every batch. With ``abort_on_error``

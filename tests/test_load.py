@@ -4,15 +4,17 @@ import os
 import random
 import re
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.errors import LoadAborted, LoadPlanError
+from sluice.operators.sequence import numbered
 from sluice.operators.rejects import null_flags, passthrough, rejected_line, split_rejects, validate
 from sluice.plans.load import LoadReport, cluster, load
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
-from sluice.sources.target import JdbcTarget, PathTarget, TableTarget, columns_from_table
+from sluice.sources.target import JdbcTarget, PathTarget, TableTarget, columns_from_table, create_target
 from sluice.sources.workspace import materialize, new_folder, shared_root
 
 COLUMNS = (Col("text", "VARCHAR", 15), Col("number", "INTEGER"))
@@ -307,3 +309,47 @@ def test_wide_rows(spark, tmp_path):
     assert load(df, spec, PathTarget(out, columns)) == LoadReport(400, 200, 200)
     logged = spark.read.parquet(log).select("column", "value").collect()
     assert sorted(logged) == sorted((f"c{i}", "wrong") for i in range(200))
+
+
+def shared_copies(spark):
+    root = Path(shared_root(spark))
+    return {p.name for p in root.iterdir()} if root.exists() else set()
+
+
+def test_no_copies_stay(spark, tmp_path):
+    """Loads, aborts and numbered sequences leave nothing in the shared folder."""
+    before = shared_copies(spark)
+    columns = (Col("s", "VARCHAR", 2), Col("i", "INTEGER"))
+    df = spark.createDataFrame([("a", "1"), ("b", "x"), ("long", "2")], "s string, i string")
+    spec = LoadSpec(columns, abort_on_error=False, rejected_path=str(tmp_path / "r"), exceptions_path=str(tmp_path / "e"))
+    assert load(df, spec, PathTarget(str(tmp_path / "t"), columns), stage=True) == LoadReport(3, 1, 2)
+    assert spark.read.parquet(str(tmp_path / "r")).count() == spark.read.parquet(str(tmp_path / "e")).count() == 2
+    with pytest.raises(LoadAborted):
+        load(df, spec.with_options(abort_on_error=True), PathTarget(str(tmp_path / "u"), columns), stage=True)
+    with numbered(spark.range(100), "n") as rows:
+        assert rows.count() == 100
+    assert shared_copies(spark) == before
+
+
+def test_declared_types_survive(spark, tmp_path, name):
+    columns = (
+        Col("a", "INTEGER", width=4), Col("b", "BOOLEAN"), Col("c", "FLOAT"), Col("d", "CHAR", 3), Col("e", "VARCHAR", 7),
+        Col("f", "VARCHAR"), Col("g", "DATE"), Col("h", "TIME"), Col("i", "TIMETZ"), Col("j", "TIMESTAMP"), Col("k", "TIMESTAMPTZ"),
+        Col("l", "INTERVAL"), Col("m", "VARBINARY", 3), Col("n", "BINARY", 3, fixed=True), Col("o", "NUMERIC", 9, 2), Col("p", "DOUBLE PRECISION"))
+    create_target(spark, name, columns)
+    assert columns_from_table(spark, name) == columns
+    create_target(spark, name, columns)  # it is there already
+    with pytest.raises(LoadPlanError, match="other columns"):
+        create_target(spark, name, columns[1:])
+    spec = LoadSpec(columns_from_table(spark, name), fields=(("at", "h"), ("raw", "n"), ("raw", "m")), abort_on_error=False)
+    df = spark.sql("SELECT timestamp_ntz'2020-01-01 01:02:03' AS at, r AS raw FROM VALUES (X'0102'), (X'01020304') AS t(r)")
+    for _ in range(2):
+        assert load(df, spec, TableTarget(name)) == LoadReport(2, 1, 1)
+    assert [tuple(r) for r in spark.table(name).select("h", "n", "m").distinct().collect()] == [
+        (3723000000, bytearray(b"\x01\x02\x00"), bytearray(b"\x01\x02"))]
+
+
+def test_create_makes_tables_only(spark, tmp_path):
+    columns = (Col("id", "INTEGER"),)
+    with pytest.raises(LoadPlanError, match="PathTarget"):
+        load(spark.range(1), LoadSpec(columns), PathTarget(str(tmp_path / "t"), columns), create=True)

@@ -1,6 +1,5 @@
 """Native files: layout, round trip, commit and abort."""
 
-import os
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
@@ -79,7 +78,7 @@ def test_many_rows_and_files(spark, tmp_path):
 
 def test_rows_are_not_split_between_batches(spark, tmp_path):
     columns = tuple(Col(f"c{i}", "VARCHAR", 19) for i in range(4))
-    rows = [("19 characters------", "4 ch", "7 chara", "8 charac")] * 501
+    rows = [("n" * 19, "four", "seventh", "eight ok")] * 501
     out = str(tmp_path / "out")
     load(spark.createDataFrame(rows, "a string, b string, c string, d string"), LoadSpec(columns), NativeTarget(out, columns))
     assert read_all(out, ["text"] * 4) == rows
@@ -101,7 +100,7 @@ def test_abort_leaves_nothing(spark, tmp_path, repeat):
     df = spark.range(0, 4000, 1, 4).select(F.when(F.col("id") == 3999, "x").otherwise("1"))
     with pytest.raises(LoadAborted):
         load(df, LoadSpec(columns), NativeTarget(str(out), columns))
-    assert not out.exists() or os.listdir(out) == []
+    assert read_manifests(str(out)) == [] and published_bytes(spark, str(out), 1).first()["files"] == 0
 
 
 def test_no_rows_no_files(spark, tmp_path):
@@ -133,38 +132,98 @@ def test_local_paths():
         assert filesystem(path)[1] == "/a/b"
 
 
-def test_repeated_and_lost_attempts(tmp_path, monkeypatch):
-    """Only the attempt the driver heard of is published; the others vanish with the staging folder."""
-    out = tmp_path / "out"
-    native.make_staging(str(out), "first")
-    writer = native.NativeWriter(str(out), "first", [8], overwrite=False)
-    batch = pa.RecordBatch.from_pydict({"k": [1, 2]})
-
+def attempted(writer, monkeypatch):
     def attempt(partition, number, batches):
         context = SimpleNamespace(partitionId=lambda: partition, taskAttemptId=lambda: number)
         monkeypatch.setattr(native, "TaskContext", SimpleNamespace(get=lambda: context))
         return writer.write(iter(batches))
 
-    def dies():
-        yield batch
-        raise OSError("executor lost")
+    return attempt
+
+
+BATCH = pa.RecordBatch.from_pydict({"k": [1, 2]})
+
 
+def dies():
+    yield BATCH
+    raise OSError("executor lost")
+
+
+def test_repeated_and_lost_attempts(tmp_path, monkeypatch):
+    """Only the attempts the driver heard of are published; the files of others are never read, and removed."""
+    out = tmp_path / "out"
+    out.mkdir()
+    writer = native.NativeWriter(str(out), "first", [8], overwrite=False)
+    attempt = attempted(writer, monkeypatch)
     with pytest.raises(OSError):
         attempt(0, 1, dies())
-    attempt(0, 2, [batch])  # finished, but its message never arrived
-    messages = [attempt(0, 3, [batch]), attempt(1, 4, []), attempt(2, 5, [batch, batch])]
-    assert parts(out) == [] and read_manifests(str(out)) == []
+    attempt(0, 2, [BATCH])  # finished, but its message never arrived
+    messages = [attempt(0, 3, [BATCH]), attempt(1, 4, []), attempt(2, 5, [BATCH, BATCH])]
+    assert read_manifests(str(out)) == []
     writer.commit(messages)
     assert sorted(read_all(out, ["int"])) == [(1,)] * 3 + [(2,)] * 3
-    assert sorted(p.name[:4] for p in out.iterdir()) == ["_man", "part", "part"]
+    assert sorted(p.name[:4] for p in out.iterdir()) == ["mani", "part", "part"]
+
+    second = native.NativeWriter(str(out), "second", [8], overwrite=True)
+    message = attempted(second, monkeypatch)(0, 6, [BATCH])
+    second.abort([message])
+    attempted(second, monkeypatch)(1, 7, [BATCH])  # a task that was still running
+    assert len(read_manifests(str(out))) == 1 and sum(m["rows"] for m in read_manifests(str(out))) == 6
 
-    native.make_staging(str(out), "second")
-    writer = native.NativeWriter(str(out), "second", [8], overwrite=True)
-    message = attempt(0, 6, [batch])
+
+def test_commit_that_fails_publishes_nothing(spark, tmp_path, monkeypatch):
+    out = tmp_path / "out"
+    out.mkdir()
+    writer = native.NativeWriter(str(out), "run", [8], overwrite=False)
+    message = attempted(writer, monkeypatch)(0, 1, [BATCH])
+
+    class Failing:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def move(self, a, b):
+            raise OSError("store is gone")
+
+    with monkeypatch.context() as m:
+        plain = native.filesystem
+        m.setattr(native, "filesystem", lambda path: (Failing(plain(path)[0]), plain(path)[1]))
+        with pytest.raises(OSError):
+            writer.commit([message])
+    assert read_manifests(str(out)) == [] and len(parts(out)) == 1
     writer.abort([message])
-    with pytest.raises(OSError):  # a task that was still running
-        attempt(1, 7, [batch])
-    assert sorted(p.name[:4] for p in out.iterdir()) == ["_man", "part", "part"]
+    assert parts(out) == []
+
+
+def test_run_that_is_published_again(tmp_path, monkeypatch):
+    out = tmp_path / "out"
+    out.mkdir()
+    for number in (1, 2):
+        writer = native.NativeWriter(str(out), "batch0", [8], overwrite=False)
+        writer.commit([attempted(writer, monkeypatch)(0, number, [BATCH] * number)])
+    assert sum(m["rows"] for m in read_manifests(str(out))) == 4 and len(parts(out)) == 1
+
+
+def test_schemes(spark, monkeypatch):
+    with monkeypatch.context() as m:
+        m.setattr(native.pafs, "FileSystem", SimpleNamespace(from_uri=lambda uri: (uri, "bucket/a/b")))
+        assert filesystem("s3a://bucket/a/b")[0] == "s3://bucket/a/b"
+    for path in ("wasbs://c@a/b", "dbfs:/a"):
+        with pytest.raises(LoadPlanError, match="cannot be written"):
+            load(spark.range(1), LoadSpec((Col("k", "INTEGER"),)), NativeTarget(path, (Col("k", "INTEGER"),)))
+
+
+def test_rows_are_read_back(spark, tmp_path, monkeypatch):
+    columns = (Col("k", "INTEGER"), Col("s", "VARCHAR", 50))
+    df = spark.range(0, 5000, 1, 3).select("id", F.repeat(F.lit("é"), (F.col("id") % 20).cast("int")))
+    out = str(tmp_path / "out")
+    load(df, LoadSpec(columns), NativeTarget(out, columns))
+    monkeypatch.setattr(native, "READ_BYTES", 1000)
+    found = native.published_rows(spark, out, 2).select("row_bytes").collect()
+    assert sorted(map(bytes, (r[0] for r in found))) == sorted(
+        bytes(r[0]) for r in encode_rows(df.toDF("k", "s"), columns).select("row_bytes").collect())
 
 
 def test_plain_paths_follow_the_default_file_system(spark):

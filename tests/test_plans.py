@@ -3,11 +3,12 @@
 import re
 
 import pytest
-from pyspark.sql import Observation
+from pyspark.sql import Observation, functions as F
 
 from sluice.operators.rejects import count_columns, validate
 from sluice.operators.sequence import add_sequence
-from sluice.plans.load import abort_on_reject, arrives_in_order, cluster
+from sluice.plans import load as load_module
+from sluice.plans.load import abort_on_reject, arrives_in_order, cluster, range_count
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
 from sluice.queries import LINEITEM_COLUMNS, NATIVE_COLUMNS, NATIVE_SPEC, native_lineitem
 from sluice.sources.native import encode_rows
@@ -72,7 +73,8 @@ def test_files_are_clustered_without_another_sort(spark, plan):
 
 @pytest.mark.parametrize("shuffled", [
     lambda df: df.repartition(3), lambda df: df.groupBy("c_mktsegment", "c_name").count(), lambda df: df.cache(),
-    lambda df: df.sparkSession.createDataFrame(df.limit(5).collect()),
+    lambda df: df.sparkSession.createDataFrame(df.limit(5).collect()), lambda df: df.mapInArrow(lambda batches: batches, df.schema),
+    lambda df: df.withColumn("r", F.rand()), lambda df: df.withColumn("u", F.udf(lambda x: x)("c_name")),
 ])
 def test_ties_after_a_shuffle_are_numbered_by_content(spark, plan, shuffled):
     """Otherwise a map task that is run again could send rows to other ranges than before."""
@@ -98,3 +100,17 @@ def test_all_lineitem_columns_conform_in_one_stage(spark, plan):
     text = plan(validate(df, LoadSpec(LINEITEM_COLUMNS), passthrough=False).loaded)
     assert "Exchange" not in text and "CollectMetrics" in text
     assert "codegen id : 2" in text and "codegen id : 3" not in text  # below and above the count
+
+
+def test_bad_rows_are_found_before_the_shuffle(spark, plan):
+    """A clustered load that aborts does so before its rows are sampled and sorted."""
+    rows = validate(customers(spark), LoadSpec((Col("k", "INTEGER"),), fields=(("c_name", "k"),)), passthrough=False)
+    text = plan(cluster(abort_on_reject(rows), ["__load_0"], 4).observe("n", F.count(F.lit(1))))
+    assert 0 < text.index("raise_error") < text.index("rangepartitioning")
+
+
+def test_ranges_follow_the_size(spark, monkeypatch):
+    df = customers(spark)
+    assert range_count(df) == 8
+    monkeypatch.setattr(load_module, "RANGE_BYTES", 100)
+    assert range_count(df) > 8

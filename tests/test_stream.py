@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from sluice.errors import LoadPlanError
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
-from sluice.streaming.stream import StreamTarget, stream_load
+from sluice.sources.native import published_rows, read_manifests
+from sluice.streaming.stream import NativeStreamTarget, StreamTarget, TableStreamTarget, stream_load
 
 COLUMNS = (Col("id", "INTEGER"), Col("body", "VARCHAR", 6))
 NOW = {"availableNow": True}
@@ -84,3 +85,30 @@ def test_stream_is_named_and_checked(spark, setup):
     assert setup.run(stream_name="nightly").name == "nightly"
     with pytest.raises(LoadPlanError):
         setup.run(fields=[("nope", "id")])
+
+
+@pytest.mark.parametrize("kind", ["table", "native"])
+def test_other_targets_take_a_batch_once(spark, setup, name, tmp_path, kind):
+    """A batch that was written but not recorded is run again; the table or folder has it once."""
+    out = str(tmp_path / "native")
+    setup.target = TableStreamTarget(name, COLUMNS) if kind == "table" else NativeStreamTarget(out, COLUMNS)
+    setup.add(0, 10)
+    setup.add(995, 1005)
+    failing = iter([True])
+
+    def report(batch, counts):
+        setup.reports[batch] = counts
+        if next(failing, False):
+            raise OSError("driver lost")
+
+    stream = spark.readStream.schema("id long, text string").option("maxFilesPerTrigger", 1).parquet(setup.source)
+    spec = LoadSpec(COLUMNS, abort_on_error=False)
+    with pytest.raises(Exception):
+        stream_load(stream, spec, setup.target, setup.checkpoint, NOW, report).awaitTermination()
+    stream_load(stream, spec, setup.target, setup.checkpoint, NOW, report).awaitTermination()
+    if kind == "table":
+        assert sorted(r.id for r in spark.table(name).collect()) == list(range(10)) + list(range(995, 1000))
+        assert spark.table(name).columns == ["id", "body", "batch_id"]
+    else:
+        assert published_rows(spark, out, 2).count() == 15
+        assert sorted(m["run"] for m in read_manifests(out)) == ["batch0", "batch1"]
