@@ -19,10 +19,18 @@ def _small(edges: DataFrame) -> DataFrame:
     return hung.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs below one other node that hangs below none; nothing is left to do then."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    roles = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return roles.filter("below > 1 OR below + above > 1").isEmpty()
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node and component, the smallest node that it reaches, of every node in ``links``; links may stand either way round.
 
-    Every turn hangs all neighbours of a node below the smallest one; a component ends as a star. Nodes with many
+    Every turn hangs all neighbours of a node below the smallest one, until every component is a star. Nodes with many
     neighbours aren't gathered: their smallest neighbour is found by partial aggregation and joined back, where adaptive
     execution splits a hot key. Each turn is written to the shared folder, so a lost executor costs at most a turn.
     The result is a table there.
@@ -30,13 +38,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     spark = links.sparkSession
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct()
     folder = new_folder(spark, "components")
-    edges, before = write_table(edges, folder), None
-    while True:
-        # the links' sum tells whether a turn changed anything
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                edges.select("v", "v").distinct())
-        before, old, folder = state, folder, new_folder(spark, "components")
+    edges = write_table(edges, folder)
+    while not _are_stars(edges):
+        old, folder = folder, new_folder(spark, "components")
         edges = write_table(_small(_large(edges)), folder)
         remove(spark, old)
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
