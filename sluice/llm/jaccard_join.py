@@ -25,6 +25,10 @@ from sluice.sources.workspace import materialize, scratch, write_table
 TOGETHER = 2048
 #: Rows of an Arrow batch on the way out.
 ROWS = 1 << 16
+#: Sets of a group that are compared with as many others in one step.
+BLOCK = 1024
+#: 64-bit words of the sketch by which pairs of a group are told apart before their elements are compared.
+WORDS = 32
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -32,15 +36,13 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 class Settings:
     """``n``: words of a shingle. ``percent``: least similarity. ``ratio``: largest to smallest size of a band. ``spare``: equal parts that
     similar sets have beyond one, as a share of those that may differ; sets that meet in fewer groups aren't compared.
-    ``empty``: share of the parts that may be empty before a set uses its empty parts as keys too. ``work``: pairs for each row
-    of a group above which groups are compared around new leaders before they are compared in full."""
+    ``empty``: parts that sets of any size may have empty before these are keys too, as such a share."""
 
     n: int = 5
     percent: int = 80
     ratio: float = 1.5
     spare: float = 1 / 16
     empty: float = 0.04
-    work: float = 4
 
 
 def shingles(data: bytes, n: int) -> np.ndarray:
@@ -69,6 +71,25 @@ def set_id(elements: np.ndarray) -> tuple[int, int]:
     return int(first.view(np.int64)), int(second.view(np.int64))
 
 
+def sketch(elements: np.ndarray) -> np.ndarray:
+    """The set's parity sketch: every element flips one bit."""
+    bits = np.bincount((mixed(elements ^ np.uint64(1)) % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.uint64)
+
+
+def close_pairs(left, right, percent: int):
+    """Places of pairs of (component, size, sketch) columns that may be similar, in different components.
+
+    Neither sizes nor the sketches' distance, which is no larger than the sets' difference, rule them out.
+    """
+    component, size, sketches = right
+    for i, (own, n, bits) in enumerate(zip(*left)):
+        at = np.flatnonzero((component != own) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
+        apart = np.bitwise_count(sketches[at] ^ bits).sum(1, dtype=np.int64)
+        for j in at[apart <= (size[at] + n) * (100 - percent) // (100 + percent)]:
+            yield i, int(j)
+
+
 class Bands:
     """Size bands and their parts."""
 
@@ -82,14 +103,21 @@ class Bands:
         return self.lows[band]
 
     def parts(self, band: int) -> tuple[int, int, int]:
-        """Number of parts; how many of a set's may be empty; how many keys similar sets share beyond one."""
+        """Number of parts, how many may differ between similar sets, and how many keys these share beyond one."""
         most = self.low(band + 1) - 1
         differ = 2 * most * (100 - self.settings.percent) // (100 + self.settings.percent)
         empty, spare = int(differ * self.settings.empty), int(differ * self.settings.spare)
-        return differ + 1 + spare + empty, empty, spare
+        return differ + 1 + spare + empty, differ, spare
 
-    def spares(self) -> list[int]:
-        return [self.parts(band)[2] for band in range(64)]
+    def need(self, band: int, size: int, filled: int) -> tuple[int, bool]:
+        """The least number of keys that a set shares with a similar one, and whether its empty parts must be keys.
+
+        A set of this size differs from a similar one in no more elements than (100 - percent) / percent of its own.
+        If it has so many empty parts that all equal ones might be among them, they are keys.
+        """
+        parts, differ, spare = self.parts(band)
+        sure = parts - min(differ, size * (100 - self.settings.percent) // self.settings.percent) - (parts - filled)
+        return (sure, False) if sure > spare else (1 + spare, True)
 
     def of(self, size: int) -> list[int]:
         """The set's own band and those above where it can be the smaller one of a similar pair."""
@@ -101,19 +129,25 @@ class Bands:
             found.append(found[-1] + 1)
         return found
 
+    def needs(self, elements: np.ndarray) -> list[dict]:
+        return [{"band": band, "need": self.need(band, len(elements), len(np.unique(self.places(band, elements))))[0]}
+                for band in self.of(len(elements))] if len(elements) else []
+
+    def places(self, band: int, elements: np.ndarray) -> np.ndarray:
+        return (elements >> np.uint64(32)) % np.uint64(self.parts(band)[0])
+
     def keys(self, elements: np.ndarray) -> np.ndarray:
         """Keys of the set's parts. Their last 6 bits are the band's."""
         out = []
         for band in self.of(len(elements)):
-            parts, may_be_empty, _ = self.parts(band)
-            place = (elements >> np.uint64(32)) % np.uint64(parts)
+            place = self.places(band, elements)
             order = np.argsort(place, kind="stable")
             place, bits = place[order], mixed(elements[order] * GOLDEN)
             first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
             number, value = place[first], np.bitwise_xor.reduceat(bits, first)
-            if parts - len(first) > may_be_empty:
-                number = np.concatenate((number, np.setdiff1d(np.arange(parts, dtype=np.uint64), number)))
-                value = np.concatenate((value, np.zeros(parts - len(first), np.uint64)))
+            if self.need(band, len(elements), len(first))[1]:
+                rest = np.setdiff1d(np.arange(self.parts(band)[0], dtype=np.uint64), number)
+                number, value = np.concatenate((number, rest)), np.concatenate((value, np.zeros(len(rest), np.uint64)))
             with np.errstate(over="ignore"):
                 key = mixed(value ^ mixed(number * GOLDEN + np.uint64(band + 1)))
             out.append((key & ~np.uint64(63)) | np.uint64(band & 63))
@@ -124,18 +158,22 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()
 
 
-def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, row, n_shingles, h1, h2 of every document; ``row`` is a hash of id and text."""
+NEEDS = pa.list_(pa.struct([("band", pa.int32()), ("need", pa.int32())]))
+
+
+def _sets(docs: DataFrame, settings: Settings) -> DataFrame:
+    """doc_id, row, n_shingles, h1, h2 and, for each band, the least number of shared keys; ``row`` is a hash of id and text."""
     def find(batches):
+        bands = Bands(settings)
         for piece in pieces(batches):
-            sets = [shingles(data, n) for data in _bytes(piece.column("text"))]
+            sets = [shingles(data, settings.n) for data in _bytes(piece.column("text"))]
             ids = [set_id(elements) for elements in sets]
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), piece.column("row"), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([a for a, _ in ids], pa.int64()), pa.array([b for _, b in ids], pa.int64())],
-                ["doc_id", "row", "n_shingles", "h1", "h2"])
+                 pa.array([a for a, _ in ids], pa.int64()), pa.array([b for _, b in ids], pa.int64()),
+                 pa.array([bands.needs(s) for s in sets], NEEDS)], ["doc_id", "row", "n_shingles", "h1", "h2", "needs"])
 
-    return docs.mapInArrow(find, "doc_id bigint, row bigint, n_shingles bigint, h1 bigint, h2 bigint")
+    return docs.mapInArrow(find, "doc_id bigint, row bigint, n_shingles bigint, h1 bigint, h2 bigint, needs array<struct<band int, need int>>")
 
 
 def _stars(keys: np.ndarray, sets: np.ndarray, key=None, leader=None, last=None):
@@ -208,7 +246,7 @@ def _groups(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _elements(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """h1, sid, elements of the wanted sets (h1), each from the text of one document that has it."""
+    """h1, sid, n, sketch and elements of the wanted sets (h1), each from the text of one document that has it."""
     chosen = sets.filter("n_shingles > 0").join(wanted, "h1", "left_semi").groupBy("h1", "h2", "n_shingles").agg(
         F.min("row").alias("row"))
     texts = docs.join(chosen.select("row"), "row", "left_semi").select("text")
@@ -217,12 +255,14 @@ def _elements(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) -> Da
         for piece in pieces(batches):
             found = [shingles(data, n) for data in _bytes(piece.column("text"))]
             ids = [set_id(elements) for elements in found]
-            sid = [a.to_bytes(8, "big", signed=True) + b.to_bytes(8, "big", signed=True) for a, b in ids]
+            sid = [(a + (1 << 63)).to_bytes(8, "big") + b.to_bytes(8, "big", signed=True) for a, b in ids]  # sorts as h1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([a for a, _ in ids], pa.int64()), pa.array(sid, pa.binary()),
-                 pa.array([elements.tobytes() for elements in found], pa.binary())], ["h1", "sid", "elements"])
+                 pa.array([len(elements) for elements in found], pa.int64()),
+                 pa.array([sketch(elements).tobytes() for elements in found], pa.binary()),
+                 pa.array([elements.tobytes() for elements in found], pa.binary())], ["h1", "sid", "n", "sketch", "elements"])
 
-    return texts.mapInArrow(find, "h1 bigint, sid binary, elements binary")
+    return texts.mapInArrow(find, "h1 bigint, sid binary, n bigint, sketch binary, elements binary")
 
 
 def _linked(pairs: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
@@ -265,25 +305,31 @@ def _band(key: str = "key"):
     return F.col(key).bitwiseAND(F.lit(63)).cast("int")
 
 
-def _spare(settings: Settings, band):
-    return F.element_at(F.array(*map(F.lit, Bands(settings).spares())), band + 1)
+def _left(need):
+    """Shared keys that are left of ``need`` if a set leaves out ``_leaves(need)`` of its own."""
+    return need - _leaves(need)
 
 
-def _members(groups: DataFrame, settings: Settings) -> DataFrame:
-    """key and h1 of the sets that are in enough groups of their band to be similar to another one."""
+def _leaves(need):
+    return F.floor((need - 1) / 2)
+
+
+def _members(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """key, h1 and need of the sets that are in enough groups of their band to be similar to another one."""
     members = groups.select("key", F.col("member").alias("h1")).union(groups.select("key", "leader")).distinct()
-    met = F.count(F.lit(1)).over(Window.partitionBy("h1", _band()))
-    return members.withColumn("met", met).filter(F.col("met") > _spare(settings, _band())).drop("met")
+    members = members.withColumn("met", F.count(F.lit(1)).over(Window.partitionBy("h1", _band())))
+    needs = sets.select("h1", F.explode("needs").alias("of")).select("h1", F.col("of.band").bitwiseAND(F.lit(63)).alias("band"), "of.need")
+    needs = needs.groupBy("h1", "band").agg(F.min("need").alias("need"))
+    return members.withColumn("band", _band()).join(needs, ["h1", "band"]).filter("met >= need").select("key", "h1", "need")
 
 
 class _Linking:
     """Turns members of groups (key, h1), sets that share a key, into links, until every similar pair is linked, if by a path.
 
-    Similar sets meet in one group more than their band's ``spare``, at least. First each group's sets are compared with its
-    leader, if they meet it that often. Groups whose sets then still belong to several components are looked at
-    again: while comparing all of their pairs would be much, each is compared with another leader, drawn anew for every
-    group; then all pairs of different components are counted, and those compared that meet often enough. For the count each set
-    leaves out half the spare of its largest groups; two sets leave out no more than that of their common ones.
+    A set meets each similar one in ``need`` groups of a band, at least. First each group's sets are compared with its
+    leader, if they meet it often. In groups whose sets then still belong to several components, all pairs of
+    different components are looked at, in blocks, by size and sketch, and those that these don't rule out are compared. Before that each
+    set leaves out nearly half its need of its largest groups; two sets leave out no more of their common ones than one does.
     """
 
     def __init__(self, members: DataFrame, elements: DataFrame, settings: Settings, folder: str):
@@ -306,49 +352,75 @@ class _Linking:
     def around_first_leaders(self) -> DataFrame:
         leaders = self.members.groupBy("key").agg(F.min("h1").alias("leader"))
         stars = self.members.join(leaders, "key").filter("h1 != leader")
-        met = stars.groupBy(F.col("leader").alias("x"), F.col("h1").alias("y"), _band().alias("band")).agg(F.count(F.lit(1)).alias("met"))
-        return met.filter(F.col("met") > _spare(self.settings, F.col("band")))
+        met = stars.groupBy(F.col("leader").alias("x"), F.col("h1").alias("y"), _band().alias("band")).agg(
+            F.count(F.lit(1)).alias("met"), F.max("need").alias("need"))
+        return met.filter(F.col("met") >= _left(F.col("need")))
 
     def open_groups(self, nodes: DataFrame) -> DataFrame:
         """key, h1, component and size of group for groups with several components."""
-        rows = self.members.join(self.elements.select("h1", "sid"), "h1").join(nodes, F.col("sid") == F.col("node"), "left")
-        rows = rows.select("key", "h1", F.coalesce("component", "sid").alias("component"))
+        rows = self.members.join(self.elements.select("h1", "sid", "n", "sketch"), "h1").join(nodes, F.col("sid") == F.col("node"), "left")
+        rows = rows.select("key", "h1", "need", "n", "sketch", F.coalesce("component", "sid").alias("component"))
         several = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"),
                                           F.count(F.lit(1)).alias("size")).filter("least != most")
         return rows.join(several.select("key", "size"), "key")
 
-    def around_new_leaders(self, rows: DataFrame) -> DataFrame:
-        draw = F.struct(F.xxhash64("key", "h1", F.lit(self.turn)).alias("draw"), F.col("h1").alias("leader"),
-                        F.col("component").alias("its"))
-        leaders = rows.groupBy("key").agg(F.min(draw).alias("new")).select("key", "new.leader", "new.its")
-        return rows.join(leaders, "key").filter("component != its").select(F.col("leader").alias("x"), F.col("h1").alias("y"))
-
-    def in_full(self, few: DataFrame) -> DataFrame:
-        left, right = few.alias("l"), few.alias("r")
-        across = left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.component") != F.col("r.component"))
-                           & (F.col("l.h1") < F.col("r.h1")))
-        met = across.select(F.col("l.h1").alias("x"), F.col("r.h1").alias("y"), _band("l.key").alias("band")).groupBy(
-            "x", "y", "band").agg(F.count(F.lit(1)).alias("met"))
-        spare = _spare(self.settings, F.col("band"))
-        return met.filter(F.col("met") > spare - F.floor(spare / 2))
+    def in_full(self, rows: DataFrame) -> DataFrame:
+        """Pairs of different components in a group that neither size nor sketch tell apart.
+
+        A group of more than ``BLOCK`` sets is dealt out to pairs of blocks.
+        """
+        percent, fields = self.settings.percent, ["key", "first", "second", "block", "h1", "n", "sketch", "component"]
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        block = F.pmod(F.xxhash64("h1"), blocks.cast("bigint")).cast("int")
+        dealt = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+            "key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "h1", "n",
+            "sketch", "component")
+
+        def columns(table):
+            component = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, WORDS)
+            return component, table.column("n").to_numpy(), sketches
+
+        def compare(table):
+            one, two = table.column("first")[0].as_py(), table.column("second")[0].as_py()
+            ids, all_ = table.column("h1").to_numpy(), columns(table)
+            if one == two:
+                pairs = close_pairs(all_, all_, percent)
+            else:
+                own = np.flatnonzero(table.column("block").to_numpy() == one)
+                rest = np.flatnonzero(table.column("block").to_numpy() != one)
+                found = close_pairs([c[own] for c in all_], [c[rest] for c in all_], percent)
+                pairs = ((own[i], rest[j]) for i, j in found)
+            found = {(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs}
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["x", "y"])
+
+        def find(batches):
+            rest = None
+            for batch in batches:
+                table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+                if not table.num_rows:
+                    continue
+                marks = [table.column(c).to_numpy() for c in ("key", "first", "second")]
+                new = np.flatnonzero(np.logical_or.reduce([m[1:] != m[:-1] for m in marks])) + 1
+                edges = [0, *new.tolist()]
+                for a, b in zip(edges[:-1], edges[1:]):
+                    if b - a > 1:
+                        yield compare(table.slice(a, b - a))
+                rest = table.slice(edges[-1])
+            if rest is not None and rest.num_rows > 1:
+                yield compare(rest)
+
+        places = ["key", "first", "second"]
+        return dealt.select(*fields).repartition(*places).sortWithinPartitions(*places).mapInArrow(find, "x bigint, y bigint")
 
     def run(self) -> DataFrame:
         self.test(self.around_first_leaders())
-        work = self.settings.work * self.members.count()
-        while True:
-            nodes = components(self.links)
-            rows = write_table(self.open_groups(nodes), f"{self.folder}/open-{self.turn}")
-            own = Window.partitionBy("h1", _band()).orderBy(F.desc("size"), "key")
-            few = rows.withColumn("place", F.row_number().over(own)).filter(
-                F.col("place") > F.floor(_spare(self.settings, _band()) / 2)).drop("place")
-            sizes = few.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-                F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same"))
-            pairs = sizes.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.lit(0.0))).first()[0]
-            if not pairs:
-                return nodes
-            if pairs > work and self.test(self.around_new_leaders(rows)):
-                continue
-            return components(self.links) if self.test(self.in_full(few)) else nodes
+        nodes = components(self.links)
+        rows = self.open_groups(nodes)
+        own = Window.partitionBy("h1", _band()).orderBy(F.desc("size"), "key")
+        few = rows.withColumn("place", F.row_number().over(own)).filter(F.col("place") > _leaves(F.col("need"))).drop("place")
+        return components(self.links) if self.test(self.in_full(few)) else nodes
 
 
 def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -368,13 +440,13 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = _rows(docs)
-    sets = materialize(_sets(rows, settings.n), "sets")
+    sets = materialize(_sets(rows, settings), "sets")
     with scratch(spark, "near-copies") as folder:
         groups = write_table(_groups(rows.select("text"), settings), f"{folder}/groups")
-        members = write_table(_members(groups, settings), f"{folder}/members")
+        members = write_table(_members(groups, sets), f"{folder}/members")
         elements = write_table(_elements(rows, sets, members.select("h1").distinct(), settings.n), f"{folder}/elements")
         nodes = materialize(_Linking(members, elements, settings, folder).run(), "nodes")
-    hexed = F.concat(*(F.lpad(F.hex(h), 16, "0") for h in ("h1", "h2")))
+    hexed = F.concat(*(F.lpad(F.hex(h), 16, "0") for h in (F.col("h1").bitwiseXOR(F.lit(-(1 << 63))), "h2")))
     known = sets.filter("n_shingles > 0").withColumn("sid", F.unhex(hexed)).join(
         nodes, F.col("sid") == F.col("node"), "left").withColumn("of", F.coalesce("component", "sid"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))

@@ -144,12 +144,10 @@ def test_drop_near_copies(documents):
     assert kept.filter("trim(text) = '' OR text IS NULL").count() >= 3  # empty texts are nobody's copies
 
 
-@pytest.mark.parametrize("work", [0, 10**9])
-def test_groups_are_compared_in_full(spark, monkeypatch, work):
-    """Chains in which a leader is similar to few of its group; with new leaders drawn first, and all pairs at once."""
-    drawn = []
-    plain = jaccard_join._Linking.around_new_leaders
-    monkeypatch.setattr(jaccard_join._Linking, "around_new_leaders", lambda *a: drawn.append(1) or plain(*a))
+@pytest.mark.parametrize("block", [3, 1024])
+def test_groups_are_compared_in_full(spark, monkeypatch, block):
+    """Chains in which a leader is similar to few of its group, compared in one block and in many."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     rng = random.Random(5)
     rows = []
     for c in range(12):
@@ -158,9 +156,19 @@ def test_groups_are_compared_in_full(spark, monkeypatch, work):
             words = edited(rng, words, 0.05)
             rows.append((len(rows), " ".join(words)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = jaccard_join.near_copies(docs, jaccard_join.Settings(n=4, percent=70, work=work))
+    found = jaccard_join.near_copies(docs, jaccard_join.Settings(n=4, percent=70))
     assert by_id(found.select("doc_id", "n_shingles", "component_id").collect()) == by_id(expected_components(rows, 4, 70))
-    assert bool(drawn) == (work == 0)
+
+
+@given(st.lists(st.sets(st.integers(0, 40), min_size=1, max_size=30), min_size=2, max_size=12))
+def test_sketches_rule_out_no_similar_pair(sets):
+    arrays = [np.array(sorted(s), np.uint64) for s in sets]
+    columns = (np.arange(len(sets)), np.array([len(s) for s in sets]), np.stack([jaccard_join.sketch(a) for a in arrays]))
+    found = set(jaccard_join.close_pairs(columns, columns, 80))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j and 100 * len(a & b) >= 80 * len(a | b):
+                assert (i, j) in found
 
 
 @given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=400), st.data())
@@ -174,8 +182,9 @@ def test_similar_sets_share_keys(elements, data):
     if 100 * len(a & b) >= one.percent * len(a | b):
         bands = jaccard_join.Bands(one)
         keys = [set(bands.keys(np.array(sorted(s), np.uint64)).tolist()) for s in (a, b)]
-        in_bands = Counter(key & 63 for key in keys[0] & keys[1])
-        assert any(n > bands.parts(band)[2] for band, n in in_bands.items())
+        met = Counter(key & 63 for key in keys[0] & keys[1])
+        needs = [{row["band"]: row["need"] for row in bands.needs(np.array(sorted(s), np.uint64))} for s in (a, b)]
+        assert any(n >= max(need[band] for need in needs) for band, n in met.items() if all(band in need for need in needs))
 
 
 @given(st.lists(st.tuples(st.integers(0, 9), st.integers(0, 9)), max_size=12))
