@@ -6,14 +6,17 @@ import hashlib
 import zlib
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluice.llm import jaccard_join
 from sluice.llm.bpe import bpe_encode
 from sluice.llm.cover_tree import top_k
 from sluice.llm.exact_dedup import exact_dedup
+from sluice.llm.fill_in_middle import fill_in_middle, restored
+from sluice.llm.language_id import language_id
 from sluice.llm.license_scan import license_scan
 from sluice.llm.mixing import mix
+from sluice.llm.periodic_runs import looped, periodic_runs
 from sluice.llm.quality import quality
 from sluice.llm.record_files import read_sequences, write_sequences
 from sluice.llm.token_counts import token_counts
@@ -179,3 +182,52 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents"))
+    whole = restored(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2(whole, 256).alias("restored_sha256"))
+
+
+ORACLES["op11_fill_in_middle"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hash FROM documents
+), u AS (
+    SELECT doc_id, text, regexp_extract_all(text, '(?s)[A-Za-z]+|[^A-Za-z]') AS units, ('0x' || hash[1:8])::BIGINT AS h1,
+        ('0x' || hash[9:16])::BIGINT AS h2, ('0x' || hash[17:24])::BIGINT AS h3, ('0x' || hash[25:32])::BIGINT AS h4
+    FROM d
+), c AS (
+    SELECT *, len(units)::BIGINT AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+        greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b
+    FROM u
+), p AS (
+    SELECT doc_id, n, text,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+        array_to_string(units[1 : a], '') AS prefix, array_to_string(units[a + 1 : b], '') AS middle,
+        array_to_string(units[b + 1 :], '') AS suffix
+    FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digests = (("runs_sha256", T.StringType()), ("collapsed_sha256", T.StringType()))
+    return periodic_runs(table(spark, sf_dir, "documents"), lambda runs, collapsed: (
+        hashlib.sha256("".join("%d,%d,%d\n" % tuple(run) for run in runs.tolist()).encode()).hexdigest(),
+        hashlib.sha256(collapsed).hexdigest()), digests, change=looped)

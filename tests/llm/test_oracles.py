@@ -25,5 +25,5 @@ def test_query_matches_sql(spark, duck, query):
 def test_queries_are_registered():
     from __spark_entry__ import oracle_sql, queries
 
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in queries()}
     assert queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in oracle_sql()
