@@ -250,7 +250,8 @@ def test_runs_of_odd_rows(documents):
     b = by_id[20]
     assert [tuple(r) for r in b.runs] == [(1, 3000, 1)] and b.collapsed == "a b" and b.exponent_milli == 3_000_000
     assert by_id[5].runs == [] and by_id[5].collapsed == "" and by_id[5].start is None
-    assert by_id[9].n_runs == len(brute_runs_fast(LONG.split()))
+    assert by_id[9].n_runs == 0  # its words come back after 977 * 13 lines, of 30,000
+    assert by_id[9].collapsed == LONG
 
 
 def brute_runs_fast(words):
