@@ -41,8 +41,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(True))
 
 
-def ngrams(values: list[str], orders: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sparse rows of some texts: number of the text and bucket of each n-gram, texts in order.
+def ngrams(values: list[str], orders: tuple[int, ...], buckets: int):
+    """The sparse rows of some texts, one order after the other: number of the text and bucket of each n-gram, texts in order.
 
     Texts are lower-cased, each run of ASCII characters that are no letters counts as a blank, and a blank stands at both ends.
     """
@@ -54,24 +54,20 @@ def ngrams(values: list[str], orders: tuple[int, ...], buckets: int) -> tuple[np
     keep[1:] = (points[1:] != 32) | (points[:-1] != 32) | (text[1:] != text[:-1])
     points, text = points[keep].astype(np.uint64), text[keep]
     shift = np.uint64(64 - (buckets.bit_length() - 1))
-    owners, found = [], []
     with np.errstate(over="ignore"):
         value = np.zeros(len(points), np.uint64)
         for n in range(1, max(orders, default=0) + 1):
             count = len(points) - n + 1
             if count <= 0:
                 break
-            value = (value[:count] + points[n - 1 :] + np.uint64(1)) * _ODD
+            value = value[:count] + points[n - 1 :]
+            value += np.uint64(1)
+            value *= _ODD
             value ^= value >> np.uint64(29)
             if n in orders:
                 whole = text[:count] == text[n - 1 :]
-                owners.append(text[:count][whole])
-                found.append(((value[whole] * _ODD) >> shift).astype(np.int64) if buckets > 1 else np.zeros(int(whole.sum()), np.int64))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    owner = np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    return owner[order], np.concatenate(found)[order]
+                found = (value[whole] * _ODD) >> shift if buckets > 1 else np.zeros(int(whole.sum()))
+                yield text[:count][whole], found.astype(np.int64)
 
 
 class Model:
@@ -80,21 +76,22 @@ class Model:
     def __init__(self, languages: list[str], prior: np.ndarray, table: np.ndarray):
         self.languages, self.prior, self.table = languages, prior, table
 
-    def sums(self, owner: np.ndarray, bucket: np.ndarray, count: int) -> np.ndarray:
+    def sums(self, rows, count: int) -> np.ndarray:
         """Fixed-point log probability of each text and language: sparse rows times the matrix, in blocks."""
         total = np.repeat(self.prior[None, :], count, axis=0)
         step = max(1, GATHERED // len(self.languages))
-        for at in range(0, len(owner), step):
-            own = owner[at : at + step]
-            first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            total[own[first]] += np.add.reduceat(self.table[bucket[at : at + step]], first, axis=0)
+        for owner, bucket in rows:
+            for at in range(0, len(owner), step):
+                own = owner[at : at + step]
+                first = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+                total[own[first]] += np.add.reduceat(self.table.take(bucket[at : at + step], axis=0), first, axis=0)
         return total
 
     def predict(self, values: list[str], orders: tuple[int, ...]) -> tuple[list[str], np.ndarray]:
         """Language and its posterior probability for each text. Equal probabilities go to the smallest name."""
         if not self.languages:
             return [UNKNOWN] * len(values), np.zeros(len(values))
-        total = self.sums(*ngrams(values, orders, len(self.table)), len(values))
+        total = self.sums(ngrams(values, orders, len(self.table)), len(values))
         best = total.argmax(1)
         rest = (total - total[np.arange(len(values)), best][:, None]) / float(1 << SHIFT)
         score = 1 / np.exp(rest).sum(1)
@@ -128,14 +125,14 @@ def _counted(known: DataFrame, languages: list[str], buckets: int, orders: tuple
         any_text = False
         for piece in pieces(batches):
             own = np.array([number[lang] for lang in piece.column("lang").to_pylist()], np.int64)
-            owner, bucket = ngrams(texts(piece.column("text")), orders, buckets)
-            place = own[owner] * buckets + bucket
-            any_text = any_text or len(place) > 0
-            if len(place) > len(counts) // 8:
-                counts += np.bincount(place, minlength=len(counts))
-            else:
-                place, n = np.unique(place, return_counts=True)
-                counts[place] += n
+            for owner, bucket in ngrams(texts(piece.column("text")), orders, buckets):
+                place = own.take(owner) * buckets + bucket
+                any_text = any_text or len(place) > 0
+                if len(place) > len(counts) // 8:
+                    counts += np.bincount(place, minlength=len(counts))
+                else:
+                    place, n = np.unique(place, return_counts=True)
+                    counts[place] += n
         if any_text:
             from pyspark import TaskContext
 
