@@ -46,7 +46,11 @@ def show_value(value: Column, source_type: T.DataType, zone: str) -> Column:
 
 def rejected_line(df: DataFrame, zone: str = "UTC") -> Column:
     """All fields of a row joined by a bar, NULLs spelled out."""
-    shown = [F.coalesce(show_value(column(f.name), f.dataType, zone), F.lit(NULL_TEXT)) for f in df.schema.fields]
+    return rejected_line_of(df.schema, zone)
+
+
+def rejected_line_of(schema: T.StructType, zone: str) -> Column:
+    shown = [F.coalesce(show_value(column(f.name), f.dataType, zone), F.lit(NULL_TEXT)) for f in schema.fields]
     return F.concat_ws(SEPARATOR, *shown)
 
 
@@ -106,32 +110,44 @@ class CheckedRows:
         """Every source row with its reason."""
         return self.checked.select(*self._source_columns(), self.reason.alias("reject_reason"))
 
-    @property
-    def rejected(self) -> DataFrame:
-        """Bad rows: source fields, one line of text, the reason and the time."""
-        bad = self.checked.where(self.is_bad)
-        source = bad.select(self._source_columns())
-        return bad.select(
+    def line(self) -> Column:
+        """All source fields as one line."""
+        return rejected_line_of(self.source_schema, self.spec.time_zone)
+
+    def failing_value(self) -> Column:
+        """The value that did not fit, as text."""
+        value = F
+        for i, m in enumerate(self.mapped):  # one flat CASE, however many columns
+            value = value.when(
+                F.col(REJECT_INDEX) == i, show_value(column(m.source.name), m.source.dataType, self.spec.time_zone))
+        return value
+
+    def rejected_columns(self) -> list[Column]:
+        return [
             *self._source_columns(),
-            rejected_line(source, self.spec.time_zone).alias("rejected_line"),
+            self.line().alias("rejected_line"),
             self.reason.alias("reject_reason"),
             F.current_timestamp().alias("rejected_at"),
-        )
+        ]
 
-    @property
-    def exceptions(self) -> DataFrame:
-        """One row per bad row: which column failed, on what value and why."""
-        zone = self.spec.time_zone
-        value = F
-        for i, m in enumerate(self.mapped):  # one flat CASE, however many columns
-            value = value.when(F.col(REJECT_INDEX) == i, show_value(column(m.source.name), m.source.dataType, zone))
-        return self.checked.where(self.is_bad).select(
+    def exception_columns(self) -> list[Column]:
+        return [
             F.current_timestamp().alias("rejected_at"),
             self._pick([m.target.name for m in self.mapped]).alias("column"),
             self._pick([m.target.type_text for m in self.mapped]).alias("target_type"),
-            value.alias("value"),
+            self.failing_value().alias("value"),
             self.reason.alias("reason"),
-        )
+        ]
+
+    @property
+    def rejected(self) -> DataFrame:
+        """Bad rows: source fields, one line of text, the reason and the time."""
+        return self.checked.where(self.is_bad).select(self.rejected_columns())
+
+    @property
+    def exceptions(self) -> DataFrame:
+        """One row per bad row: which column failed, on what value and why."""
+        return self.checked.where(self.is_bad).select(self.exception_columns())
 
     def summary(self) -> DataFrame:
         """Rejects counted by column and reason; at most one group per target column."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from contextlib import ExitStack
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from uuid import uuid4
 
 from pyspark import StorageLevel
@@ -15,10 +15,12 @@ from sluice.functions.conform import conform, to_text
 from sluice.operators.mapping import column, resolve_mapping
 from sluice.operators.rejects import NULL_TEXT, CheckedRows, count_columns, validate
 from sluice.plans.spec import LoadSpec
-from sluice.sources.target import TableTarget, create_target
+from sluice.sources import routed
+from sluice.sources.native import qualified
+from sluice.sources.routed import ABORT_END, ABORT_MARK
+from sluice.sources.target import PathTarget, TableTarget, create_target
 from sluice.sources.workspace import scratch, write_table
 
-ABORT_MARK, ABORT_END = "row rejected: ", " -- load aborted"
 AUTO = "auto"
 # plan steps that hand on rows in the order in which they get them, or make them in a fixed one
 ORDERED_STEPS = ("Project", "Filter", "Generate", "Expand", "CollectMetrics", "Range", "LocalRelation", "OneRowRelation", "Union")
@@ -30,11 +32,12 @@ _TIE = "__load_arrival"
 
 @dataclass(frozen=True)
 class LoadReport:
-    """Exact counts of one load."""
+    """Exact counts of one load; ``reasons`` counts rejects by reason where one job wrote rows and logs."""
 
     rows_read: int
     rows_accepted: int
     rows_rejected: int
+    reasons: dict = field(default_factory=dict, compare=False)
 
     @classmethod
     def of(cls, metrics: dict) -> LoadReport:
@@ -146,6 +149,10 @@ def log_entry(text: Column, zone: str) -> Column:
     return F.concat_ws(" - ", to_text(F.col("rejected_at"), T.TimestampType(), zone), text)
 
 
+def _exception_text(reason, value) -> Column:
+    return F.concat_ws(": ", reason, F.coalesce(value, F.lit(NULL_TEXT)))
+
+
 def _write_reject_logs(df: DataFrame, spec: LoadSpec, expected: int | None, mode: str) -> None:
     """Second pass over the input, taken only when rows were rejected and somebody wants to see them."""
     if not (spec.rejected_path or spec.exceptions_path):
@@ -172,8 +179,7 @@ def _write_logs(rows: CheckedRows, spec: LoadSpec, mode: str) -> None:
     rejected, exceptions = rows.rejected, rows.exceptions
     if spec.log_format == "text":
         rejected = rejected.select(log_entry(F.col("rejected_line"), spec.time_zone))
-        what = F.concat_ws(": ", "reason", F.coalesce("value", F.lit(NULL_TEXT)))
-        exceptions = exceptions.select(log_entry(what, spec.time_zone))
+        exceptions = exceptions.select(log_entry(_exception_text("reason", "value"), spec.time_zone))
     if spec.rejected_path:
         rejected.write.format(spec.log_format).mode(mode).save(spec.rejected_path)
     if spec.exceptions_path:
@@ -188,13 +194,17 @@ def spread(df: DataFrame, parallelism: int | str | None) -> DataFrame:
 
 
 def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None = None, cluster_by=(),
-         stage: bool = False, create: bool = False, log_mode: str = "append") -> LoadReport:
+         stage: bool = False, create: bool = False, log_mode: str = "append", load_id: str | None = None) -> LoadReport:
     """Load the rows that fit into ``target`` and log the others.
 
-    One pass over the input conforms, counts and writes. Rejects are written by a second pass, and only
-    if there are any. With ``abort_on_error`` the first bad row fails the write before anything is
+    One pass over the input conforms, counts and writes. Into Parquet files the same tasks write the reject logs, and one
+    manifest publishes all; other targets' logs are written by a second pass, and only if there are any rejects.
+    With ``abort_on_error`` the first bad row fails the write before anything is
     published; the reject logs are still written, and LoadAborted is raised.
 
+    A load with a ``load_id``, into Parquet files, is done once: if its manifest is there, its report is returned and nothing
+    is read, so a load that is repeated after a driver failure doesn't double its rows.
+
     Rows are written where they are read, without a shuffle. ``parallelism`` (a number of tasks, or
     ``"auto"`` for files of even size) spreads them first, which helps where a few input files hold most
     rows; ``cluster_by`` sorts them into ranges of target columns. ``stage`` writes the input to the
@@ -202,6 +212,10 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None =
     the target table if it does not exist; other targets make themselves. Staged rows are removed when the load ends.
     """
     _require_loadable(df, spec)
+    if load_id is not None:
+        done = _done_before(df, target, routed.checked_run(load_id), cluster_by, spec)
+        if done:
+            return done
     if create:
         if not isinstance(target, TableTarget):
             raise LoadPlanError(f"create makes catalog tables, not a {type(target).__name__}")
@@ -213,10 +227,76 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None =
                 if spec.fields:
                     df = df.select([column(f) for f in df.columns if f in mapped])
             df = write_table(df, stack.enter_context(scratch(df.sparkSession, "staged")))
-        return _load(df, spec, target, parallelism, cluster_by, log_mode)
+        return _load(df, spec, target, parallelism, cluster_by, log_mode, load_id)
+
+
+def _routable(schema: T.StructType, spec: LoadSpec, target) -> bool:
+    """Whether one job can write the target and the logs: Parquet files, whose writer Spark's options don't concern."""
+    return (type(target) is PathTarget and target.format == "parquet" and not target.options and target.mode in ("append", "overwrite")
+            and (routed.storable(schema) or not (spec.rejected_path and spec.log_format == "parquet")))
+
+
+def _done_before(df: DataFrame, target, run: str, cluster_by, spec: LoadSpec) -> LoadReport | None:
+    if not _routable(df.schema, spec, target) or spec.abort_on_error and (cluster_by or spec.abort_log == "all" and (
+            spec.rejected_path or spec.exceptions_path)):
+        raise LoadPlanError("only loads that write Parquet files and their logs in one job have a load id")
+    return _report_of(routed.ledger_entry(qualified(df.sparkSession, target.path), run))
+
+
+def _report_of(manifest: dict | None) -> LoadReport | None:
+    if manifest is None:
+        return None
+    accepted, rejected = manifest["rows_accepted"], manifest["rows_rejected"]
+    return LoadReport(accepted + rejected, accepted, rejected, manifest["reasons"])
+
+
+def _routed_rows(rows: CheckedRows, target: PathTarget) -> DataFrame:
+    """Each checked row as what is written of it: the target's row, or the reason and the entries of the logs."""
+    spec, zone = rows.spec, rows.spec.time_zone
+    loaded = {m.target.name: c for m, c in zip(rows.mapped, rows.loaded_columns())}
+    accepted = [loaded[c.name] if c.name in loaded else F.lit(None).cast(c.spark_type).alias(c.name) for c in target.columns]
+    out = [rows.reason.alias(routed.REASON), F.when(rows.is_good, F.struct(*accepted)).alias(routed.ACCEPTED)]
+    for path, name, columns in ((spec.rejected_path, routed.REJECTED, rows.rejected_columns()),
+                                (spec.exceptions_path, routed.EXCEPTIONS, rows.exception_columns())):
+        if path:
+            entry = F.struct(*columns)
+            if spec.log_format == "json":
+                entry = F.to_json(entry)
+            elif spec.log_format == "text":
+                text = rows.line() if name == routed.REJECTED else _exception_text(rows.reason, rows.failing_value())
+                entry = F.concat_ws(" - ", to_text(F.current_timestamp(), T.TimestampType(), zone), text)
+            out.append(F.when(rows.is_bad, entry).alias(name))
+    return rows.checked.select(out)
+
+
+def _load_routed(df: DataFrame, spec: LoadSpec, target: PathTarget, parallelism, cluster_by, log_mode: str, load_id) -> LoadReport:
+    """One job for rows and logs. Its tasks count what they write, so the counts are those of the attempts that counted."""
+    spark = df.sparkSession
+    routed.finish(qualified(spark, target.path))
+    logs = {routed.REJECTED: spec.rejected_path, routed.EXCEPTIONS: spec.exceptions_path}
+    rows = validate(df if cluster_by else spread(df, parallelism), spec, passthrough=bool(spec.rejected_path))
+    rows = rows.with_checked(cluster(rows.checked, [_loaded_column(rows, c) for c in cluster_by], None if parallelism == AUTO else parallelism))
+    roots = {routed.ACCEPTED: target.path, **{name: path for name, path in logs.items() if path}}
+    overwrite = [routed.ACCEPTED] * (target.mode == "overwrite") + [name for name in roots if name in logs] * (log_mode == "overwrite")
+    try:
+        manifest = routed.write_routed(_routed_rows(rows, target), routed.checked_run(load_id), roots, overwrite, spec.log_format, spec.abort_on_error)
+    except Exception as error:
+        raise _aborted(error) or error from error
+    return _report_of(manifest)
+
+
+def _aborted(error: Exception) -> LoadAborted | None:
+    """The abort that a failed write tells of, if a bad row failed it."""
+    found = re.search(re.escape(ABORT_MARK) + "(.*?)" + re.escape(ABORT_END), str(error))
+    return found and LoadAborted(f"a row was rejected ({found[1]}); nothing was loaded", found[1])
+
 
+def _load(df: DataFrame, spec: LoadSpec, target, parallelism, cluster_by, log_mode: str, load_id: str | None) -> LoadReport:
+    logged = spec.rejected_path or spec.exceptions_path
+    in_one_job = not (cluster_by or spec.abort_log == "all") if spec.abort_on_error else True  # a clustered load aborts before it shuffles
+    if load_id is not None or logged and in_one_job and _routable(df.schema, spec, target):
+        return _load_routed(df, spec, target, parallelism, cluster_by, log_mode, load_id)
 
-def _load(df: DataFrame, spec: LoadSpec, target, parallelism, cluster_by, log_mode: str) -> LoadReport:
     # spread before conforming, so that the conversions run in all writing tasks too
     rows = validate(df if cluster_by else spread(df, parallelism), spec, passthrough=False, barrier=bool(cluster_by))
 
@@ -239,12 +319,11 @@ def _load(df: DataFrame, spec: LoadSpec, target, parallelism, cluster_by, log_mo
     try:
         target.write(counted.loaded)
     except Exception as error:
-        found = re.search(re.escape(ABORT_MARK) + "(.*?)" + re.escape(ABORT_END), str(error))
-        if not found:
+        aborted = _aborted(error)
+        if not aborted:
             raise
         _write_reject_logs(df, spec, None, log_mode)
-        reason = found[1]
-        raise LoadAborted(f"a row was rejected ({reason}); nothing was loaded", reason) from error
+        raise aborted from error
 
     report = LoadReport.of(metrics.get)
     if report.rows_rejected:

@@ -113,7 +113,8 @@ class LoadSpec:
     ``time_zone`` turns wall-clock input into instants and back; the session time zone is never used.
     ``precision`` is ``"millis"`` (sub-millisecond digits are dropped) or ``"micros"``.
     Blank reject paths switch the corresponding log off; ``log_format`` is ``"parquet"``, ``"json"`` or
-    ``"text"`` (one time-stamped entry per rejected row).
+    ``"text"`` (one time-stamped entry per rejected row). ``abort_log`` says what the logs hold after an abort: ``"all"``
+    bad rows, which takes a pass over the input of its own, or the ``"first"`` that failed the load.
     """
 
     columns: tuple[TargetColumn, ...]
@@ -127,6 +128,7 @@ class LoadSpec:
     connection: str | None = None
     time_zone: str = "UTC"
     precision: str = "millis"
+    abort_log: str = "all"
 
     def __post_init__(self):
         object.__setattr__(self, "columns", tuple(self.columns))
@@ -139,6 +141,8 @@ class LoadSpec:
             raise LoadPlanError(f"precision is 'millis' or 'micros', not {self.precision!r}")
         if self.log_format not in LOG_FORMATS:
             raise LoadPlanError(f"log_format is one of {', '.join(LOG_FORMATS)}, not {self.log_format!r}")
+        if self.abort_log not in ("all", "first"):
+            raise LoadPlanError(f"abort_log is 'all' or 'first', not {self.abort_log!r}")
         names = [c.name.lower() for c in self.columns]
         repeated = sorted({n for n in names if names.count(n) > 1})
         if repeated:

@@ -444,6 +444,28 @@ def load_report(spark, folder):
     )
 
 
+@query(f"SELECT {REASON} AS reason, count(*) AS \"rows\", (SELECT count(*) FILTER ({REASON} IS NULL) FROM documents) AS rows_in_target "
+       f"FROM documents WHERE {REASON} IS NOT NULL GROUP BY 1")
+def load_reject_reasons(spark, folder):
+    """Rejects by reason, as counted by the tasks that write rows and logs."""
+    out = new_folder(spark, "load-reasons")
+    spec = REASONS_SPEC.with_options(rejected_path=f"{out}/rejected", log_format="json")
+    report = load(coded_documents(spark, folder), spec, PathTarget(f"{out}/target", spec.columns))
+    counts = spark.createDataFrame(list(report.reasons.items()), "reason string, rows bigint")
+    return counts.withColumn("rows_in_target", F.lit(spark.read.parquet(f"{out}/target").count()).cast("bigint"))
+
+
+@query("SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer")
+def load_once(spark, folder):
+    """A load that is repeated under its id, as after a lost driver: its rows are there once."""
+    out = new_folder(spark, "load-once")
+    columns = (Col("id", "INTEGER"), Col("name", "VARCHAR", 25), Col("balance", "FLOAT"))
+    spec = LoadSpec(columns, (("c_custkey", "id"), ("c_name", "name"), ("c_acctbal", "balance")))
+    for _ in range(2):
+        load(table(spark, folder, "customer"), spec, PathTarget(out, columns), load_id="customers")
+    return spark.read.parquet(out)
+
+
 NULLED = ["l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax", "l_quantity", "l_suppkey",
           "l_partkey", "l_extendedprice"]
 NULL_VALUES = {"l_returnflag": "'A'", "l_linestatus": "'O'", "l_linenumber": "3", "l_discount": "0.05", "l_tax": "0.02",
@@ -482,6 +504,26 @@ def abort_clean(spark, folder):
     )
 
 
+@query(f"SELECT count(*) FILTER ({DOCUMENT_BAD}) > 0 AS aborted, "
+       f"CASE WHEN count(*) FILTER ({DOCUMENT_BAD}) > 0 THEN 0 ELSE count(*) END AS rows_in_target, "
+       f"CASE WHEN count(*) FILTER ({DOCUMENT_BAD}) > 0 THEN 1::BIGINT ELSE 0 END AS bad_rows_logged FROM documents")
+def abort_first_row(spark, folder):
+    """An abort that logs the row which failed, from the pass that met it."""
+    out = new_folder(spark, "abort-first")
+    spec = DOCUMENT_SPEC.with_options(abort_on_error=True, abort_log="first", rejected_path=f"{out}/rejected")
+    aborted = False
+    try:
+        load(table(spark, folder, "documents"), spec, PathTarget(f"{out}/target", spec.columns))
+    except LoadAborted:
+        aborted = True
+    loaded = 0 if aborted else spark.read.parquet(f"{out}/target").count()
+    bad = 0
+    if aborted:
+        rejected = spark.read.parquet(f"{out}/rejected")
+        bad = rejected.join(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id", "text"]).count()
+    return spark.createDataFrame([(aborted, loaded, bad)], "aborted boolean, rows_in_target bigint, bad_rows_logged bigint")
+
+
 # E. sinks
 
 LINEITEM_COLUMNS = (

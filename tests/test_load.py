@@ -229,7 +229,10 @@ def test_input_that_changes_between_reads(spark, tmp_path):
     spec = LoadSpec(columns, abort_on_error=False, rejected_path=str(tmp_path / "r"))
     with pytest.raises(RuntimeError, match="stage=True"):
         for _ in range(5):  # equal counts by chance are possible, though rare
-            load(unstable, spec, PathTarget(str(tmp_path / "t"), columns))
+            load(unstable, spec, PathTarget(str(tmp_path / "t"), columns, "json"))
+    once, log = str(tmp_path / "once"), str(tmp_path / "log")  # files and logs of one pass agree without staging
+    report = load(unstable, spec.with_options(rejected_path=log), PathTarget(once, columns))
+    assert (spark.read.parquet(once).count(), spark.read.parquet(log).count()) == (report.rows_accepted, report.rows_rejected)
     staged = str(tmp_path / "s")
     report = load(unstable, spec.with_options(rejected_path=staged + "r"), PathTarget(staged, columns), stage=True)
     assert spark.read.parquet(staged + "r").count() == report.rows_rejected
