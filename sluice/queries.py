@@ -30,6 +30,7 @@ from sluice.plans.load import check_load, load
 from sluice.plans.spec import LoadSpec, TargetColumn as Col
 from sluice.sources.control import CONTROL_SCHEMA, spec_from_control_table
 from sluice.sources.native import NativeTarget, encode_rows, published_rows
+from sluice.sources.native_read import read_native
 from sluice.sources.target import PathTarget, TableTarget, columns_from_table, create_target
 from sluice.sources.workspace import new_folder
 from sluice.streaming.stream import NativeStreamTarget, StreamTarget, TableStreamTarget, stream_load
@@ -667,6 +668,29 @@ def native_export(spark, folder):
         F.lit(report.rows_accepted).cast("bigint").alias("rows_accepted"))
 
 
+@query("SELECT l_orderkey AS order_id, nullif(l_linenumber, 2)::BIGINT AS line, l_quantity AS quantity, "
+       f"{PRICE_TEXT} AS price, CASE WHEN l_returnflag <> 'R' THEN rpad(l_returnflag, 3, ' ') END AS flag, l_linestatus AS status, "
+       "strftime(l_shipdate, '%Y-%m-%d') AS shipped, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipped_at, "
+       "CASE WHEN l_linenumber <> 3 THEN l_linestatus = 'O' END AS is_open, hex(encode(l_returnflag)) AS raw, "
+       "rpad(hex(encode(l_returnflag)), 8, '0') AS code FROM lineitem")
+def native_read(spark, folder):
+    """The values of every row of a native dataset, read back by ranges of bytes."""
+    out = new_folder(spark, "native-read")
+    load(native_lineitem(spark, folder), NATIVE_SPEC, NativeTarget(out, NATIVE_COLUMNS))
+    return read_native(spark, out).withColumns({
+        "line": F.col("line").cast("bigint"), "price": F.col("price").cast("string"), "shipped": F.col("shipped").cast("string"),
+        "shipped_at": F.date_format("shipped_at", "yyyy-MM-dd HH:mm:ss"), "raw": F.hex("raw"), "code": F.hex("code")})
+
+
+@query("SELECT l_linestatus AS status, count(*) AS line_count, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1")
+def native_read_pruned(spark, folder):
+    """Two columns of a native dataset; the others are passed over."""
+    out = new_folder(spark, "native-pruned")
+    load(native_lineitem(spark, folder), NATIVE_SPEC, NativeTarget(out, NATIVE_COLUMNS))
+    rows = read_native(spark, out, ["status", "quantity"])
+    return rows.groupBy("status").agg(F.count(F.lit(1)).alias("line_count"), F.sum("quantity").alias("quantity"))
+
+
 EVENT_COLUMNS = (Col("id", "INTEGER"), Col("happened", "TIMESTAMP"), Col("kind", "VARCHAR", 6), Col("value", "NUMERIC", 9, 2))
 EVENT_FIELDS = (("event_id", "id"), ("ts", "happened"), ("event_type", "kind"), ("value", "value"))
 
@@ -692,6 +716,17 @@ def _plain_events(df):
     )
 
 
+@query(STREAM_SQL)
+def stream_native_sink(spark, folder):
+    """A stream into the native format's own sink, and its values read back."""
+    out = new_folder(spark, "stream-native")
+    stream = spark.readStream.schema(table(spark, folder, "events").schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    spec = LoadSpec(columns=EVENT_COLUMNS, fields=EVENT_FIELDS, abort_on_error=False)
+    target = NativeStreamTarget(f"{out}/target", EVENT_COLUMNS)
+    stream_load(stream, spec, target, f"{out}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return _plain_events(read_native(spark, f"{out}/target"))
+
+
 @query(STREAM_SQL)
 def stream_load_(spark, folder):
     out = new_folder(spark, "stream")

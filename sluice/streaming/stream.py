@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.errors import LoadPlanError
-from sluice.plans.load import check_load, load
+from sluice.operators.rejects import validate
+from sluice.plans.load import abort_on_reject, check_load, load
 from sluice.plans.spec import LoadSpec
-from sluice.sources.native import NativeTarget
+from sluice.sources.native import FORMAT, NativeSink, NativeTarget, sink_options, wire_columns
 from sluice.sources.target import PathTarget, full_row
 
 BATCH = "batch_id"
@@ -71,6 +72,15 @@ def _partition(path: str | None, batch_id: int) -> str | None:
     return path and f"{path.rstrip('/')}/{BATCH}={batch_id}"
 
 
+def _native_writer(stream: DataFrame, spec: LoadSpec, target: NativeStreamTarget):
+    stream.sparkSession.dataSource.register(NativeSink)
+    rows = validate(stream, spec, passthrough=False)
+    if spec.abort_on_error:
+        rows = rows.with_checked(abort_on_reject(rows))
+    options = sink_options(rows.loaded, target.path, target.columns)
+    return wire_columns(rows.loaded, target.columns).writeStream.format(FORMAT).options(**options)
+
+
 def stream_load(stream: DataFrame, spec: LoadSpec, target, checkpoint: str, trigger: dict | None = None,
                 on_report=None) -> StreamingQuery:
     """Start loading a stream into a ``StreamTarget``, ``TableStreamTarget`` or ``NativeStreamTarget``.
@@ -78,6 +88,9 @@ def stream_load(stream: DataFrame, spec: LoadSpec, target, checkpoint: str, trig
     The checkpoint decides which rows belong to which batch, so a restarted query repeats the batch it
     was in. ``on_report(batch_id, report)`` gets the exact counts of every batch. With ``abort_on_error``
     a rejected row stops the query and its batch is not published.
+
+    Into a native folder, without logs and reports, rows go through the format's own streaming sink, whose commits are by batch; else
+    every batch is a load of its own.
     """
     errors = [r.text for r in check_load(stream.schema, spec) if r.level == "error"]
     if errors:
@@ -93,7 +106,11 @@ def stream_load(stream: DataFrame, spec: LoadSpec, target, checkpoint: str, trig
         if on_report:
             on_report(batch_id, report)
 
-    writer = stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
+    if isinstance(target, NativeStreamTarget) and not (on_report or spec.rejected_path or spec.exceptions_path):
+        writer = _native_writer(stream, spec, target)
+    else:
+        writer = stream.writeStream.foreachBatch(load_batch)
+    writer = writer.option("checkpointLocation", checkpoint)
     if spec.stream_name:
         writer = writer.queryName(spec.stream_name)
     if trigger:

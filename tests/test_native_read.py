@@ -1,0 +1,172 @@
+"""Native datasets read back as values, and the format's streaming sink."""
+
+import os
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.errors import LoadPlanError
+from sluice.plans.load import load
+from sluice.plans.spec import LoadSpec, TargetColumn as Col
+from sluice.sources import native, native_read
+from sluice.sources.native import NativeTarget, published_rows, read_manifests
+from sluice.sources.native_read import read_native
+from sluice.streaming.stream import NativeStreamTarget, stream_load
+from tests.test_native import ALL, FULL, MOMENT, SCHEMA, alternating
+
+NOW = {"availableNow": True}
+COLUMNS = (Col("id", "INTEGER"), Col("body", "VARCHAR", 6))
+MILLIS = MOMENT.replace(microsecond=5000)
+CLOCK = 1005000
+BACK = {
+    "i8": -2, "i4": -3, "i2": -4, "i1": -5, "b": True, "f": -1.5, "c": "äb  ", "v": "schöne \\. Zeile\n", "d": date(1999, 12, 31), "t": CLOCK,
+    "tz": (CLOCK << 24) + 86400, "ts": MILLIS, "iv": -86399999999, "vb": b"\x00\xff", "fb": b"\x01\x00\x00\x00", "n": Decimal("-0.0000001000")}
+
+
+def test_every_type_comes_back(spark, tmp_path):
+    out = str(tmp_path / "out")
+    df = spark.createDataFrame([FULL] + alternating(FULL), SCHEMA).coalesce(1)
+    load(df, LoadSpec(ALL), NativeTarget(out, ALL))
+    back = read_native(spark, out)
+    assert [(f.name, f.dataType) for f in back.schema] == [(c.name, c.spark_type) for c in ALL]
+    names = list(BACK)
+    expected = [tuple(BACK.values())] + [
+        tuple(v if row[[c.name for c in ALL].index(n)] is not None else None for n, v in BACK.items()) for row in alternating(FULL)]
+    assert [tuple(r) for r in back.select(names).collect()] == expected
+    moments = [r[0] for r in back.select(F.unix_micros("tsz")).collect()]
+    assert moments == [946684800000000 + 86401005000 if row[ALL.index(next(c for c in ALL if c.name == "tsz"))] is not None else None
+                       for row in [FULL] + alternating(FULL)]
+
+
+def test_pruned_columns(spark, tmp_path):
+    out = str(tmp_path / "out")
+    load(spark.createDataFrame([FULL] + alternating(FULL), SCHEMA), LoadSpec(ALL), NativeTarget(out, ALL))
+    for wanted in (["n", "i1"], ["v"], ["tz", "fb", "i8"], ["i8"]):
+        rows = read_native(spark, out, wanted)
+        assert rows.columns == wanted
+        assert sorted(map(tuple, rows.collect()), key=str) == sorted(
+            [tuple(BACK[n] for n in wanted)] + [tuple(None if r[[c.name for c in ALL].index(n)] is None else BACK[n] for n in wanted)
+                                                for r in alternating(FULL)], key=str)
+    for wrong in (["nope"], []):
+        with pytest.raises(LoadPlanError):
+            read_native(spark, out, wrong)
+    with pytest.raises(Exception, match="not columns of the dataset"):
+        spark.read.format("native_rows").option("path", out).schema("i8 string").load().collect()
+
+
+def test_a_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    rows = spark.range(0, 40_000, 1, 1).select("id", F.expr("repeat(string(id % 10), int(id % 7))").alias("body"))
+    load(rows, LoadSpec(COLUMNS), NativeTarget(out, COLUMNS))
+    manifests = read_manifests(out)
+    (file,) = manifests[0]["files"]
+    assert file["marks"] == [[0, 28], [40_000, file["bytes"]]] and os.path.getsize(out + "/" + file["sizes"]) == 160_000
+    marks, sizes = [[0, 28]], np.fromfile(out + "/" + file["sizes"], "<u4").astype(np.int64)
+    for row in range(7_000, 40_001, 7_000):
+        marks.append([row, 28 + int(sizes[:row].sum())])
+    file["marks"] = [*marks, file["marks"][-1]]
+    monkeypatch.setattr(native_read, "BLOCK_BYTES", 1 << 12)
+    reader = native_read.NativeReader(out, COLUMNS, ["body", "id"], manifests)
+    parts = reader.partitions()
+    assert len(parts) == 6
+    got = [r for p in parts for b in reader.read(p) for r in zip(b.column("id").to_pylist(), b.column("body").to_pylist())]
+    assert got == [(i, str(i % 10) * (i % 7)) for i in range(40_000)]
+    file["marks"] = None  # as written before there were sizes
+    (whole,) = reader.partitions()
+    assert [i for b in reader.read(whole) for i in b.column("id").to_pylist()] == list(range(40_000))
+
+
+def test_marks_split_long_files(spark, tmp_path):
+    lengths = np.full(1000, 100, np.int64)
+    assert list(native._marked(lengths, 0)) == []
+    wide = np.full(10, native.SPLIT_BYTES // 3, np.int64)
+    assert [(int(i), int(e)) for i, e in native._marked(wide, 0)] == [(i, (i + 1) * (native.SPLIT_BYTES // 3)) for i in (3, 7)]
+    assert [int(i) for i, _ in native._marked(wide, native.SPLIT_BYTES)] == [0, 4, 8]
+    out = str(tmp_path / "out")
+    columns = (Col("k", "INTEGER"), Col("s", "VARCHAR", 5000))
+    rows = spark.range(0, 30_000, 1, 1).select("id", F.repeat(F.lit("x"), 4000))
+    load(rows, LoadSpec(columns), NativeTarget(out, columns))
+    back = read_native(spark, out)
+    assert back.rdd.getNumPartitions() > 1
+    assert back.agg(F.sum("k"), F.sum(F.length("s"))).first() == (sum(range(30_000)), 30_000 * 4000)
+
+
+def test_damaged_and_empty_datasets(spark, tmp_path):
+    out = str(tmp_path / "out")
+    load(spark.range(0), LoadSpec(COLUMNS[:1]), NativeTarget(out, COLUMNS[:1]))
+    assert read_native(spark, out).collect() == []
+    load(spark.range(10), LoadSpec(COLUMNS[:1]), NativeTarget(out, COLUMNS[:1]))
+    assert sorted(r.id for r in read_native(spark, out).collect()) == list(range(10))
+    file = read_manifests(out)[0]["files"] or read_manifests(out)[1]["files"]
+    os.truncate(f"{out}/{file[0]['file']}", 30)
+    with pytest.raises(Exception, match="shorter than its manifest"):
+        read_native(spark, out).collect()
+    with pytest.raises(Exception, match="no run was published"):
+        read_native(spark, str(tmp_path)).collect()
+    load(spark.range(1), LoadSpec((Col("other", "INTEGER"),)), NativeTarget(out, (Col("other", "INTEGER"),)))
+    with pytest.raises(Exception, match="the same ones"):
+        read_native(spark, out).collect()
+
+
+class Source:
+    def __init__(self, spark, tmp_path):
+        self.spark, self.folder, self.checkpoint, self.out = spark, str(tmp_path / "in"), str(tmp_path / "checkpoint"), str(tmp_path / "out")
+
+    def add(self, start, end):
+        rows = self.spark.range(start, end).select("id", F.concat(F.lit("row"), F.col("id").cast("string")).alias("text"))
+        rows.coalesce(1).write.mode("append").parquet(self.folder)
+
+    def run(self, **options):
+        stream = self.spark.readStream.schema("id long, text string").option("maxFilesPerTrigger", 1).parquet(self.folder)
+        spec = LoadSpec(COLUMNS, **{"abort_on_error": False, **options})
+        stream_load(stream, spec, NativeStreamTarget(self.out, COLUMNS), self.checkpoint, NOW).awaitTermination()
+
+    def ids(self):
+        return sorted(r.id for r in read_native(self.spark, self.out).collect())
+
+
+@pytest.fixture
+def source(spark, tmp_path):
+    return Source(spark, tmp_path)
+
+
+def test_streaming_sink(spark, source):
+    source.add(0, 10)
+    source.add(995, 1005)  # from 1000 on the text has seven bytes
+    source.run()
+    assert source.ids() == list(range(10)) + list(range(995, 1000))
+    source.add(10, 20)
+    source.run()
+    assert source.ids() == list(range(20)) + list(range(995, 1000))
+    assert [m["run"] for m in read_manifests(source.out)] == ["batch0", "batch1", "batch2"]
+    assert all(f["file"].startswith(m["run"] + "/") for m in read_manifests(source.out) for f in m["files"])
+    assert published_rows(spark, source.out, 2).count() == 25
+
+
+def test_a_batch_that_is_repeated_replaces_itself(spark, source):
+    """The driver is lost after the batch's commit and before the query recorded it."""
+    source.add(0, 10)
+    source.add(10, 20)
+    source.run()
+    old = {f["file"] for f in read_manifests(source.out)[1]["files"]}
+    for name in ("1", ".1.crc"):
+        os.remove(f"{source.checkpoint}/commits/{name}")
+    with open(f"{source.out}/batch1/part-000000-batch1-999.bin", "wb") as stray:  # of an attempt that was lost
+        stray.write(b"x")
+    source.run()
+    assert source.ids() == list(range(20))
+    new = {f["file"] for f in read_manifests(source.out)[1]["files"]}
+    assert new and not new & old
+    assert sorted(os.listdir(f"{source.out}/batch1")) == sorted(
+        os.path.basename(n) for f in read_manifests(source.out)[1]["files"] for n in (f["file"], f["sizes"]))
+
+
+def test_a_batch_that_fails_is_not_published(spark, source):
+    source.add(0, 10)
+    source.add(1000, 1001)
+    with pytest.raises(Exception, match="row rejected: body"):
+        source.run(abort_on_error=True)
+    assert source.ids() == list(range(10)) and [m["run"] for m in read_manifests(source.out)] == ["batch0"]
