@@ -18,12 +18,14 @@ def kept(key, build):
     """The object of ``key`` in this Python worker, built at its first use.
 
     Module variables don't live on between tasks where the package is shipped by value; this place does.
-    Only the newest object of each kind (``key[0]``) stays, so that a long session doesn't gather old ones.
+    Only the newest object stays, whatever its kind, so that a worker that serves one operator after the other doesn't gather theirs.
     """
     store = sys.modules.setdefault("_sluice_llm_kept", types.ModuleType("_sluice_llm_kept")).__dict__
-    held = store.get(key[0])
+    held = store.get("newest")
     if held is None or held[0] != key:
-        held = store[key[0]] = (key, build())
+        store.pop("newest", None)  # gone before the next is built
+        held = None
+        held = store["newest"] = (key, build())
     return held[1]
 
 

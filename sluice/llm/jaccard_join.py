@@ -77,16 +77,23 @@ def sketch(elements: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.uint64)
 
 
-def close_pairs(left, right, percent: int):
+def close_pairs(left, right, percent: int, forest: bool = False):
     """Places of pairs of (component, size, sketch) columns that may be similar, in different components.
 
-    Neither sizes nor the sketches' distance, which is no larger than the sets' difference, rule them out.
+    Neither sizes nor the sketches' distance, which is no larger than the sets' difference, rule them out. With ``forest`` a pair
+    that is handed on counts as a link, and no other is between the components that it joins: fewer pairs than there are sets.
     """
     component, size, sketches = right
+    joined = np.arange(1 + max(int(c.max(initial=0)) for c in (component, left[0])))
     for i, (own, n, bits) in enumerate(zip(*left)):
-        at = np.flatnonzero((component != own) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
+        at = np.flatnonzero((joined[component] != joined[own]) & (100 * np.minimum(size, n) >= percent * np.maximum(size, n)))
         apart = np.bitwise_count(sketches[at] ^ bits).sum(1, dtype=np.int64)
-        for j in at[apart <= (size[at] + n) * (100 - percent) // (100 + percent)]:
+        at = at[apart <= (size[at] + n) * (100 - percent) // (100 + percent)]
+        if forest and len(at):
+            others, first = np.unique(joined[component[at]], return_index=True)
+            at = at[first]
+            joined[np.isin(joined, others)] = joined[own]
+        for j in at:
             yield i, int(j)
 
 
@@ -249,7 +256,7 @@ def _elements(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) -> Da
     """h1, sid, n, sketch and elements of the wanted sets (h1), each from the text of one document that has it."""
     chosen = sets.filter("n_shingles > 0").join(wanted, "h1", "left_semi").groupBy("h1", "h2", "n_shingles").agg(
         F.min("row").alias("row"))
-    texts = docs.join(chosen.select("row"), "row", "left_semi").select("text")
+    texts = docs.join(chosen.select("row"), "row", "left_semi").dropDuplicates(["row"]).select("text")  # rows may repeat
 
     def find(batches):
         for piece in pieces(batches):
@@ -328,7 +335,9 @@ class _Linking:
 
     A set meets each similar one in ``need`` groups of a band, at least. First each group's sets are compared with its
     leader, if they meet it often. In groups whose sets then still belong to several components, all pairs of
-    different components are looked at, in blocks, by size and sketch, and those that these don't rule out are compared. Before that each
+    different components are looked at, in blocks, by size and sketch, which hardly let a pair pass that isn't similar. Of those that
+    pass a first turn compares only as many as join a block's components, and a second one, over the groups that are then
+    still open, all that are left. Before that each
     set leaves out nearly half its need of its largest groups; two sets leave out no more of their common ones than one does.
     """
 
@@ -364,8 +373,8 @@ class _Linking:
                                           F.count(F.lit(1)).alias("size")).filter("least != most")
         return rows.join(several.select("key", "size"), "key")
 
-    def in_full(self, rows: DataFrame) -> DataFrame:
-        """Pairs of different components in a group that neither size nor sketch tell apart.
+    def in_full(self, rows: DataFrame, forest: bool) -> DataFrame:
+        """Pairs of different components in a group that neither size nor sketch tell apart; with ``forest`` only enough to join them.
 
         A group of more than ``BLOCK`` sets is dealt out to pairs of blocks.
         """
@@ -385,11 +394,11 @@ class _Linking:
             one, two = table.column("first")[0].as_py(), table.column("second")[0].as_py()
             ids, all_ = table.column("h1").to_numpy(), columns(table)
             if one == two:
-                pairs = close_pairs(all_, all_, percent)
+                pairs = close_pairs(all_, all_, percent, forest)
             else:
                 own = np.flatnonzero(table.column("block").to_numpy() == one)
                 rest = np.flatnonzero(table.column("block").to_numpy() != one)
-                found = close_pairs([c[own] for c in all_], [c[rest] for c in all_], percent)
+                found = close_pairs([c[own] for c in all_], [c[rest] for c in all_], percent, forest)
                 pairs = ((own[i], rest[j]) for i, j in found)
             found = {(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs}
             return pa.RecordBatch.from_arrays(
@@ -417,10 +426,13 @@ class _Linking:
     def run(self) -> DataFrame:
         self.test(self.around_first_leaders())
         nodes = components(self.links)
-        rows = self.open_groups(nodes)
-        own = Window.partitionBy("h1", _band()).orderBy(F.desc("size"), "key")
-        few = rows.withColumn("place", F.row_number().over(own)).filter(F.col("place") > _leaves(F.col("need"))).drop("place")
-        return components(self.links) if self.test(self.in_full(few)) else nodes
+        for forest in (True, False):
+            rows = self.open_groups(nodes)
+            own = Window.partitionBy("h1", _band()).orderBy(F.desc("size"), "key")
+            few = rows.withColumn("place", F.row_number().over(own)).filter(F.col("place") > _leaves(F.col("need"))).drop("place")
+            if self.test(self.in_full(few, forest)):
+                nodes = components(self.links)
+        return nodes
 
 
 def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

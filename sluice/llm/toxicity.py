@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sluice.llm.common import id_and_text, kept, pieces, texts, with_id
+from sluice.llm.common import PIECE_ROWS, id_and_text, kept, pieces, texts, with_id
 from sluice.llm.labelled import FITTED, crc, held_out, sampled
 from sluice.llm.token_units import Memo
 
@@ -202,8 +202,11 @@ def _is_toxic(whole: DataFrame, docs: DataFrame, labels: DataFrame, terms=IDENTI
     def toxic(column: pa.Array) -> pa.Array:
         weights, bias = shared.value
         memo = kept(("toxicity", weights[:: 1 << 8].tobytes(), bias), lambda: Memo(Model(weights, bias).of_words))
-        words = [distinct_words(text) for text in texts(column)]
-        known = memo.know(words)
-        return pa.array([bool(sum(map(known.__getitem__, own)) + bias >= 0) for own in words])
+        found: list[bool] = []
+        for at in range(0, len(column), PIECE_ROWS):  # so that the words of a whole batch don't add up
+            words = [distinct_words(text) for text in texts(column.slice(at, PIECE_ROWS))]
+            known = memo.know(words)
+            found += [bool(sum(map(known.__getitem__, own)) + bias >= 0) for own in words]
+        return pa.array(found, pa.bool_())
 
     return toxic(F.col("text").cast("string"))

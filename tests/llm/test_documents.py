@@ -160,6 +160,53 @@ def test_groups_are_compared_in_full(spark, monkeypatch, block):
     assert by_id(found.select("doc_id", "n_shingles", "component_id").collect()) == by_id(expected_components(rows, 4, 70))
 
 
+def test_rows_that_repeat_do_not_multiply(spark, monkeypatch):
+    """Two similar texts of 300 rows each, of the same ids: one row of each set is compared."""
+    base = [f"w{i}" for i in range(200)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:-2], "x"]))] * 300 + [(3, "something else that is not like them")]
+    counted = []
+    write = jaccard_join.write_table
+    monkeypatch.setattr(jaccard_join, "write_table", lambda df, path: counted.append((path, write(df, path))) or counted[-1][1])
+    sizes = []
+    linked = jaccard_join._linked
+    monkeypatch.setattr(jaccard_join, "_linked", lambda pairs, elements, percent: sizes.append((pairs.count(), elements.count())) or linked(pairs, elements, percent))
+    found = jaccard_join.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1), (3, 3)} and len(found) == 601
+    assert max(e for _, e in sizes) == 2 and max(p for p, _ in sizes) == 1
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_a_large_group_around_the_threshold(spark, monkeypatch, block):
+    """Variants of one text, from 0.6 to 0.95 similar with each other, so that many pairs of one group are no links."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(rng, base, rng.choice((0.005, 0.02, 0.03, 0.05))))) for i in range(250)]
+    found = jaccard_join.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), jaccard_join.Settings(n=4, percent=85))
+    expected = expected_components(rows, 4, 85)
+    assert 3 < len({c for *_, c in expected}) < 200
+    assert by_id(found.select("doc_id", "n_shingles", "component_id").collect()) == by_id(expected)
+
+
+def test_a_forest_joins_what_all_pairs_join():
+    rng = np.random.default_rng(2)
+    n = np.full(60, 40, np.int64)
+    bases = rng.integers(0, 1 << 62, (4, jaccard_join.WORDS), dtype=np.uint64)
+    sketches = bases[rng.integers(0, 4, 60)] ^ (np.uint64(1) << rng.integers(0, 60, (60, jaccard_join.WORDS), dtype=np.uint64)) * (
+        rng.random((60, jaccard_join.WORDS)) < 0.13)
+    columns = (np.arange(60, dtype=np.int32) // 2, n, sketches)
+    every = list(jaccard_join.close_pairs(columns, columns, 80, False))
+    some = list(jaccard_join.close_pairs(columns, columns, 80, True))
+    assert set(some) <= set(every) and len(some) < 30 < len(every)
+
+    def parts(pairs):
+        label = list(columns[0])
+        for i, j in pairs:
+            label = [label[i] if x == label[j] else x for x in label]
+        return len(set(label))
+    assert parts(some) == parts(every)
+
+
 @given(st.lists(st.sets(st.integers(0, 40), min_size=1, max_size=30), min_size=2, max_size=12))
 def test_sketches_rule_out_no_similar_pair(sets):
     arrays = [np.array(sorted(s), np.uint64) for s in sets]
