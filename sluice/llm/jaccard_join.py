@@ -385,40 +385,46 @@ class _Linking:
             "key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "h1", "n",
             "sketch", "component")
 
-        def columns(table):
+        def compare(table, edges):
+            """Pairs of the groups between the edges. Columns are decoded once for all, and groups of two are compared together."""
+            ids, n, block = (table.column(c).to_numpy() for c in ("h1", "n", "block"))
+            inner = table.column("first").to_numpy() == table.column("second").to_numpy()
             component = table.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
             sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(-1, WORDS)
-            return component, table.column("n").to_numpy(), sketches
-
-        def compare(table):
-            one, two = table.column("first")[0].as_py(), table.column("second")[0].as_py()
-            ids, all_ = table.column("h1").to_numpy(), columns(table)
-            if one == two:
-                pairs = close_pairs(all_, all_, percent, forest)
-            else:
-                own = np.flatnonzero(table.column("block").to_numpy() == one)
-                rest = np.flatnonzero(table.column("block").to_numpy() != one)
-                found = close_pairs([c[own] for c in all_], [c[rest] for c in all_], percent, forest)
-                pairs = ((own[i], rest[j]) for i, j in found)
-            found = {(min(ids[i], ids[j]), max(ids[i], ids[j])) for i, j in pairs}
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["x", "y"])
+            starts, sizes = edges[:-1], np.diff(edges)
+            x = starts[sizes == 2]
+            y = x + 1
+            x, y = (side[(component[x] != component[y]) & (inner[x] | (block[x] != block[y]))
+                         & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))] for side in (x, y))
+            near = np.bitwise_count(sketches[x] ^ sketches[y]).sum(1, dtype=np.int64) <= (n[x] + n[y]) * (100 - percent) // (100 + percent)
+            pairs = [np.stack((x[near], y[near]))]
+            for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+                at = np.arange(start, start + size)
+                left = right = at
+                if not inner[start]:
+                    first = block[at] == block[at].min()
+                    left, right = at[first], at[~first]
+                if len(right) and component[at].min() != component[at].max():
+                    sides = ((component[side], n[side], sketches[side]) for side in (left, right))
+                    found = np.array(list(close_pairs(*sides, percent, forest)), np.int64).reshape(-1, 2)
+                    pairs.append(np.stack((left[found[:, 0]], right[found[:, 1]])))
+            x, y = ids[np.concatenate(pairs, axis=1)]
+            found = np.unique(np.stack((np.minimum(x, y), np.maximum(x, y))), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["x", "y"])
 
         def find(batches):
             rest = None
             for batch in batches:
-                table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+                table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
                 if not table.num_rows:
                     continue
                 marks = [table.column(c).to_numpy() for c in ("key", "first", "second")]
-                new = np.flatnonzero(np.logical_or.reduce([m[1:] != m[:-1] for m in marks])) + 1
-                edges = [0, *new.tolist()]
-                for a, b in zip(edges[:-1], edges[1:]):
-                    if b - a > 1:
-                        yield compare(table.slice(a, b - a))
-                rest = table.slice(edges[-1])
+                edges = np.append(0, np.flatnonzero(np.logical_or.reduce([m[1:] != m[:-1] for m in marks])) + 1)
+                if len(edges) > 1:
+                    yield compare(table.slice(0, int(edges[-1])), edges)
+                rest = table.slice(int(edges[-1]))
             if rest is not None and rest.num_rows > 1:
-                yield compare(rest)
+                yield compare(rest, np.array([0, rest.num_rows]))
 
         places = ["key", "first", "second"]
         return dealt.select(*fields).repartition(*places).sortWithinPartitions(*places).mapInArrow(find, "x bigint, y bigint")
