@@ -252,11 +252,18 @@ def _groups(docs: DataFrame, settings: Settings) -> DataFrame:
     return docs.mapInArrow(emit, schema).repartition(place).sortWithinPartitions("key", "member").mapInArrow(lead, schema)
 
 
-def _elements(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """h1, sid, n, sketch and elements of the wanted sets (h1), each from the text of one document that has it."""
-    chosen = sets.filter("n_shingles > 0").join(wanted, "h1", "left_semi").groupBy("h1", "h2", "n_shingles").agg(
-        F.min("row").alias("row"))
-    texts = docs.join(chosen.select("row"), "row", "left_semi").dropDuplicates(["row"]).select("text")  # rows may repeat
+def _elements(docs: DataFrame, sets: DataFrame, wanted: DataFrame, n: int, folder: str) -> DataFrame:
+    """h1, sid, n, sketch and elements of the wanted sets (h1), each from the text of one document that has it.
+
+    The chosen rows are a table of their own, so that Spark sees its size and moves no texts to it while it is small. Only
+    rows that stand several times are brought together, for one of them to stay.
+    """
+    rows = sets.filter("n_shingles > 0").join(wanted, "h1", "left_semi").groupBy("h1", "h2", "n_shingles", "row").agg(
+        F.count(F.lit(1)).alias("times"))
+    chosen = rows.groupBy("h1", "h2", "n_shingles").agg(F.min(F.struct("row", "times")).alias("one"))
+    chosen = write_table(chosen.select("one.row", (F.col("one.times") > 1).alias("repeats")), f"{folder}/chosen")
+    picked = docs.join(chosen, "row")
+    texts = picked.filter("NOT repeats").select("text").union(picked.filter("repeats").dropDuplicates(["row"]).select("text"))
 
     def find(batches):
         for piece in pieces(batches):
@@ -462,7 +469,7 @@ def near_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     with scratch(spark, "near-copies") as folder:
         groups = write_table(_groups(rows.select("text"), settings), f"{folder}/groups")
         members = write_table(_members(groups, sets), f"{folder}/members")
-        elements = write_table(_elements(rows, sets, members.select("h1").distinct(), settings.n), f"{folder}/elements")
+        elements = write_table(_elements(rows, sets, members.select("h1").distinct(), settings.n, folder), f"{folder}/elements")
         nodes = materialize(_Linking(members, elements, settings, folder).run(), "nodes")
     hexed = F.concat(*(F.lpad(F.hex(h), 16, "0") for h in (F.col("h1").bitwiseXOR(F.lit(-(1 << 63))), "h2")))
     known = sets.filter("n_shingles > 0").withColumn("sid", F.unhex(hexed)).join(
