@@ -8,17 +8,17 @@ from dataclasses import dataclass, field
 from uuid import uuid4
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from sluice.errors import LoadAborted, LoadPlanError
 from sluice.functions.conform import conform, to_text
 from sluice.operators.mapping import column, resolve_mapping
 from sluice.operators.rejects import NULL_TEXT, CheckedRows, count_columns, validate
-from sluice.plans.spec import LoadSpec
+from sluice.plans.spec import BINARY_TYPES, FLOAT_TYPES, INTEGER_TYPES, INTERVAL_TYPES, TEXT_TYPES, LoadSpec, TargetColumn
 from sluice.sources import routed
 from sluice.sources.native import qualified
 from sluice.sources.routed import ABORT_END, ABORT_MARK
-from sluice.sources.target import PathTarget, TableTarget, create_target
+from sluice.sources.target import PathTarget, TableTarget, columns_from_table, create_target
 from sluice.sources.workspace import scratch, write_table
 
 AUTO = "auto"
@@ -77,6 +77,49 @@ def check_load(schema: T.StructType, spec: LoadSpec) -> list[Remark]:
     return remarks
 
 
+def fits(c: TargetColumn, live: TargetColumn) -> bool:
+    """Whether every value that conforms to ``c`` can be stored in a table's column as it is: the same family, no narrower."""
+    kind, other = c.type_name, live.type_name
+    if kind in INTEGER_TYPES:
+        return other in INTEGER_TYPES and live.width >= c.width
+    if kind in FLOAT_TYPES:
+        return other in FLOAT_TYPES
+    if kind == "NUMERIC":
+        (digits, scale), (most, room) = c.digits, live.digits if other == "NUMERIC" else (0, 0)
+        return room >= scale and most - room >= digits - scale
+    if kind in TEXT_TYPES or kind in BINARY_TYPES:
+        family = TEXT_TYPES if kind in TEXT_TYPES else BINARY_TYPES
+        fixed = other == "CHAR" or live.fixed
+        return other in family and (live.length is None or c.length is not None and c.length <= live.length) and not (
+            fixed and (kind != other or c.length != live.length))
+    if kind in INTERVAL_TYPES or kind in ("TIME", "TIMETZ"):  # these travel as integers
+        same = other in INTERVAL_TYPES if kind in INTERVAL_TYPES else other == kind
+        return same or other in INTEGER_TYPES and live.width == 8
+    return kind == other
+
+
+def check_table(spark: SparkSession, spec: LoadSpec, table: str) -> list[Remark]:
+    """Where a table as it is now clashes with the columns of a load into it, in both directions. Runs no job."""
+    try:
+        live = {c.name.lower(): c for c in columns_from_table(spark, table)}
+    except LoadPlanError as error:
+        return [Remark("error", str(error))]
+    loaded = {c.name.lower(): c for c in spec.columns} if spec.fields is None else {
+        c.name.lower(): c for c in map(spec.column, [name for _, name in spec.fields]) if c}
+    remarks = []
+    for name, c in loaded.items():
+        if name not in live:
+            remarks.append(Remark("error", f"table {table} has no column {c.name}"))
+        elif not fits(c, live[name]):
+            remarks.append(Remark("error", f"column {c.name}: {c.type_text} does not fit the table's {live[name].type_text}"))
+    needed = {f.name.lower() for f in spark.table(table).schema.fields if not f.nullable}
+    for name, c in live.items():
+        if name not in loaded:
+            level = "error" if name in needed else "warning"
+            remarks.append(Remark(level, f"the table's column {c.name} is not loaded" + (" and takes no NULL" if name in needed else "")))
+    return remarks
+
+
 def _require_loadable(df: DataFrame, spec: LoadSpec) -> None:
     errors = [r.text for r in check_load(df.schema, spec) if r.level == "error"]
     if errors:
