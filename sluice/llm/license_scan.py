@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,6 +37,21 @@ TEMPLATES = (
     ("cc-by-notice", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("bsd-grant", "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
                   "that the following conditions are met"),
+    ("isc-grant", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+                  "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("mpl-notice", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+                   "not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("boost-notice", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy "
+                     "at https://www.boost.org/LICENSE_1_0.txt)"),
+    ("zlib-grant", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and "
+                   "to alter it and redistribute it freely, subject to the following restrictions"),
+    ("unlicense-grant", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+                        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+                        "binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("apache-disclaimer", "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+                          "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or "
+                          "implied. See the License for the specific language governing permissions and limitations under the "
+                          "License."),
 )
 
 _LOWER = bytes(range(65, 91))
@@ -51,7 +67,7 @@ def words_of(data: bytes) -> list[bytes]:
 @dataclass(frozen=True)
 class Settings:
     """``least``: words of the shortest match that counts for a template (or all of a shorter one's). ``gap``: words that may
-    stand between two matches of a chain, in the text and in the template. ``covered``: share of a template's words that its best
+    stand between two words of a chain, in the text and in the template. ``covered``: share of a template's words that its best
     chain must cover to give its label."""
 
     least: int = 3
@@ -176,24 +192,42 @@ class Scanner:
         return len(words), places, self._chains(found)
 
     def _chains(self, found):
-        """Matches of a template in text order, joined while they go on in the template and leave small gaps."""
+        """Best chains of matched words: (template, first, last, covered words), none of a template overlapping another in the text.
+
+        A chain's words go forward in the text and in the template, and leave out at most ``gap`` words at a time in either. For
+        every matched word the longest chain that ends there is kept, all of them at once, so a stray match never closes a
+        chain that goes on later. Of the chains with the same beginning the longest counts, then longest chains first.
+        """
         by_template: dict = {}
         for (t, shift), (first, last) in found:
-            by_template.setdefault(t, []).append((first, last, first + shift))
-        spans = []
-        for t, matches in sorted(by_template.items()):
-            chain = None  # first, last, place after the last template word, covered
-            for first, last, place in sorted(matches):
-                overlap = max(0, chain[1] - first + 1, chain[2] - place) if chain else 0
-                size = last - first + 1 - overlap
-                if chain and size > 0 and first - chain[1] <= self.settings.gap + 1 and 0 <= place + overlap - chain[2] <= self.settings.gap:
-                    chain = (chain[0], last, place + overlap + size, chain[3] + size)
-                elif not chain or size > 0:
-                    if chain:
-                        spans.append((t, chain[0], chain[1], chain[3]))
-                    chain = (first, last, place + last - first + 1, last - first + 1)
-            spans.append((t, chain[0], chain[1], chain[3]))
-        return spans
+            words = by_template.setdefault(t, {})
+            for at in range(first, last + 1):
+                words.setdefault(at, []).append(at + shift)
+        return [(t, *span) for t, words in sorted(by_template.items()) for span in self._longest(words)]
+
+    def _longest(self, words: dict[int, list[int]]):
+        reach = self.settings.gap + 1
+        ends: dict = {}  # text place: (template place, words of the longest chain that ends here, its beginning)
+        best: dict = {}  # beginning: words and last text place of its longest chain
+        for at in sorted(words):
+            near = [one for before in range(at - reach, at) for one in ends.get(before, ())]
+            ends.pop(at - reach, None)
+            here = []
+            for place in sorted(words[at]):
+                covered, begin = 0, (at, place)
+                for other, size, start in near:
+                    if size > covered and place - reach <= other < place:
+                        covered, begin = size, start
+                here.append((place, covered + 1, begin))
+                if covered + 1 > best.get(begin, (0,))[0]:
+                    best[begin] = covered + 1, at
+            ends[at] = here
+        kept: list = []  # disjoint, in text order
+        for (first, _), (covered, last) in sorted(best.items(), key=lambda one: (-one[1][0], one[0])):
+            k = bisect_left(kept, (first,))
+            if (k == len(kept) or kept[k][0] > last) and (not k or kept[k - 1][1] < first):
+                kept.insert(k, (first, last, covered))
+        return kept
 
     def row(self, data: bytes) -> tuple:
         n_words, places, spans = self.scan(data)
@@ -216,9 +250,9 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=T
 
     Words are runs of ASCII letters (in lower case), digits and other characters. ``n_base`` counts all places at
     which a phrase's words stand, ``first_word`` and ``last_word`` are the smallest and largest start of them (null if there
-    are none). Templates are found through long matches in the same automaton: matches on a diagonal are
-    chained in text order while they go forward in the template with small gaps; a chain is a span, and its ``covered`` share of the
-    template's words decides about the template's label. ``score`` is the largest share covered. ``labels`` has both kinds.
+    are none). Templates are found through long matches in the same automaton, whose words are
+    chained by dynamic programming: longest chains that go forward in text and template with small gaps. A chain is a span, and its
+    ``covered`` share of the template's words decides about the template's label. ``score`` is the largest share covered. ``labels`` has both kinds.
 
     Null and empty texts have no words, empty labels and score 0. Rows are kept as they are, with null or
     repeated ids too; other columns don't matter. An empty table gives an empty result.

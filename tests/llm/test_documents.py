@@ -343,7 +343,29 @@ def naive_scan(text, settings=license_scan.Settings()):
                         if t < len(license_scan.PHRASES) and at - first == len(sequence):
                             places.append((first, t))
                     first = None
-    return len(words), sorted(places), scanner._chains(matches)
+    pairs = {(t, at, at + shift) for (t, shift), (first, last) in matches for at in range(first, last + 1)}
+    return len(words), sorted(places), longest_chains(pairs, settings.gap)
+
+
+def longest_chains(pairs, gap):
+    """Words of the best chain of each template: any two words in order may follow each other if they are near enough."""
+    longest = {}
+    for t, at, place in sorted(pairs):
+        before = [n for (u, x, y), n in longest.items() if u == t and 0 < at - x <= gap + 1 and 0 < place - y <= gap + 1]
+        longest[t, at, place] = 1 + max(before, default=0)
+    best = defaultdict(int)
+    for (t, _, _), n in longest.items():
+        best[t] = max(best[t], n)
+    return dict(best)
+
+
+def best_spans(spans):
+    best = defaultdict(int)
+    for t, first, last, covered in spans:
+        assert first <= last and covered <= last - first + 1
+        assert all(last < a or b < first for u, a, b, _ in spans if u == t and (a, b) != (first, last))
+        best[t] = max(best[t], covered)
+    return dict(best)
 
 
 ODD_LICENSES = [
@@ -358,7 +380,7 @@ ODD_LICENSES = [
 def test_scan_against_every_diagonal(text):
     scanner = license_scan.Scanner(license_scan.PHRASES, license_scan.TEMPLATES, license_scan.Settings())
     n, places, spans = scanner.scan(text.encode())
-    assert (n, sorted(places), spans) == naive_scan(text)
+    assert (n, sorted(places), best_spans(spans)) == naive_scan(text)
 
 
 WORDS = sorted({w.decode() for _, t in license_scan.TEMPLATES for w in license_scan.words_of(t.encode())} | {"foo", "cc", "mit"})
@@ -370,7 +392,32 @@ def test_scan_of_random_words(words):
     text = " ".join(words)
     scanner = license_scan.Scanner(license_scan.PHRASES, license_scan.TEMPLATES, license_scan.Settings())
     n, places, spans = scanner.scan(text.encode())
-    assert (n, sorted(places), spans) == naive_scan(text)
+    assert (n, sorted(places), best_spans(spans)) == naive_scan(text)
+
+
+GRANT = dict(license_scan.TEMPLATES)["gpl-grant"]
+APACHE = dict(license_scan.TEMPLATES)["apache-grant"]
+
+
+@pytest.mark.parametrize("text, label", [
+    (GRANT.replace("redistribute it", "redistribute your option any it"), "gpl-grant"),
+    (" ".join(GRANT.split()[-7:]) + " " + GRANT, "gpl-grant"),
+    (GRANT + " " + " ".join(GRANT.split()[:7]), "gpl-grant"),
+    (APACHE.replace("compliance with", "compliance of the License with"), "apache-grant"),
+    (APACHE.replace("may not use", "apache license version may not use"), "apache-grant")])
+def test_words_of_its_own_inside_keep_a_label(text, label):
+    scanner = license_scan.Scanner(license_scan.PHRASES, license_scan.TEMPLATES, license_scan.Settings())
+    row = scanner.row(text.encode())
+    assert label in row[5].split(",") and row[6] >= 0.95
+
+
+def test_every_template_gives_its_label():
+    scanner = license_scan.Scanner(license_scan.PHRASES, license_scan.TEMPLATES, license_scan.Settings())
+    for label, text in license_scan.TEMPLATES:
+        assert label in scanner.row(f"some words {text} and others".encode())[5].split(",")
+    many = scanner.scan((" and so on ".join([APACHE] * 50)).encode())[2]
+    whole = [(first, last) for t, first, last, covered in many if scanner.labels[t] == "apache-grant" and covered == scanner.sizes[t]]
+    assert len(whole) == 50 and all(b < c for (_, b), (c, _) in zip(whole, whole[1:]))
 
 
 def test_license_scan(documents):
