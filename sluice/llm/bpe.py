@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from sluice.llm.common import id_and_text, kept, pieces, texts, with_id
 from sluice.llm.frequent import frequent_units
 from sluice.llm.lexicon import Lexicon, compiled
-from sluice.llm.token_units import Memo, encoded, library, spaced
+from sluice.llm.token_units import UNITS, Encoder, Memo, byte_of_character, spaced, words
 from sluice.sources.native import filesystem, qualified
 from sluice.sources.workspace import new_folder
 
@@ -20,13 +20,6 @@ from sluice.sources.workspace import new_folder
 SHARE = 1e-5
 
 
-def byte_of_character() -> dict[str, int]:
-    """The public byte-level alphabet: printable Latin-1 characters stand for their byte, the next free ones for the others."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
 class Decoder:
     """Texts of ids under a byte-level vocabulary; bytes that are no UTF-8 become replacement characters."""
 
@@ -65,8 +58,8 @@ class Decoder:
 def lexicon_file(docs: DataFrame, spec: str, share: float = SHARE) -> str:
     """Compile the frequent words of all documents and hand the file to every worker; returns its name there."""
     spark = docs.sparkSession
-    common = frequent_units(docs, spaced, share)
-    data = compiled(dict(zip((unit.encode() for unit in common), encoded(library(spec), common))))
+    common = [" " + word for word in frequent_units(docs, words, share)]  # as units: nearly all words stand after a blank
+    data = compiled(dict(zip((unit.encode() for unit in common), Encoder(spec)(common))))
     folder = qualified(spark, new_folder(spark, "lexicon"))
     fs, root = filesystem(folder)
     fs.create_dir(root, recursive=True)
@@ -102,16 +95,16 @@ def bpe_encode(docs: DataFrame, tokenizer_file: str, each=None, schema=(("ids",
         arrow = to_arrow_schema(result)
 
         def build():
-            lexicon, tokenizer = Lexicon(SparkFiles.get(name)), library(shared.value)
+            lexicon, encoder = Lexicon(SparkFiles.get(name)), Encoder(shared.value)
 
             def find(units):
-                found = [lexicon.find(unit.encode()) for unit in units]
+                found = lexicon.find_all([unit.encode() for unit in units])
                 rest = [i for i, ids in enumerate(found) if ids is None]
-                for i, ids in zip(rest, encoded(tokenizer, [units[i] for i in rest])):
+                for i, ids in zip(rest, encoder([units[i] for i in rest])):
                     found[i] = ids
                 return found
 
-            return Memo(find), Decoder(shared.value)
+            return Memo(find, UNITS), Decoder(shared.value)
 
         memo, decoder = kept(("bpe", name), build)
         for piece in pieces(batches):

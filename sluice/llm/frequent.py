@@ -17,10 +17,11 @@ COUNTED = 400_000
 
 
 def frequent_units(docs: DataFrame, split, share: float = SHARE) -> list[str]:
-    """Units with at least ``share`` of all occurrences, most frequent first; at most 1 / ``share``.
+    """Units with about ``share`` of all occurrences or more, most frequent first; at most 1 / ``share``.
 
-    Every text is counted in full. A task hands on the units above half the share among its own, so what is
-    shuffled is a bounded summary of each task and never the units themselves. The result only steers speed.
+    Every text is counted in full, but a task forgets its rarest units when it holds more than ``COUNTED``, and hands on
+    those above half the share among its own: what is shuffled is a bounded summary of each task and never the texts'
+    units. Counts are therefore lower bounds, and a unit near the share may be left out. The result only steers speed.
     Null texts count as empty; without any unit the list is empty.
     """
 
@@ -32,8 +33,10 @@ def frequent_units(docs: DataFrame, split, share: float = SHARE) -> list[str]:
                 units = split(text)
                 total += len(units)
                 counts.update(units)
-            if len(counts) > COUNTED:
-                counts = Counter(dict(counts.most_common(COUNTED // 4)))
+            floor = 0
+            while len(counts) > COUNTED // (2 if floor else 1):
+                floor += 1
+                counts = Counter({unit: n for unit, n in counts.items() if n > floor})
         least = total * share / 2
         found = [(unit, n) for unit, n in counts.items() if n >= least]
         yield pa.RecordBatch.from_arrays(

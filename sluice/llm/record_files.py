@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from sluice.llm.common import kept, pieces, texts
-from sluice.llm.token_units import Memo, encoded, library, words
+from sluice.llm.token_units import UNITS, Encoder, Memo, words
 from sluice.sources.native import filesystem, qualified
 from sluice.sources.workspace import write_table
 
@@ -110,11 +110,7 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer_file: str, end_id: i
     def write(batches):
         spec = shared.value
 
-        def build():
-            tokenizer = library(spec)
-            return Memo(lambda units: encoded(tokenizer, units))
-
-        memo, end = kept(("sequences", hash(spec)), build), np.array([end_id], "<u4").tobytes()
+        memo, end = kept(("sequences", hash(spec)), lambda: Memo(Encoder(spec), UNITS)), np.array([end_id], "<u4").tobytes()
         name, out = f"part-{TaskContext.get().partitionId():06d}-{uuid4().hex}.rec", None
         for piece in pieces(batches):
             out = out or RecordWriter(f"{folder}/{name}")

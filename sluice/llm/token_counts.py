@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, types as T
 
 from sluice.llm.common import id_and_text, kept, pieces, texts, utf8_length, with_id
 from sluice.llm.frequent import SHARE, frequent_units
-from sluice.llm.token_units import Memo, encoded, library, words
+from sluice.llm.token_units import UNITS, Encoder, Memo, words
 
 
 def token_counts(docs: DataFrame, tokenizer_file: str, limit: int = 2048, share: float = SHARE, split=words) -> DataFrame:
@@ -16,7 +16,7 @@ def token_counts(docs: DataFrame, tokenizer_file: str, limit: int = 2048, share:
 
     Two tiers, both on the map side: the lengths of units with at least ``share`` of all occurrences are broadcast as
     one table (at most 1 / share entries); other units are encoded by the library once in each worker, which remembers
-    them in a bounded cache. No unit is shuffled. ``split`` must fit the tokenizer: ``words`` where it drops
+    them in a bounded cache. Texts and their units are never shuffled; the tasks' bounded summaries of frequent units are. ``split`` must fit the tokenizer: ``words`` where it drops
     white space, ``spaced`` where it keeps it.
 
     Null and empty texts have 0 bytes and tokens. Rows are kept as they are, with null or repeated ids too; other
@@ -26,15 +26,15 @@ def token_counts(docs: DataFrame, tokenizer_file: str, limit: int = 2048, share:
     with open(tokenizer_file, encoding="utf-8") as file:
         spec = file.read()
     common = frequent_units(docs, split, share)
-    lengths = [len(ids) // 4 for ids in encoded(library(spec), common)]
+    lengths = [len(ids) // 4 for ids in Encoder(spec)(common)]
     table = spark.sparkContext.broadcast((dict(zip(common, lengths)), spec))
 
     def count(batches):
         first, spec = table.value
 
         def build():
-            tokenizer = library(spec)
-            return Memo(lambda units: [len(ids) // 4 for ids in encoded(tokenizer, units)])
+            encoder = Encoder(spec)
+            return Memo(lambda units: [len(ids) // 4 for ids in encoder(units)], UNITS)
 
         memo = kept(("token counts", hash(spec)), build)
         for piece in pieces(batches):

@@ -7,20 +7,30 @@ characters on whose class Python and the tokenizers library may differ are encod
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
 #: Units that a worker remembers in each of its two generations.
 REMEMBERED = 200_000
+#: The same for units of tokenizers; beyond them their words are remembered.
+UNITS = 60_000
+#: Words without the marks after them that a worker remembers.
+STEMS = 400_000
 #: Units that are sent to the library in one text.
 JOINED = 256
 #: White space for Python, not for Unicode: texts with them aren't cut.
 ODD = re.compile("[\x1c-\x1f]")
-TWO_SPACES = re.compile(r"\s\s|\A\s")
 SPACE_AND_WORD = re.compile(r"\s*\S+|\s+")
 
+# ASCII marks but the apostrophe, which may belong to the letters after it; a public pre-tokeniser's pattern.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS_OR_DIGIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 
 def library(spec: str):
     """The tokenizers library's object of a tokenizer file's text, without truncation, padding or threads."""
@@ -39,17 +49,15 @@ def words(text: str) -> list[str]:
 
 
 def spaced(text: str) -> list[str]:
-    """Units of tokenizers that keep white space: each begins with the white space before it.
+    """Units of tokenizers that keep white space: each begins with the white space before it; a single line end is one by itself.
 
-    The joined units are the text. Single blanks and line ends, the usual case, are cut by ``str.split``.
+    The joined units are the text. Single blanks and line ends between words, the usual case, are cut by ``str.split``.
     """
-    if ODD.search(text):
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
         return [text]
-    if TWO_SPACES.search(text):
+    if "\0" in text or " ".join(text.split()) != text.replace("\n", " "):
         return SPACE_AND_WORD.findall(text)
-    first, *rest = text.replace("\n", " \n").split(" ")
-    units = [unit if unit[:1] == "\n" else " " + unit for unit in rest]
-    return [first, *units] if first else units
+    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if text else []
 
 
 def encoded(tokenizer, units: list[str]) -> list[bytes]:
@@ -83,6 +91,91 @@ def encoded(tokenizer, units: list[str]) -> list[bytes]:
     return out
 
 
+def byte_of_character() -> dict[str, int]:
+    """The public byte-level alphabet: printable Latin-1 characters stand for their byte, the next free ones for the others."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+
+
+class Encoder:
+    """Ids of units, as the library gives them.
+
+    A unit of Latin letters and the marks after them is two pre-tokens under the byte-level pre-tokenisers that ``_shape``
+    knows. The letters are handed to the library's BPE model as they are and remembered, the marks are remembered too;
+    that leaves out normalisers and patterns, most of the work. All other units, and all units of
+    tokenizers of another shape, are encoded by the whole library.
+    """
+
+    def __init__(self, spec: str, remembered: int = STEMS):
+        self.tokenizer, self.remembered = library(spec), remembered
+        self.model = self.tokenizer.model
+        self.direct, self.lower, self.blank = self._shape(json.loads(spec))
+        character = {b: c for c, b in byte_of_character().items()}
+        self.alphabet = {i: "".join(character[b] for b in chr(i).encode()) for i in (32, *range(128, 256))}
+        self.known: dict[str, bytes] = {}
+
+    @staticmethod
+    def _shape(parts: dict) -> tuple[bool, bool, bool]:
+        """Whether letters may go to the model directly, in lower case, and with a blank before them."""
+        steps = lambda part, name: part.get(name, [part]) if part else []
+        normal = steps(parts["normalizer"], "normalizers")
+        before = steps(parts["pre_tokenizer"], "pretokenizers")
+        known = parts["model"]["type"] == "BPE" and not parts["model"]["dropout"] and all(
+            step["type"] in ("NFC", "Lowercase")
+            or step["type"] == "Replace" and (step["pattern"], step["content"]) == ({"Regex": r"\s+"}, " ") for step in normal)
+        # an added token inside letters and marks would be cut out first
+        known &= all(re.search(r"[^\w\s][A-Za-z]", token["content"]) for token in parts["added_tokens"])
+        known &= bool(before) and before[-1]["type"] == "ByteLevel" and not before[-1]["add_prefix_space"]
+        if known and len(before) == 1 and before[0]["use_regex"]:
+            return True, any(step["type"] == "Lowercase" for step in normal), True
+        split = known and len(before) == 2 and not before[1]["use_regex"] and before[0]["type"] == "Split" and before[0]["invert"] and (
+            before[0]["pattern"], before[0]["behavior"]) == ({"Regex": LETTERS_OR_DIGIT}, "Removed")
+        return split, any(step["type"] == "Lowercase" for step in normal), False
+
+    def _letters(self, word: str) -> bytes | None:
+        """Ids of a pre-token of Latin letters, or None if it isn't one."""
+        own = word[1:] if self.blank and word[:1] == " " else word
+        if not own.isalpha() or not (own.isascii() or max(own) < "\u0100"):
+            return None
+        name = word.translate(self.alphabet) if own is not word or not own.isascii() else word
+        ids = array("I", [token.id for token in self.model.tokenize(name)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def __call__(self, units: list[str]) -> list[bytes]:
+        if not self.direct:
+            return encoded(self.tokenizer, units)
+        if len(self.known) > self.remembered:
+            self.known.clear()
+        known, letters, lower = self.known, self._letters, self.lower
+        out: list[bytes] = []
+        whole = []  # places of units for the whole library
+        for unit in units:
+            word = unit.rstrip(MARKS)
+            tail = unit[len(word) :]
+            if lower:
+                word = word.lower()
+            ids = known.get(word)
+            if ids is None:
+                ids = letters(word)
+                if ids is None:
+                    whole.append(len(out))
+                    out.append(b"")
+                    continue
+                known[word] = ids
+            if tail:
+                more = known.get(tail)
+                if more is None:
+                    more = known[tail] = encoded(self.tokenizer, [tail])[0]
+                ids += more
+            out.append(ids)
+        for i, ids in zip(whole, encoded(self.tokenizer, [units[i] for i in whole])):
+            out[i] = ids
+        return out
+
+
 class Memo:
     """Values of units, remembered in two generations of bounded size; ``find`` gives those of unknown units."""
 

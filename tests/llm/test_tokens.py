@@ -1,6 +1,7 @@
 """Counts, encodings, record files and decoding against the tokenizers library itself."""
 
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 from sluice.llm import bpe, queries, record_files
 from sluice.llm.lexicon import Lexicon, compiled
 from sluice.llm.token_counts import token_counts
-from sluice.llm.token_units import Memo, encoded, library, spaced, words
+from sluice.llm.token_units import Encoder, Memo, encoded, library, spaced, words
 from tests.conftest import TESTDATA
 from tests.llm.conftest import TEXTS
 
@@ -134,6 +135,36 @@ def test_decoding_of_odd_ids(spark):
                      tokenizer.decode([47490, 230], skip_special_tokens=False)]
 
 
+@pytest.mark.parametrize("change", [
+    lambda parts: parts["added_tokens"].append({**parts["added_tokens"][0], "id": 0, "content": "fox", "special": False}),
+    lambda parts: parts["pre_tokenizer"].update(add_prefix_space=True), lambda parts: parts["pre_tokenizer"].update(use_regex=False),
+    lambda parts: parts.update(normalizer={"type": "StripAccents"}), lambda parts: parts["model"].update(dropout=0.5)])
+def test_letters_of_other_tokenizers_go_to_the_library(change):
+    with open(BYTE, encoding="utf-8") as file:
+        parts = json.load(file)
+    assert Encoder(json.dumps(parts)).direct
+    change(parts)
+    encoder = Encoder(json.dumps(parts))
+    assert not encoder.direct
+    if not parts["model"]["dropout"]:
+        assert encoder([" foxes,", "é"]) == encoded(encoder.tokenizer, [" foxes,", "é"])
+
+
+WORDLIKE = st.text(st.sampled_from("aZzÀßéÿªµº×÷ſKÅİΣ東1'.,<|>-\u0338\u0301 \n"), max_size=8)
+
+
+@settings(max_examples=500)
+@given(st.lists(WORDLIKE, max_size=6))
+def test_letters_directly(encoders, units):
+    for encoder in encoders:
+        assert encoder(units) == [np.array(encoder.tokenizer.encode(unit, add_special_tokens=False).ids, "<u4").tobytes() for unit in units]
+
+
+@pytest.fixture(scope="module")
+def encoders():
+    return [Encoder(Tokenizer.from_file(path).to_str(), remembered=20) for path in (WORD, BYTE)]
+
+
 TEXT = st.text(st.sampled_from("ab z'sS .,!\n\t  \x1c\x85 éÉ́ΣİﬁA9東_<|>") | st.characters(codec="utf-8"), max_size=40)
 
 
@@ -143,7 +174,10 @@ def tokenizers():
     for path, split in ((WORD, words), (BYTE, spaced)):
         with open(path, encoding="utf-8") as file:
             tokenizer = library(file.read())
+            encoder = Encoder(tokenizer.to_str(), remembered=50)
+        assert encoder.direct
         out.append((tokenizer, split, Memo(lambda units, t=tokenizer: encoded(t, units), remembered=50)))
+        out.append((tokenizer, split, Memo(encoder, remembered=5)))
     return out
 
 
@@ -169,6 +203,7 @@ def test_lexicon(tmp_path_factory, entries, others):
     assert lexicon.words == len(entries)
     for word in [*entries, *others]:
         assert lexicon.find(word) == entries.get(word)
+    assert lexicon.find_all([*entries, *others]) == [entries.get(word) for word in [*entries, *others]]
 
 
 def test_lexicon_is_minimal(tmp_path):
