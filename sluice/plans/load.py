@@ -14,7 +14,8 @@ from sluice.errors import LoadAborted, LoadPlanError
 from sluice.functions.conform import conform, to_text
 from sluice.operators.mapping import column, resolve_mapping
 from sluice.operators.rejects import NULL_TEXT, CheckedRows, count_columns, validate
-from sluice.plans.spec import BINARY_TYPES, FLOAT_TYPES, INTEGER_TYPES, INTERVAL_TYPES, TEXT_TYPES, LoadSpec, TargetColumn
+from sluice.plans.evolve import evolve_target, fits
+from sluice.plans.spec import LoadSpec
 from sluice.sources import routed
 from sluice.sources.native import qualified
 from sluice.sources.routed import ABORT_END, ABORT_MARK
@@ -77,27 +78,6 @@ def check_load(schema: T.StructType, spec: LoadSpec) -> list[Remark]:
     return remarks
 
 
-def fits(c: TargetColumn, live: TargetColumn) -> bool:
-    """Whether every value that conforms to ``c`` can be stored in a table's column as it is: the same family, no narrower."""
-    kind, other = c.type_name, live.type_name
-    if kind in INTEGER_TYPES:
-        return other in INTEGER_TYPES and live.width >= c.width
-    if kind in FLOAT_TYPES:
-        return other in FLOAT_TYPES
-    if kind == "NUMERIC":
-        (digits, scale), (most, room) = c.digits, live.digits if other == "NUMERIC" else (0, 0)
-        return room >= scale and most - room >= digits - scale
-    if kind in TEXT_TYPES or kind in BINARY_TYPES:
-        family = TEXT_TYPES if kind in TEXT_TYPES else BINARY_TYPES
-        fixed = other == "CHAR" or live.fixed
-        return other in family and (live.length is None or c.length is not None and c.length <= live.length) and not (
-            fixed and (kind != other or c.length != live.length))
-    if kind in INTERVAL_TYPES or kind in ("TIME", "TIMETZ"):  # these travel as integers
-        same = other in INTERVAL_TYPES if kind in INTERVAL_TYPES else other == kind
-        return same or other in INTEGER_TYPES and live.width == 8
-    return kind == other
-
-
 def check_table(spark: SparkSession, spec: LoadSpec, table: str) -> list[Remark]:
     """Where a table as it is now clashes with the columns of a load into it, in both directions. Runs no job."""
     try:
@@ -165,6 +145,11 @@ def range_count(df: DataFrame) -> int:
     return ranges if size >= UNKNOWN_SIZE else max(ranges, -(-size // RANGE_BYTES))
 
 
+def steady(df: DataFrame) -> DataFrame:
+    """The rows in an order that a task which is run again finds too."""
+    return df if arrives_in_order(df) else df.sortWithinPartitions(*_content_hashes(df))
+
+
 def cluster(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
     """Rows sorted into ranges of some columns; without columns they stay where they are.
 
@@ -175,8 +160,7 @@ def cluster(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
     if not columns:
         return df
     order = [column(c) for c in columns] + [F.col(_TIE)]
-    steady = df if arrives_in_order(df) else df.sortWithinPartitions(*_content_hashes(df))
-    tied = steady.withColumn(_TIE, F.monotonically_increasing_id())
+    tied = steady(df).withColumn(_TIE, F.monotonically_increasing_id())
     ranged = tied.repartitionByRange(partitions or range_count(df), *order)
     return ranged.sortWithinPartitions(*order).drop(_TIE)
 
@@ -237,7 +221,8 @@ def spread(df: DataFrame, parallelism: int | str | None) -> DataFrame:
 
 
 def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None = None, cluster_by=(),
-         stage: bool = False, create: bool = False, log_mode: str = "append", load_id: str | None = None) -> LoadReport:
+         stage: bool = False, create: bool = False, log_mode: str = "append", load_id: str | None = None,
+         evolve: bool = False) -> LoadReport:
     """Load the rows that fit into ``target`` and log the others.
 
     One pass over the input conforms, counts and writes. Into Parquet files the same tasks write the reject logs, and one
@@ -252,17 +237,25 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None =
     ``"auto"`` for files of even size) spreads them first, which helps where a few input files hold most
     rows; ``cluster_by`` sorts them into ranges of target columns. ``stage`` writes the input to the
     shared folder first, for input that is costly to compute or differs between reads. ``create`` makes
-    the target table if it does not exist; other targets make themselves. Staged rows are removed when the load ends.
+    the target table if it does not exist; other targets make themselves. ``evolve`` gives an existing table the columns that
+    it lacks before anything is read. A table that still clashes with the columns loaded is refused. Staged rows are removed when the load ends.
     """
     _require_loadable(df, spec)
     if load_id is not None:
         done = _done_before(df, target, routed.checked_run(load_id), cluster_by, spec)
         if done:
             return done
-    if create:
+    if create or evolve:
         if not isinstance(target, TableTarget):
-            raise LoadPlanError(f"create makes catalog tables, not a {type(target).__name__}")
-        create_target(df.sparkSession, target.table, spec.columns)
+            raise LoadPlanError(f"{'create' if create else 'evolve'} is for catalog tables, not a {type(target).__name__}")
+        if evolve and df.sparkSession.catalog.tableExists(target.table):
+            evolve_target(df.sparkSession, target.table, spec.columns)
+        else:
+            create_target(df.sparkSession, target.table, spec.columns)
+    if isinstance(target, TableTarget):
+        clashes = [r.text for r in check_table(df.sparkSession, spec, target.table) if r.level == "error"]
+        if clashes:
+            raise LoadPlanError("; ".join(clashes))
     with ExitStack() as stack:
         if stage:
             if not (spec.rejected_path or spec.exceptions_path):  # the logs show every field

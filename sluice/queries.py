@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from sluice.errors import LoadAborted, LoadPlanError
 from sluice.functions import conform as C, epoch
+from sluice.operators.address import addressed
 from sluice.operators.mapping import map_by_name, map_by_position
 from sluice.operators.rejects import null_flags, passthrough, split_rejects, validate
 from sluice.operators.sequence import add_sequence
@@ -587,6 +588,35 @@ def create_target_(spark, folder):
     return spark.table(name)
 
 
+@query("SELECT c_custkey AS id, c_name || CASE WHEN c_nationkey < 12 THEN '' ELSE ' ' || c_mktsegment END AS full_name, "
+       "CASE WHEN c_nationkey >= 12 THEN c_mktsegment END AS segment, CASE WHEN c_nationkey >= 12 THEN c_acctbal END AS balance FROM customer")
+def evolve_target_(spark, folder):
+    """Customers loaded into a table of two columns, and others once it has four."""
+    out = new_folder(spark, "evolved")
+    name = "evolved_" + out.rsplit("-", 1)[1]
+    customers = table(spark, folder, "customer")
+    first = (Col("id", "INTEGER"), Col("full_name", "VARCHAR", 40))
+    create_target(spark, name, first, path=out)
+    load(customers.where("c_nationkey < 12").select("c_custkey", "c_name"), LoadSpec(first), TableTarget(name))
+    later = customers.where("c_nationkey >= 12").select(
+        "c_custkey", F.concat_ws(" ", "c_name", "c_mktsegment"), "c_mktsegment", "c_acctbal")
+    columns = (Col("id", "INTEGER"), Col("full_name", "VARCHAR", 40), Col("segment", "VARCHAR", 10), Col("balance", "FLOAT"))
+    load(later, LoadSpec(columns), TableTarget(name), evolve=True)
+    return spark.table(name)
+
+
+@query("WITH n AS (SELECT l_linenumber AS line, count(*) AS rows, sum(l_orderkey) AS keys FROM lineitem GROUP BY l_linenumber), "
+       "p AS (SELECT *, (rows + 3999) // 4000 AS parts FROM n) "
+       "SELECT line, rows, CAST(keys AS BIGINT) AS keys, parts, CAST(sum(parts) OVER (ORDER BY line) - parts AS BIGINT) AS first_part FROM p")
+def addressed_lines(spark, folder):
+    """Order lines in partitions by line number, the frequent numbers in several; what each partition really holds."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_linenumber") - 1).alias("id"))
+    found = addressed(lines, "id", 7, most=4000).rows.groupBy(F.spark_partition_id().alias("part"), F.col("l_linenumber").alias("line")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("l_orderkey").alias("keys"))
+    return found.groupBy("line").agg(F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.count_distinct("part").alias("parts"),
+                                     F.min("part").cast("bigint").alias("first_part"))
+
+
 def sql_row(columns: list[tuple[str | None, str, str]]) -> str:
     """Hex of one native row from (NULL test, hex of the value, size of the value) per column."""
     flags = []

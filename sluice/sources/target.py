@@ -60,7 +60,16 @@ def columns_from_table(spark: SparkSession, table: str | None) -> tuple[TargetCo
         raise LoadPlanError("no target table is named")
     if not spark.catalog.tableExists(table):
         raise LoadPlanError(f"table {table} does not exist")
-    return columns_from_schema(spark.table(table).schema)
+    prefix = DECLARED + "."
+    declared = {row["key"][len(prefix):]: json.loads(row["value"])
+                for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect() if row["key"].startswith(prefix)}
+    return tuple(TargetColumn(f.name, *declared[f.name.lower()]) if f.name.lower() in declared else target_column(f)
+                 for f in spark.table(table).schema.fields)
+
+
+def declaration(c: TargetColumn) -> list:
+    """A column's declared type as it is kept with a table."""
+    return [c.type_name, c.length, c.scale, c.width, c.fixed]
 
 
 def create_target(spark: SparkSession, table: str, columns, path: str | None = None, source: str = "parquet") -> None:
@@ -73,8 +82,7 @@ def create_target(spark: SparkSession, table: str, columns, path: str | None = N
         if there != [(c.name.lower(), c.spark_type) for c in columns]:
             raise LoadPlanError(f"table {table} exists with other columns")
         return
-    schema = T.StructType([T.StructField(c.name, c.table_type, True, {DECLARED: json.dumps(
-        [c.type_name, c.length, c.scale, c.width, c.fixed])}) for c in columns])
+    schema = T.StructType([T.StructField(c.name, c.table_type, True, {DECLARED: json.dumps(declaration(c))}) for c in columns])
     spark.catalog.createTable(table, path=path, source=source, schema=schema)
 
 
