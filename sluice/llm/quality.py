@@ -137,14 +137,15 @@ def quality(docs: DataFrame, labels: DataFrame, least: float = 0.3, settings: Se
     """doc_id, held_out, score and predicted (1 from ``least`` on) of every document.
 
     Features are the whole text's hashed distinct words, statistics of its structure and its sizes; never labels,
-    lang, source or id. The machine is fitted on at most ``most`` labelled rows (the first by a hash of the id)
+    lang, source or id. The machine is fitted on at most ``most`` labelled documents (the first by a hash of the id, 64 MB of text at most)
     whose crc32(doc_id) mod 5 isn't 0, labels 0 and 1 only. Scores are probabilities; null and empty texts get
     that of no words and size 0.
 
     Rows are kept as they are, with null or repeated ids too; a null id counts as held out. Empty labels give every
     document the score 0.5, an empty table of documents gives an empty result. Other columns don't matter.
     """
-    table = _examples(sampled(docs, labels, "quality", settings.most))
+    with sampled(docs, labels, "quality", settings.most) as rows:
+        table = _examples(rows)
     places, values = (table.column(name).combine_chunks() for name in ("places", "xs"))
     ends, places, values = places.offsets.to_numpy(), places.flatten().to_numpy(), values.flatten().to_numpy()
     rows = [(places[a - ends[0] : b - ends[0]], values[a - ends[0] : b - ends[0]]) for a, b in zip(ends[:-1], ends[1:])]

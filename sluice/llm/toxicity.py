@@ -161,13 +161,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, terms=IDENTITY_TERMS, settings:
     """doc_id, held_out, score and predicted (1 from 0.5 on) of every document.
 
     The model sees whole texts as sets of words and of their first letters, never labels, lang, source or id. It is
-    fitted on at most ``most`` labelled rows (the first by a hash of the id) whose crc32(doc_id) mod 5 isn't 0,
+    fitted on at most ``most`` labelled documents (the first by a hash of the id, 64 MB of text at most) whose crc32(doc_id) mod 5 isn't 0,
     labels 0 and 1 only. Scores are probabilities; null and empty texts get the one of no words.
 
     Rows are kept as they are, with null or repeated ids too; a null id counts as held out. Empty labels
     give every document the score 0.49, an empty table of documents gives an empty result. Other columns don't matter.
     """
-    model = fit(_examples(sampled(docs, labels, "toxic", settings.most), terms), terms, settings)
+    with sampled(docs, labels, "toxic", settings.most) as rows:
+        model = fit(_examples(rows, terms), terms, settings)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
     rows = id_and_text(docs).withColumn("held_out", held_out(F.col("doc_id")))
 
@@ -195,7 +196,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
 
 
 def _is_toxic(whole: DataFrame, docs: DataFrame, labels: DataFrame, terms=IDENTITY_TERMS, settings: Settings = Settings()):
-    model = fit(_examples(sampled(docs, labels, "toxic", settings.most), terms), terms, settings)
+    with sampled(docs, labels, "toxic", settings.most) as rows:
+        model = fit(_examples(rows, terms), terms, settings)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     @F.arrow_udf("boolean")

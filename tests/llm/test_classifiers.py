@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sluice.llm import quality, toxicity
+from sluice.llm import labelled, quality, toxicity
 from sluice.llm.queries import QUERIES
 from tests.conftest import TESTDATA
 from tests.llm.conftest import TEXTS
@@ -52,6 +52,26 @@ def test_held_out_labels_do_not_matter(documents, labels):
         assert scores[0] == scores[1]
 
 
+def test_the_sample_is_bounded(spark, documents, labels):
+    ids = [i for i in range(60) if not held(i)]
+    rows = [(i, f"text {i} {k}" if k else None, "a") for i in ids for k in range(50)] + [(500, None, "a")]
+    known = labels([(i, 1, i % 2) for i in range(60)] + [(3, 0, 1), (500, 1, 1), (None, 1, 1)])
+    with labelled.sampled(documents(rows), known, "toxic", most=10) as sample:
+        found = sample.collect()
+    assert 9 <= len(found) <= 10 and all(r.text.endswith(" 9") for r in found)  # one row an id, its greatest text
+    with labelled.sampled(documents(rows).repartition(7), known, "toxic", most=10) as sample:
+        assert sample.collect() == found  # in one order, however the rows lie
+    with labelled.sampled(documents(rows), known, "toxic", most=1000) as sample:
+        assert len(sample.collect()) == len(ids) + (not held(500))
+    size = sum(len(r.text) for r in found)
+    for most_bytes, left in ((size, 10), (size - 1, 9), (len(found[0].text) - 1, 0)):
+        with labelled.sampled(documents(rows), known, "toxic", most=10, most_bytes=most_bytes) as sample:
+            some = sample.collect()
+        assert left - 1 <= len(some) <= left and set(some) <= set(found)
+    with labelled.sampled(documents([]), labels(), "toxic") as sample:
+        assert sample.collect() == []
+
+
 def examples(rows, terms):
     return pa.Table.from_pylist([
         {"y": y, "places": toxicity._numbers(sorted(toxicity.distinct_words(text))),
