@@ -228,7 +228,8 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None =
     One pass over the input conforms, counts and writes. Into Parquet files the same tasks write the reject logs, and one
     manifest publishes all; other targets' logs are written by a second pass, and only if there are any rejects.
     With ``abort_on_error`` the first bad row fails the write before anything is
-    published; the reject logs are still written, and LoadAborted is raised.
+    published; the reject logs are still written, and LoadAborted is raised. Without it, ``spec.most_rejects`` is a limit: LoadAborted
+    is raised and nothing is published, logs neither, if more rows are rejected. The input is read once all the same.
 
     A load with a ``load_id``, into Parquet files, is done once: if its manifest is there, its report is returned and nothing
     is read, so a load that is repeated after a driver failure doesn't double its rows.
@@ -315,7 +316,8 @@ def _load_routed(df: DataFrame, spec: LoadSpec, target: PathTarget, parallelism,
     roots = {routed.ACCEPTED: target.path, **{name: path for name, path in logs.items() if path}}
     overwrite = [routed.ACCEPTED] * (target.mode == "overwrite") + [name for name in roots if name in logs] * (log_mode == "overwrite")
     try:
-        manifest = routed.write_routed(_routed_rows(rows, target), routed.checked_run(load_id), roots, overwrite, spec.log_format, spec.abort_on_error)
+        manifest = routed.write_routed(_routed_rows(rows, target), routed.checked_run(load_id), roots, overwrite, spec.log_format, spec.abort_on_error,
+                                       None if spec.abort_on_error else spec.most_rejects)
     except Exception as error:
         raise _aborted(error) or error from error
     return _report_of(manifest)
@@ -330,7 +332,10 @@ def _aborted(error: Exception) -> LoadAborted | None:
 def _load(df: DataFrame, spec: LoadSpec, target, parallelism, cluster_by, log_mode: str, load_id: str | None) -> LoadReport:
     logged = spec.rejected_path or spec.exceptions_path
     in_one_job = not (cluster_by or spec.abort_log == "all") if spec.abort_on_error else True  # a clustered load aborts before it shuffles
-    if load_id is not None or logged and in_one_job and _routable(df.schema, spec, target):
+    limited = spec.most_rejects is not None and not spec.abort_on_error
+    if limited and not _routable(df.schema, spec, target):
+        raise LoadPlanError("only loads that write Parquet files and their logs in one job have a limit of rejects")
+    if load_id is not None or limited or logged and in_one_job and _routable(df.schema, spec, target):
         return _load_routed(df, spec, target, parallelism, cluster_by, log_mode, load_id)
 
     # spread before conforming, so that the conversions run in all writing tasks too

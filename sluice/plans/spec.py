@@ -114,7 +114,8 @@ class LoadSpec:
     ``precision`` is ``"millis"`` (sub-millisecond digits are dropped) or ``"micros"``.
     Blank reject paths switch the corresponding log off; ``log_format`` is ``"parquet"``, ``"json"`` or
     ``"text"`` (one time-stamped entry per rejected row). ``abort_log`` says what the logs hold after an abort: ``"all"``
-    bad rows, which takes a pass over the input of its own, or the ``"first"`` that failed the load.
+    bad rows, which takes a pass over the input of its own, or the ``"first"`` that failed the load. ``most_rejects`` is the
+    number of bad rows that a load without ``abort_on_error`` puts up with.
     """
 
     columns: tuple[TargetColumn, ...]
@@ -129,6 +130,7 @@ class LoadSpec:
     time_zone: str = "UTC"
     precision: str = "millis"
     abort_log: str = "all"
+    most_rejects: int | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "columns", tuple(self.columns))
@@ -141,6 +143,8 @@ class LoadSpec:
             raise LoadPlanError(f"precision is 'millis' or 'micros', not {self.precision!r}")
         if self.log_format not in LOG_FORMATS:
             raise LoadPlanError(f"log_format is one of {', '.join(LOG_FORMATS)}, not {self.log_format!r}")
+        if self.most_rejects is not None and self.most_rejects < 0:
+            raise LoadPlanError(f"most_rejects is a number of rows, not {self.most_rejects}")
         if self.abort_log not in ("all", "first"):
             raise LoadPlanError(f"abort_log is 'all' or 'first', not {self.abort_log!r}")
         names = [c.name.lower() for c in self.columns]

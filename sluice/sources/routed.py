@@ -145,6 +145,7 @@ class RoutedWriter(DataSourceArrowWriter):
                     if self.settings["abort"]:
                         self._fail(batch, bad.index(True).as_py())
                     reasons.update({e["values"]: e["counts"] for e in pc.value_counts(reason.drop_null()).to_pylist()})
+                    self._limit(reasons)
                 for output in self.roots:
                     rows = batch.column(output).filter(pc.invert(bad) if output == ACCEPTED else bad)
                     if len(rows):
@@ -159,6 +160,13 @@ class RoutedWriter(DataSourceArrowWriter):
         done.files = {output: name for output in open_files}
         return done
 
+    def _limit(self, reasons: Counter) -> None:
+        """Fail when more rows were rejected than may be: in a task, which stops the job while it runs, or in all."""
+        most = self.settings.get("most_rejects")
+        if most is not None and reasons.total() > most:
+            often = max(sorted(reasons), key=reasons.get)
+            raise RuntimeError(f"{ABORT_MARK}more than {most} rejects, most often: {often}{ABORT_END}")
+
     def _fail(self, batch: pa.RecordBatch, at: int) -> None:
         """Log the first bad row of the task and fail with its reason."""
         for output in self.roots:
@@ -173,6 +181,7 @@ class RoutedWriter(DataSourceArrowWriter):
 
     def commit(self, messages):
         written = [m for m in messages if m is not None]
+        self._limit(sum((Counter(m.reasons) for m in written), Counter()))
         rows = {output: sum(m.rows.get(output, 0) for m in written) for output in self.roots}
         moves = [[output, m.files[output] + self._ending(output)] for m in written for output in m.files]
         if not rows[ACCEPTED]:  # readers find the schema
@@ -310,12 +319,14 @@ def checked_run(run: str | None) -> str:
     return run or uuid4().hex
 
 
-def write_routed(rows: DataFrame, run: str, roots: dict, overwrite: list[str], log_format: str = "parquet", abort: bool = False) -> dict:
+def write_routed(rows: DataFrame, run: str, roots: dict, overwrite: list[str], log_format: str = "parquet", abort: bool = False,
+                 most_rejects: int | None = None) -> dict:
     """Write rows of a column ``reason``, null for accepted ones, and a column for each output that ``roots`` names; returns the manifest.
 
     ``accepted`` and, for logs in Parquet, ``rejected`` and ``exceptions`` are structs, else lines of text. ``overwrite``
     names outputs whose earlier files go when the run is published. With ``abort`` the first bad row of a task fails the job;
-    nothing is published then but that row's log entries.
+    nothing is published then but that row's log entries. With ``most_rejects`` nothing is published if more rows have a reason; the
+    first task that sees so many by itself fails the job.
     """
     spark = rows.sparkSession
     spark.dataSource.register(RoutedSink)
@@ -324,6 +335,6 @@ def write_routed(rows: DataFrame, run: str, roots: dict, overwrite: list[str], l
         filesystem(root)  # refuses schemes that tasks can't write to before any job
     schemas = {o: rows.schema[o].dataType.json() for o in roots if isinstance(rows.schema[o].dataType, T.StructType)}
     settings = {"run": run, "roots": roots, "overwrite": overwrite, "log_format": log_format, "abort": abort, "schemas": schemas,
-                "version": spark.version}
+                "version": spark.version, "most_rejects": most_rejects}
     rows.select(F.col(REASON), *(F.col(o) for o in roots)).write.format(FORMAT).mode("append").option("settings", json.dumps(settings)).save()
     return ledger_entry(roots[ACCEPTED], run)

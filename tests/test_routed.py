@@ -180,3 +180,26 @@ def test_clustered_rows_and_wide_logs(spark, place):
     ids = [r.id for r in spark.read.parquet(place("t")).collect()]
     assert sorted(ids) == [i for i in range(1000) if i % 7]
     assert spark.read.parquet(place("r")).where("more.x = 1").count() == 143
+
+
+@pytest.mark.parametrize("logged", [True, False])
+def test_a_limit_of_rejects(spark, place, logged):
+    source = numbers(spark, n=1400)  # 200 bad rows, 50 in each task
+    target = PathTarget(place("t"), COLUMNS)
+    options = {} if logged else {"rejected_path": None, "exceptions_path": None}
+    for most in (0, 20, 199):  # passed within a task, and only by all of them
+        with pytest.raises(LoadAborted, match=f"more than {most} rejects, most often: code: longer than 3 bytes"):
+            load(source, spec_of(place, most_rejects=most, **options), target)
+        assert [visible(place(p)) for p in "tre"] == [[], [], []]
+        assert not any(os.listdir(f"{place(p)}/{routed.STAGING}") for p in "tre" if os.path.exists(f"{place(p)}/{routed.STAGING}"))
+    reports = []
+    assert jobs_of(spark, lambda: reports.append(load(source, spec_of(place, most_rejects=200, **options), target))) == 1
+    assert reports == [LoadReport(1400, 1200, 200)] and spark.read.parquet(place("t")).count() == 1200
+    assert not logged or spark.read.parquet(place("r")).count() == 200
+
+
+def test_limits_that_cannot_be_kept(spark, place):
+    with pytest.raises(LoadPlanError, match="limit of rejects"):
+        load(numbers(spark), spec_of(place, most_rejects=1), PathTarget(place("t"), COLUMNS, format="json"))
+    with pytest.raises(LoadPlanError, match="most_rejects"):
+        spec_of(place, most_rejects=-1)
