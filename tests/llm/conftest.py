@@ -33,3 +33,13 @@ def labels(spark):
     def make(rows=()):
         return spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
     return make
+
+
+@pytest.fixture
+def plan(capsys):
+    def text(df):
+        capsys.readouterr()
+        df.explain("formatted")
+        return capsys.readouterr().out
+
+    return text

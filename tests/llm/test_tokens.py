@@ -1,5 +1,6 @@
 """Counts, encodings, record files and decoding against the tokenizers library itself."""
 
+import functools
 import hashlib
 import json
 import zlib
@@ -10,10 +11,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from sluice.llm import bpe, queries, record_files
+from sluice.llm import bpe, pretokens, queries, record_files
 from sluice.llm.lexicon import Lexicon, compiled
 from sluice.llm.token_counts import token_counts
 from sluice.llm.token_units import Encoder, Memo, encoded, library, spaced, words
+from sluice.sources.workspace import new_folder, write_table
 from tests.conftest import TESTDATA
 from tests.llm.conftest import TEXTS
 
@@ -51,10 +53,74 @@ def test_counts_of_odd_texts(spark, documents):
     assert [r.n_tokens for r in token_counts(documents([(1, None, "a")]), WORD).collect()] == [0]
 
 
-def test_no_share_is_frequent(spark, documents):
-    """Everything through the workers' cache, and everything through the table, give the same."""
-    rare, common = (sorted((r.n_tokens for r in token_counts(documents(), WORD, share=s).collect())) for s in (2.0, 1e-9))
-    assert rare == common
+def test_table_and_cache_agree(spark, documents, table, monkeypatch):
+    """Everything through the workers' caches, a full table, and one that keeps few pre-tokens, give the same."""
+    docs = documents([(i, text, "a") for i, text in table.items()] + [(-1 - at, text, "b") for at, (_, text, _) in enumerate(TEXTS)])
+    found = [sorted(token_counts(docs, WORD).collect())]
+    for entries in (0, 100):
+        monkeypatch.setattr(pretokens, "ENTRIES", entries)
+        found.append(sorted(token_counts(docs, WORD).collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(table) + len(TEXTS)
+
+
+def test_no_pre_token_is_shuffled(spark, documents, plan, monkeypatch):
+    """Neither the counting passes nor the look-up have an exchange; many summaries are merged in levels."""
+    plans = []
+    monkeypatch.setattr(pretokens, "FAN", 2)
+    monkeypatch.setattr(pretokens, "write_table", lambda df, path: plans.append(plan(df)) or write_table(df, path))
+    texts = [(i, f"word{i % 7} and more of it", "a") for i in range(64)]
+    docs = spark.read.parquet(*write_table(documents(texts).repartition(8), new_folder(spark, "texts")).inputFiles())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "16k")
+    try:
+        rows = token_counts(docs, WORD)
+        assert sorted(r.n_tokens for r in rows.collect()) == sorted(len(ids_of(WORD, text)) for _, text, _ in texts)
+        assert len(plans) > 2 and "Exchange" not in "".join(plans) + plan(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+LETTERS = st.sampled_from(list("abst'réVvLlDm \t\n\x1c\x85.,!-09Σσςİß\u0301\u0338=≠가ᄀ\u1161각\u11a8中、’“”٣½ \u00a0\u3000\u200b😀क\u093cK\0"))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(LETTERS, max_size=30).map("".join), min_size=1, max_size=5))
+def test_cuts_are_the_librarys(values):
+    """Pre-tokens and whole words together have the library's pieces, text by text."""
+    counter, tables, tokenizer = COUNTER()
+    blocks, whole = pretokens.stretches(values, [])
+    assert not whole
+    found = [0] * len(values)
+    for block in blocks:
+        cut = pretokens.Cut(*tables, *block)
+        for row, n in zip(cut.row.tolist(), counter.tokens(cut.text(np.arange(len(cut.start))))):
+            found[row] += n
+        for (row, _), n in zip(cut.words, counter.whole([word for _, word in cut.words])):
+            found[row] += n
+    assert found == [len(e.ids) for e in tokenizer.encode_batch(values, add_special_tokens=False)]
+
+
+@functools.cache
+def COUNTER():
+    with open(WORD, encoding="utf-8") as file:
+        counter = pretokens.Counter(file.read(), 100)
+    return counter, pretokens.classes(counter.encoder), counter.encoder.tokenizer
+
+
+def test_every_character_between_others(monkeypatch):
+    """Every 16-bit character alone, after a letter, a mark and an apostrophe; in stretches of any size."""
+    counter, tables, tokenizer = COUNTER()
+    values = [f"a{c} {c}a !{c}! '{c}e 0{c}0" for c in map(chr, (*range(0xD800), *range(0xE000, 1 << 16)))]
+    monkeypatch.setattr(pretokens, "BLOCK", 3000)
+    found = np.zeros(len(values), int)
+    for block in pretokens.stretches(values, [])[0]:
+        cut = pretokens.Cut(*tables, *block)
+        np.add.at(found, cut.row, counter.tokens(cut.text(np.arange(len(cut.start)))))
+        for (row, _), n in zip(cut.words, counter.whole([word for _, word in cut.words])):
+            found[row] += n
+    expected = [len(e.ids) for e in tokenizer.encode_batch(values, add_special_tokens=False)]
+    assert [(hex(ord(v[1])), a, b) for v, a, b in zip(values, found.tolist(), expected) if a != b] == []
 
 
 def test_records_of_the_table(spark, table):
