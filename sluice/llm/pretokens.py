@@ -23,8 +23,8 @@ BLOCK = 1 << 19
 ENTRIES = 1 << 15
 #: Places of a task's counts, a power of two: 22 MB.
 COUNTED = 1 << 19
-#: Summaries that are merged at a time, and the most that reach the driver: 32 * 32,768 of 48 bytes, 50 MB.
-FAN = 32
+#: Summaries that are merged at a time, and the most that reach the driver: 8 * 32,768 of 48 bytes, 13 MB.
+FAN = 8
 
 _FIRST = np.arange(0, WIDTH, 4)
 _MASKS = np.array([[(1 << 16 * min(max(n - at, 0), 4)) - 1 for n in range(WIDTH + 1)] for at in _FIRST.tolist()], np.uint64)
