@@ -8,12 +8,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from sluice.operators.sequence import add_sequence
-from sluice.sources.workspace import materialize
+from sluice.sources.workspace import materialize, scratch, write_table
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
-#: Key ranges in which the documents of a source are summed before one of them is sorted.
-BUCKETS = 65536
+#: Key ranges in which the documents of a source are summed at a time; the one where its target ends is parted again.
+BUCKETS = 4096
+#: Rows of a source that are sorted in one task; a range with more is parted again.
+SORTED = 65_536
+#: Width below which a range isn't parted: its keys are equal, or differ by rounding.
+NARROW = 1e-15
 MARKS = (string.punctuation + string.digits).encode()
 
 
@@ -38,18 +42,52 @@ def _keyed(docs: DataFrame, quality, seed: str) -> DataFrame:
     u = (F.conv(digits, 16, 10).cast("bigint").cast("double") + 1.0) / float(1 << 52)
     rows = docs.select(F.struct("*").alias("_row"), measured(F.col("text").cast("string")).alias("m"), u.alias("u"))
     rows = rows.select("_row", F.col("m.size").alias("size"), (-F.log("u") / quality(F.col("m"))).alias("key"))
-    bucket = F.least(F.floor((1.0 - F.exp(-F.col("key"))) * BUCKETS), F.lit(BUCKETS - 1))
-    return rows.withColumn("bucket", bucket.cast("int"))
+    return rows.withColumn("x", F.col("key") / (1.0 + F.col("key")))  # in the order of the keys, from 0 up to 1
 
 
-def _targets(sums: DataFrame, ratio: float, most: float, weights) -> DataFrame:
+def _bucket(low: Column, width: Column) -> Column:
+    """The part of a range in which x lies."""
+    return F.greatest(F.lit(0), F.least(F.floor((F.col("x") - low) / width * BUCKETS), F.lit(BUCKETS - 1))).cast("int")
+
+
+def _side(cuts: Column, turns: int) -> Column:
+    """-1 for x before the range where its source's target ends, 1 behind it, 0 in it; ``cuts`` has a source's ranges, each in the last."""
+    side = F.lit(0)
+    for turn in reversed(range(turns)):
+        cut = F.get(cuts, F.lit(turn))
+        bucket = _bucket(cut["low"], cut["width"])
+        side = F.when(cut.isNull(), 0).when(bucket < cut["edge"], -1).when(bucket > cut["edge"], 1).otherwise(side)
+    return side
+
+
+def _parted(sums: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan with the bucket where each source's target ends: ``sums`` has the sizes and rows of buckets of the range ``low``, ``width``."""
+    upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    ends = sums.withColumn("end", F.sum("size").over(upto)).withColumn("start", F.col("end") - F.col("size"))
+    edge = (
+        ends.join(plan.select("name", "rest", "base"), F.col("source").eqNullSafe(F.col("name")))
+        .filter((F.col("base") + F.col("start") < F.col("rest")) & (F.col("rest") <= F.col("base") + F.col("end")))
+        .groupBy(F.col("name").alias("of")).agg(F.min_by(F.struct("bucket", "start", "rows"), "bucket").alias("found"))
+    )
+    cut = F.struct("low", "width", F.col("found.bucket").alias("edge"))
+    done = F.col("found").isNull()
+    return plan.join(edge, F.col("name").eqNullSafe(F.col("of")), "left").select(
+        "name", "source_size", "target", "epochs", "rest",
+        F.when(done, F.col("cuts")).otherwise(F.concat("cuts", F.array(cut))).alias("cuts"),
+        F.when(done, F.col("base")).otherwise(F.col("base") + F.col("found.start")).alias("base"),
+        F.when(done, F.col("low")).otherwise(F.col("low") + F.col("width") * F.col("found.bucket") / BUCKETS).alias("low"),
+        F.when(done, F.col("width")).otherwise(F.col("width") / BUCKETS).alias("width"),
+        F.when(done, F.lit(0)).otherwise(F.col("found.rows")).cast("bigint").alias("rows"))
+
+
+def _targets(sums: DataFrame, ratio: float, most: float, weights, folder: str) -> DataFrame:
     """source, source_size and target of every source; ``sums`` has a row for each.
 
     All sources share by weight; those whose share passes their limit get the limit and leave the rest to
     the others, until no share is above. Each turn reads one row of sums.
     """
     placed = add_sequence(sums.withColumn("no_name", F.col("source").isNull()), "place", start=0, maximum=None,
-                          order_by=("no_name", "source"))
+                          order_by=("no_name", "source"), folder=folder)
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
     rows = placed.select("source", "source_size", weight.cast("double").alias("weight"),
                          (F.col("source_size") * most).alias("most"))
@@ -67,6 +105,31 @@ def _targets(sums: DataFrame, ratio: float, most: float, weights) -> DataFrame:
     return rows.select("source", "source_size", F.least(share, F.col("most")).alias("target"))
 
 
+def _planned(keyed: DataFrame, ratio: float, most: float, weights, folder: str) -> tuple[DataFrame, int]:
+    """A row for each source, with the ranges around the end of its target, and the number of turns that made them."""
+    places = keyed.select(F.col("_row.source").cast("string").alias("source"), "x", "size")
+    summed = F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows")
+    sums = write_table(places.groupBy("source", _bucket(F.lit(0.0), F.lit(1.0)).alias("bucket")).agg(*summed), f"{folder}/sums")
+    targets = _targets(sums.groupBy("source").agg(F.sum("size").alias("source_size")), ratio, most, weights, f"{folder}/sources")
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
+    plan = targets.withColumn("epochs", epochs.cast("bigint")).select(
+        F.col("source").alias("name"), "source_size", "target", "epochs",
+        (F.col("target") - F.col("epochs") * F.col("source_size")).alias("rest"),
+        F.expr("CAST(array() AS array<struct<low: double, width: double, edge: int>>)").alias("cuts"),
+        F.lit(0).cast("bigint").alias("base"), F.lit(0.0).alias("low"), F.lit(1.0).alias("width"))
+    turns = 0
+    while True:
+        plan = write_table(_parted(sums, plan), f"{folder}/plan{turns}")
+        turns += 1
+        wide = plan.filter((F.col("rows") > SORTED) & (F.col("width") > NARROW)).select("name", "cuts", "low", "width")
+        if wide.isEmpty():
+            return materialize(plan, "mix-plan"), turns
+        places = write_table(
+            places.drop("low", "width").join(wide, F.col("source").eqNullSafe(F.col("name")))
+            .filter(_side(F.col("cuts"), turns) == 0).select("source", "x", "size", "low", "width"), f"{folder}/places{turns}")
+        sums = places.groupBy("source", _bucket(F.col("low"), F.col("width")).alias("bucket")).agg(*summed)
+
+
 def mix(docs: DataFrame, ratio: float = 1.5, most: float = 2.0, weights=WEIGHTS, quality=plain_share, seed: str = "") -> DataFrame:
     """Every row of ``docs`` (doc_id, text, source, ...) as ``_row``, with its place in the mix: size, source_size, target, copies, taken.
 
@@ -76,39 +139,25 @@ def mix(docs: DataFrame, ratio: float = 1.5, most: float = 2.0, weights=WEIGHTS,
     sum of sizes comes nearest to the target. ``copies`` counts how often the row is taken, ``taken`` is
     copies times size. u comes from doc_id and seed alone, so reruns agree.
 
-    No source is sorted as a whole: sizes are summed over key ranges, and only the one range per source in which the
-    target ends is put in order. ``quality`` maps the measures to weights above 0 and up to 1.
+    No source is sorted as a whole: sizes are summed over key ranges, and the one range per source in which the
+    target ends is parted again until it has at most ``SORTED`` rows, or its keys are equal; only that is put in order. Turns after the first read
+    the source, place and size of that range's rows. ``quality`` maps the measures to weights above 0 and up to 1.
 
     Null sources are one source, last in order; null ids share one u; equal keys go by id, nulls last, then
     size. Null or empty texts have size 0. Repeated rows count each. An empty table gives an empty result.
     Columns of other names may be anything.
     """
     keyed = _keyed(docs, quality, seed)
-    lean = materialize(keyed.select(F.col("_row.source").cast("string").alias("source"), "bucket", "size")
-                       .groupBy("source", "bucket").agg(F.sum("size").alias("size")), "mix-buckets")
-    targets = _targets(lean.groupBy("source").agg(F.sum("size").alias("source_size")), ratio, most, weights)
-    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    plan = targets.withColumn("epochs", epochs.cast("bigint")).withColumn(
-        "rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    # where the rest ends: the one range of a source that begins below it and ends above it
-    upto = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ends = lean.withColumn("end", F.sum("size").over(upto)).withColumn("start", F.col("end") - F.col("size"))
-    edge = (
-        ends.join(plan.select(F.col("source").alias("name"), "rest"), F.col("source").eqNullSafe(F.col("name")))
-        .filter((F.col("start") < F.col("rest")) & (F.col("rest") <= F.col("end")))
-        .groupBy("name").agg(F.min("bucket").alias("edge"), F.min("start").alias("edge_start"))
-    )
-    plan = materialize(
-        plan.join(edge, F.col("source").eqNullSafe(F.col("name")), "left")
-        .select(F.col("source").alias("name"), "source_size", "target", "epochs", "rest",
-                F.coalesce("edge", F.lit(-1)).alias("edge"), F.coalesce("edge_start", F.lit(0)).alias("edge_start")),
-        "mix-plan")
-
-    rows = keyed.join(plan, F.col("_row.source").cast("string").eqNullSafe(F.col("name")))
-    clear = rows.filter("bucket != edge").withColumn("chosen", (F.col("bucket") < F.col("edge")).cast("bigint"))
+    with scratch(docs.sparkSession, "mix") as folder:
+        plan, turns = _planned(keyed, ratio, most, weights, folder)
+
+    # a source without a rest has no ranges: all of its rows are behind
+    side = F.when(F.size("cuts") == 0, 1).otherwise(_side(F.col("cuts"), turns))
+    rows = keyed.join(plan, F.col("_row.source").cast("string").eqNullSafe(F.col("name"))).withColumn("side", side)
+    clear = rows.filter("side != 0").withColumn("chosen", (F.col("side") < 0).cast("bigint"))
     order = Window.partitionBy("name").orderBy("key", F.col("_row.doc_id").isNull(), "_row.doc_id", "size") \
         .rowsBetween(Window.unboundedPreceding, 0)
-    last = rows.filter("bucket = edge").withColumn("sum", F.sum("size").over(order) + F.col("edge_start"))
+    last = rows.filter("side = 0").withColumn("sum", F.sum("size").over(order) + F.col("base"))
     near = 2 * F.col("sum") - F.col("size") <= 2 * F.col("rest")
     last = last.withColumn("chosen", near.cast("bigint")).drop("sum")
     copies = F.col("epochs") + F.col("chosen")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import exact_dedup, jaccard_join, license_scan, mixing
 from sluice.llm.components import components
+from sluice.sources.workspace import materialize
 from tests.llm.conftest import TEXTS
 
 WHITE = re.compile("[\x20\x09-\x0d]+")
@@ -304,6 +305,23 @@ def test_mix(documents, ratio):
     assert by_id(again) == by_id(found.select("_row.doc_id", "_row.text", "taken").collect())
 
 
+@pytest.mark.parametrize("rows, turns", [
+    ([(i, " ".join(["12345"] * (1 + i % 7)) + (" word" * (i % 50) if i % 3 else ""), ("a", "b", None)[i % 3]) for i in range(400)], 2),
+    ([(7, "7 7 7", "d")] * 40 + [(i, "some 1", "d") for i in range(9)], 6)])
+def test_mix_of_parted_ranges(documents, monkeypatch, rows, turns):
+    """Sources of digits, whose keys are large, and equal keys: ranges are parted until one row, or equal keys, are sorted, with the same result."""
+    columns = "_row.doc_id", "_row.source", "size", "target", "taken"
+    whole = sorted(mixing.mix(documents(rows), ratio=0.7).select(*columns).collect(), key=str)
+    plans = []
+    monkeypatch.setattr(mixing, "materialize", lambda df, label: plans.append(materialize(df, label)) or plans[-1])
+    monkeypatch.setattr(mixing, "BUCKETS", 64)
+    monkeypatch.setattr(mixing, "SORTED", 1)
+    assert sorted(mixing.mix(documents(rows), ratio=0.7).select(*columns).collect(), key=str) == whole
+    ends = plans[0].collect()
+    assert all(r["rows"] <= 1 or r["width"] <= mixing.NARROW for r in ends)
+    assert max(len(r["cuts"]) for r in ends) >= turns
+
+
 def test_mixed_rows(documents):
     docs = documents()
     mixed = mixing.mixed_rows(docs)
