@@ -424,6 +424,18 @@ def reject_summary(spark, folder):
     return validate(coded_documents(spark, folder), REASONS_SPEC, passthrough=False).summary()
 
 
+@query(f'WITH r AS (SELECT {REASON_COLUMN} AS "column", {REASON} AS reason, '
+       f"CASE {REASON_COLUMN} WHEN 'id' THEN CAST(doc_id AS VARCHAR) WHEN 'code' THEN {CODE} "
+       f"WHEN 'body' THEN text ELSE source END AS \"value\" FROM documents WHERE {REASON} IS NOT NULL), "
+       'c AS (SELECT "column", reason, "value", count(*) AS value_rows FROM r GROUP BY ALL), '
+       'n AS (SELECT *, CAST(sum(value_rows) OVER (PARTITION BY "column") AS BIGINT) AS "rows", '
+       'count(*) OVER (PARTITION BY "column") AS "values", CAST(row_number() OVER '
+       '(PARTITION BY "column" ORDER BY value_rows DESC, "value") AS INTEGER) AS "rank" FROM c) '
+       'SELECT "column", reason, "rows", "values", "rank", "value", value_rows FROM n WHERE "rank" <= 10')
+def reject_profile(spark, folder):
+    return validate(coded_documents(spark, folder), REASONS_SPEC, passthrough=False).profile()
+
+
 def _report(spark, report, **more):
     counts = {"rows_read": report.rows_read, "rows_accepted": report.rows_accepted,
               "rows_rejected": report.rows_rejected, **more}

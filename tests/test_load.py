@@ -129,6 +129,21 @@ def test_accepted_and_rejected_make_up_the_input(spark):
     assert {r["i"] for r in checked.loaded.collect()} == accepted
 
 
+def test_profile_of_rejects(spark):
+    """Most frequent failing values of a column: one that a third of all rows have, ties, other columns apart; none without rejects."""
+    df = spark.range(0, 3000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, "x").when(F.col("id") % 3 == 1, F.concat(F.lit("v"), F.col("id") % 500)).otherwise("5").alias("a"),
+        F.when(F.col("id") % 300 == 2, "too long").alias("b"))
+    checked = validate(df, LoadSpec((Col("a", "INTEGER"), Col("b", "VARCHAR", 3))))
+    found = sorted(tuple(r) for r in checked.profile(3).collect())
+    shares = df.where("a like 'v%'").groupBy("a").count().orderBy(F.desc("count"), "a").collect()
+    reason = "a: not a INTEGER"
+    assert found == [
+        ("a", reason, 2000, len(shares) + 1, 1, "x", 1000), ("a", reason, 2000, len(shares) + 1, 2, *shares[0]),
+        ("a", reason, 2000, len(shares) + 1, 3, *shares[1]), ("b", "b: longer than 3 bytes", 10, 1, 1, "too long", 10)]
+    assert checked.profile(0).count() == validate(df.where("a = '5' and b is null"), LoadSpec((Col("a", "INTEGER"), Col("b", "VARCHAR", 3)))).profile().count() == 0
+
+
 def test_null_flags(spark):
     rows = [tuple(None if (n >> i) & 1 else 1 for i in range(10)) for n in range(1024)]
     df = spark.createDataFrame(rows, ", ".join(f"c{i} int" for i in range(10)))

@@ -114,3 +114,12 @@ def test_ranges_follow_the_size(spark, monkeypatch):
     assert range_count(df) == 8
     monkeypatch.setattr(load_module, "RANGE_BYTES", 100)
     assert range_count(df) > 8
+
+
+def test_profile_of_rejects_is_cut_before_its_shuffle(spark, plan):
+    """Each task keeps the first values of a column; values are added up in the tasks, and their shuffle is done once."""
+    profile = validate(customers(spark), SPEC, passthrough=False).profile(5)
+    assert "WindowGroupLimit" in plan(profile)
+    profile.collect()
+    final = plan(profile).split("Initial Plan")[0]
+    assert "isFinalPlan=true" in plan(profile) and "ReusedExchange" in final
