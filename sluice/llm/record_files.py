@@ -142,7 +142,9 @@ def read_sequences(spark: SparkSession, folder: str, each=None, schema: str = "i
     folder = qualified(spark, folder)
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    ranges = manifest.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("before"), F.explode(
+    files = manifest.select("file", "records", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("before"))
+    # apart from the sum, which would count a file once for each of its ranges
+    ranges = files.select("file", "before", F.explode(
         F.sequence(F.lit(0).cast("bigint"), F.col("records") - 1, F.lit(RANGE).cast("bigint"))).alias("first"))
     deal = F.xxhash64("file", "first") if seed is None else F.xxhash64("file", "first", F.lit(seed))
     ranges = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), deal)

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sluice.llm import bpe, pretokens, queries, record_files
@@ -150,6 +151,17 @@ def test_records_of_odd_texts(spark, documents, tmp_path):
     assert record_files.read_sequences(spark, empty).collect() == []
 
 
+def test_files_of_several_ranges(spark, tmp_path):
+    """Files of more records than a task of the reader takes at a time."""
+    folder, n = str(tmp_path / "records"), 2 * (2 * record_files.RANGE + 9)
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, "one two").alias("text"))
+    manifest = record_files.write_sequences(docs, folder, WORD, end_id=2, files=2).collect()
+    assert max(r.records for r in manifest) > record_files.RANGE
+    rows = sorted(record_files.read_sequences(spark, folder).select("doc_id", "start", "n_tokens").collect())
+    sizes = [3 if i % 3 else 1 for i in range(n)]
+    assert [tuple(r) for r in rows] == [*zip(range(n), np.cumsum([0, *sizes]).tolist(), sizes)]
+
+
 def test_damaged_records_are_noticed(spark, documents, tmp_path):
     folder = tmp_path / "records"
     record_files.write_sequences(documents(), str(folder), WORD, end_id=2, files=1)
