@@ -26,7 +26,7 @@ AUTO = "auto"
 # plan steps that hand on rows in the order in which they get them, or make them in a fixed one
 ORDERED_STEPS = ("Project", "Filter", "Generate", "Expand", "CollectMetrics", "Range", "LocalRelation", "OneRowRelation", "Union")
 FILES = "HadoopFsRelation"
-RANGE_BYTES = 256 << 20  # of a range that rows are sorted in
+RANGE_BYTES = 32 << 20  # of a range that rows are sorted in, as files hold them; rows in memory take many times that
 UNKNOWN_SIZE = 1 << 60
 _TIE = "__load_arrival"
 
@@ -135,13 +135,13 @@ def arrives_in_order(df: DataFrame) -> bool:
     return True
 
 
-def range_count(df: DataFrame) -> int:
-    """Number of ranges to sort rows in: by the plan's estimate of their size, and the session's shuffle partitions at least.
+def range_count(df: DataFrame, least: int | None = None) -> int:
+    """Number of ranges to sort rows in: by the plan's estimate of their size, and ``least`` or the session's shuffle partitions at least.
 
-    It only shapes the layout of files. A size that Spark doesn't know doesn't count.
+    So what a task sorts doesn't grow with the input. It only shapes the layout of files. A size that Spark doesn't know doesn't count.
     """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = least or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return ranges if size >= UNKNOWN_SIZE else max(ranges, -(-size // RANGE_BYTES))
 
 
@@ -151,7 +151,7 @@ def steady(df: DataFrame) -> DataFrame:
 
 
 def cluster(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
-    """Rows sorted into ranges of some columns; without columns they stay where they are.
+    """Rows sorted into ranges of some columns, ``partitions`` or more of them (see ``range_count``); without columns they stay where they are.
 
     Ties are numbered and split, so a key with very many rows, or copies of one row, spread over several
     tasks. A task that is run again has to give every row the number it had, or rows would be lost or
@@ -161,7 +161,7 @@ def cluster(df: DataFrame, columns, partitions: int | None = None) -> DataFrame:
         return df
     order = [column(c) for c in columns] + [F.col(_TIE)]
     tied = steady(df).withColumn(_TIE, F.monotonically_increasing_id())
-    ranged = tied.repartitionByRange(partitions or range_count(df), *order)
+    ranged = tied.repartitionByRange(range_count(df, partitions), *order)
     return ranged.sortWithinPartitions(*order).drop(_TIE)
 
 
@@ -236,7 +236,7 @@ def load(df: DataFrame, spec: LoadSpec, target, parallelism: int | str | None =
 
     Rows are written where they are read, without a shuffle. ``parallelism`` (a number of tasks, or
     ``"auto"`` for files of even size) spreads them first, which helps where a few input files hold most
-    rows; ``cluster_by`` sorts them into ranges of target columns. ``stage`` writes the input to the
+    rows; ``cluster_by`` sorts them into ranges of target columns, more than ``parallelism`` of them where these would be large. ``stage`` writes the input to the
     shared folder first, for input that is costly to compute or differs between reads. ``create`` makes
     the target table if it does not exist; other targets make themselves. ``evolve`` gives an existing table the columns that
     it lacks before anything is read. A table that still clashes with the columns loaded is refused. Staged rows are removed when the load ends.

@@ -116,6 +116,16 @@ def test_ranges_follow_the_size(spark, monkeypatch):
     assert range_count(df) > 8
 
 
+def test_more_ranges_than_asked_for(spark, monkeypatch):
+    """A number of tasks is the least number of ranges, so that a task's share doesn't grow with the input."""
+    df = customers(spark)
+    monkeypatch.setattr(load_module, "RANGE_BYTES", 100)
+    assert range_count(df, 4) > 4
+    assert cluster(df, ["c_name"], 4).rdd.getNumPartitions() == range_count(df, 4)
+    monkeypatch.setattr(load_module, "RANGE_BYTES", 32 << 20)
+    assert cluster(df, ["c_name"], 4).rdd.getNumPartitions() == 4
+
+
 def test_profile_of_rejects_is_cut_before_its_shuffle(spark, plan):
     """Each task keeps the first values of a column; values are added up in the tasks, and their shuffle is done once."""
     profile = validate(customers(spark), SPEC, passthrough=False).profile(5)
