@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from sluice.llm.common import mixed, pieces
+from sluice.llm.common import kept, mixed, pieces
 from sluice.llm.components import components
 from sluice.sources.workspace import materialize, scratch, write_table
 
@@ -161,6 +161,11 @@ class Bands:
         return np.concatenate(out)
 
 
+def _bands(settings: Settings) -> Bands:
+    """The bands, kept by the worker in place of what it kept for an operator before."""
+    return kept(("bands", settings), lambda: Bands(settings))
+
+
 def _bytes(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()
 
@@ -171,7 +176,7 @@ NEEDS = pa.list_(pa.struct([("band", pa.int32()), ("need", pa.int32())]))
 def _sets(docs: DataFrame, settings: Settings) -> DataFrame:
     """doc_id, row, n_shingles, h1, h2 and, for each band, the least number of shared keys; ``row`` is a hash of id and text."""
     def find(batches):
-        bands = Bands(settings)
+        bands = _bands(settings)
         for piece in pieces(batches):
             sets = [shingles(data, settings.n) for data in _bytes(piece.column("text"))]
             ids = [set_id(elements) for elements in sets]
@@ -205,7 +210,7 @@ def _groups(docs: DataFrame, settings: Settings) -> DataFrame:
     very many documents have arrives from each task's batches once. Members found there are dealt out by key and set.
     """
     def emit(batches):
-        bands = Bands(settings)
+        bands = _bands(settings)
         for piece in pieces(batches, TOGETHER):
             keys, sets, seen = [], [], set()
             for data in _bytes(piece.column("text")):

@@ -4,14 +4,18 @@ import hashlib
 import math
 import random
 import re
+import weakref
 from collections import Counter, defaultdict
+from unittest.mock import patch
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from sluice.llm import exact_dedup, jaccard_join, license_scan, mixing
+from sluice.llm.common import kept
 from sluice.llm.components import components
 from sluice.sources.workspace import materialize
 from tests.llm.conftest import TEXTS
@@ -122,6 +126,25 @@ def near_rows(seed):
     return [(i, text) for i, text in enumerate(rows)]
 
 
+@pytest.mark.parametrize("step", [jaccard_join._sets, jaccard_join._groups])
+def test_workers_give_up_what_they_kept(step):
+    """A worker that scored texts before doesn't hold its model and words while it searches for near copies."""
+    class Docs:
+        def mapInArrow(self, function, schema):
+            self.function = self.__dict__.get("function", function)
+            return self
+
+        repartition = sortWithinPartitions = lambda self, *columns: self
+
+    docs, model = Docs(), type("Model", (), {})()
+    gone = weakref.ref(kept("model", lambda: model))
+    del model
+    with patch.object(jaccard_join, "F"):
+        step(docs, jaccard_join.Settings())
+    assert list(docs.function([pa.RecordBatch.from_pylist([{"doc_id": 1, "row": 2, "text": "one two three"}])]))
+    assert gone() is None
+
+
 @pytest.mark.parametrize("n, percent, seed", [(4, 85, 1), (5, 80, 2), (2, 60, 3)])
 def test_near_copies(spark, n, percent, seed):
     rows = near_rows(seed)
