@@ -378,9 +378,9 @@ class _Linking:
         return met.filter(F.col("met") >= _left(F.col("need")))
 
     def open_groups(self, nodes: DataFrame) -> DataFrame:
-        """key, h1, component and size of group for groups with several components."""
-        rows = self.members.join(self.elements.select("h1", "sid", "n", "sketch"), "h1").join(nodes, F.col("sid") == F.col("node"), "left")
-        rows = rows.select("key", "h1", "need", "n", "sketch", F.coalesce("component", "sid").alias("component"))
+        """key, h1, sid, component and size of group for groups with several components."""
+        rows = self.members.join(self.elements.select("h1", "sid"), "h1").join(nodes, F.col("sid") == F.col("node"), "left")
+        rows = rows.select("key", "h1", "need", "sid", F.coalesce("component", "sid").alias("component"))
         several = rows.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most"),
                                           F.count(F.lit(1)).alias("size")).filter("least != most")
         return rows.join(several.select("key", "size"), "key")
@@ -388,11 +388,12 @@ class _Linking:
     def in_full(self, rows: DataFrame, forest: bool) -> DataFrame:
         """Pairs of different components in a group that neither size nor sketch tell apart; with ``forest`` only enough to join them.
 
-        A group of more than ``BLOCK`` sets is dealt out to pairs of blocks.
+        A group of more than ``BLOCK`` sets is dealt out to pairs of blocks. Sketches, most of a row's bytes, join the rows just before.
         """
         percent, fields = self.settings.percent, ["key", "first", "second", "block", "h1", "n", "sketch", "component"]
         blocks = F.ceil(F.col("size") / BLOCK).cast("int")
         block = F.pmod(F.xxhash64("h1"), blocks.cast("bigint")).cast("int")
+        rows = rows.join(self.elements.select("sid", "n", "sketch"), "sid")
         dealt = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
             "key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "block", "h1", "n",
             "sketch", "component")

@@ -184,6 +184,21 @@ def test_groups_are_compared_in_full(spark, monkeypatch, block):
     assert by_id(found.select("doc_id", "n_shingles", "component_id").collect()) == by_id(expected_components(rows, 4, 70))
 
 
+def test_sketches_are_shuffled_once(spark, monkeypatch, plan):
+    """Sketches of sets stand in one shuffle on their way to the rows that are compared, and in one of these rows."""
+    plans = {}
+    write = jaccard_join.write_table
+    monkeypatch.setattr(jaccard_join, "write_table", lambda df, path: plans.update({path.rsplit("/", 1)[-1]: plan(df)}) or write(df, path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        jaccard_join.near_copies(spark.createDataFrame(near_rows(1)[:50], "doc_id long, text string"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for name in ("pairs-2", "pairs-3"):
+        shuffled = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plans[name])
+        assert sum("sketch#" in columns for columns in shuffled) == 2 < len(shuffled)
+
+
 def test_rows_that_repeat_do_not_multiply(spark, monkeypatch):
     """Two similar texts of 300 rows each, of the same ids: one row of each set is compared."""
     base = [f"w{i}" for i in range(200)]
