@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 
@@ -19,16 +21,28 @@ def kept(key, build):
 
     Module variables don't live on between tasks where the package is shipped by value; this place does.
     Only the newest object stays, whatever its kind, so that a worker that serves one operator after the other doesn't gather theirs.
+    The system gets back what the last one took, and what was only needed for building.
     """
     store = sys.modules.setdefault("_sluice_llm_kept", types.ModuleType("_sluice_llm_kept")).__dict__
     held = store.get("newest")
     if held is None or held[0] != key:
-        store.pop("newest", None)  # gone before the next is built
-        held = None
+        if store.pop("newest", None) is not None:  # gone before the next is built
+            held = None
+            give_back()
         held = store["newest"] = (key, build())
+        give_back()
     return held[1]
 
 
+def give_back() -> None:
+    """Return freed memory to the system. A worker outlives its tasks, and its free memory counts beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries than GNU's have none
+    if trim:
+        trim(0)
+
+
 def pieces(batches, rows: int = PIECE_ROWS):
     """Arrow batches cut into pieces of at most ``rows`` rows; empty ones are left out."""
     for batch in batches:

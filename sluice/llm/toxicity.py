@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from sluice.llm.common import PIECE_ROWS, id_and_text, kept, pieces, texts, with_id
 from sluice.llm.labelled import FITTED, crc, held_out, sampled
-from sluice.llm.token_units import Memo
+from sluice.llm.token_units import UNITS, Memo
 
 # Terms that name groups of people; a term may stand for any other of its row.
 IDENTITY_TERMS = (
@@ -174,7 +174,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, terms=IDENTITY_TERMS, settings:
 
     def score(batches):
         weights, bias = shared.value
-        memo = kept(("toxicity", weights[:: 1 << 8].tobytes(), bias), lambda: Memo(Model(weights, bias).of_words))
+        memo = kept(("toxicity", weights[:: 1 << 8].tobytes(), bias), lambda: Memo(Model(weights, bias).of_words, UNITS))
         for piece in pieces(batches):
             words = [distinct_words(text) for text in texts(piece.column("text"))]
             known = memo.know(words)
@@ -203,7 +203,7 @@ def _is_toxic(whole: DataFrame, docs: DataFrame, labels: DataFrame, terms=IDENTI
     @F.arrow_udf("boolean")
     def toxic(column: pa.Array) -> pa.Array:
         weights, bias = shared.value
-        memo = kept(("toxicity", weights[:: 1 << 8].tobytes(), bias), lambda: Memo(Model(weights, bias).of_words))
+        memo = kept(("toxicity", weights[:: 1 << 8].tobytes(), bias), lambda: Memo(Model(weights, bias).of_words, UNITS))
         found: list[bool] = []
         for at in range(0, len(column), PIECE_ROWS):  # so that the words of a whole batch don't add up
             words = [distinct_words(text) for text in texts(column.slice(at, PIECE_ROWS))]

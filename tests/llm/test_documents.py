@@ -14,7 +14,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from sluice.llm import exact_dedup, jaccard_join, license_scan, mixing
+from sluice.llm import common, exact_dedup, jaccard_join, license_scan, mixing
 from sluice.llm.common import kept
 from sluice.llm.components import components
 from sluice.sources.workspace import materialize
@@ -145,6 +145,22 @@ def test_workers_give_up_what_they_kept(step):
     assert gone() is None
 
 
+def test_workers_return_memory(monkeypatch):
+    """When a kept object makes room for the next one, and when that one is built, freed memory goes back to the system."""
+    gone, seen = [], []
+    monkeypatch.setattr(common, "give_back", lambda: seen.append(gone[0]() is None if gone else None))
+    model = type("Model", (), {})()
+    kept(("a model", 1), lambda: model)
+    gone.append(weakref.ref(model))
+    del model
+    seen.clear()
+    for _ in range(2):
+        kept(("bands", 1), object)
+    assert seen == [True, True]  # the old one was dead each time; nothing is done while the key stays
+    monkeypatch.undo()
+    common.give_back()
+
+
 @pytest.mark.parametrize("n, percent, seed", [(4, 85, 1), (5, 80, 2), (2, 60, 3)])
 def test_near_copies(spark, n, percent, seed):
     rows = near_rows(seed)
