@@ -6,11 +6,13 @@ import io
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from sluice.sources.workspace import materialize
+from sluice.llm.common import give_back
 
-#: Rows of a block on average; a block's tree and its distances stay in one task's memory.
+#: Most rows of a block; a block's tree and its distances stay in one task's memory.
 BLOCK = 2048
 #: Ratio of the radii of two levels.
 BASE = 1.3
@@ -18,15 +20,35 @@ BASE = 1.3
 LEAF, GROUP = 64, 8
 #: Nodes of the data that a query group looks at before it prunes again.
 STEP = 64
-#: Most tasks that pairs of blocks are dealt out to.
-TASKS = 100_000
+#: Share of pairs of points whose bounds don't rule them out, from which they are all compared by one matrix product.
+DENSE = 0.25
+#: Queries whose products with a block are looked at together.
+ROWS = 256
+#: Points of the first tree that every query is compared with before any bound, spread over the tree.
+FIRST = 256
+#: Times k of a query's points that are worth telling the k best from before they are sorted.
+MANY = 32
+#: Most blocks of a data tree's kind that a query block meets without a look at the bounds, where they have ruled nothing out.
+PAUSE = 63
+#: Bytes of query blocks and their results that a task holds.
+HELD = 96 << 20
+#: Pairs of blocks that a task is worth.
+PAIRS = 64
+#: Query blocks are copied for at most so many tasks that they come to this multiple of the data blocks, where that leaves tasks enough.
+COPIES = 1.5
+#: Most tasks that pairs of blocks are dealt out to; the driver holds something of each.
+TASKS = 2000
 #: Below every score, and has a negative.
 NONE = np.iinfo(np.int64).min + 1
 
 
 def _distances(points: np.ndarray) -> np.ndarray:
     norms = (points * points).sum(1)
-    return np.sqrt(np.maximum(norms[:, None] + norms[None, :] - 2 * (points @ points.T), 0))
+    apart = points @ points.T
+    apart *= -2
+    apart += norms[:, None]
+    apart += norms
+    return np.sqrt(np.maximum(apart, 0, out=apart), out=apart)
 
 
 class CoverTree:
@@ -65,18 +87,18 @@ class CoverTree:
 
         sum_of = [0]
         node(np.arange(len(points)), 0)
-        self.centers = points[centers]
         placed = np.concatenate(order)
         self.points, self.ids = points[placed], ids[placed]
-        self.radii, self.starts, self.ends = np.array(radii), np.array(starts), np.array(ends)
-        self.first = np.cumsum([0, *map(len, children)])
-        self.children = np.array([c for own in children for c in own], np.int64)
+        self.at = np.argsort(placed)[centers].astype(np.int32)  # where the centres stand in points
+        self.radii, self.starts, self.ends = np.array(radii), np.array(starts, np.int32), np.array(ends, np.int32)
+        self.first = np.cumsum([0, *map(len, children)], dtype=np.int32)
+        self.children = np.array([c for own in children for c in own], np.int32)
 
-    FIELDS = ("centers", "points", "ids", "radii", "starts", "ends", "first", "children")
+    FIELDS = ("at", "points", "ids", "radii", "starts", "ends", "first", "children")
 
     def to_bytes(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, **{name: getattr(self, name) for name in self.FIELDS})
+        np.savez(out, **{name: getattr(self, name) for name in self.FIELDS} | {"points": _narrow(self.points)})
         return out.getvalue()
 
     @classmethod
@@ -85,34 +107,111 @@ class CoverTree:
         with np.load(io.BytesIO(data)) as arrays:
             for name in cls.FIELDS:
                 setattr(tree, name, arrays[name])
-        tree.norms = np.sqrt((tree.centers * tree.centers).sum(1))
+        squares = np.einsum("ij,ij->i", tree.points, tree.points, dtype=np.float64)
+        # whole numbers, of which every sum of a product's terms is one below 2 ** 24, where both sides are so short: single floats hold it
+        short = tree.points.dtype.kind == "i" and squares.max(initial=0) < 2**24
+        tree.points = tree.points.astype(np.float32 if short else np.float64)
+        tree.norms = np.sqrt(squares)[tree.at]
         tree.leaf = tree.first[1:] == tree.first[:-1]
+        tree.leaves = np.flatnonzero(tree.leaf)  # in the order of their points
+        tree.room = None
+        tree.unique = len(np.unique(tree.ids)) == len(tree.ids)
         return tree
 
+    @property
+    def centers(self) -> np.ndarray:
+        return self.points[self.at]
+
+    def products(self, queries: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """Products of at most ``ROWS`` queries with points of this tree, always in the same place: new memory costs half as much as the products."""
+        kind, shape = np.result_type(queries, points), (len(queries), len(points))
+        if self.room is None or self.room.dtype != kind:
+            self.room = np.empty(ROWS * len(self.points), kind)
+        return np.matmul(queries, points.T, out=self.room[: shape[0] * shape[1]].reshape(shape))
+
     def below(self, nodes: np.ndarray) -> np.ndarray:
         """Children of the nodes."""
         return np.concatenate([self.children[self.first[n] : self.first[n + 1]] for n in nodes])
 
+    def leaves_of(self, nodes: np.ndarray) -> np.ndarray:
+        """Leaves below the nodes or among them."""
+        starts = self.starts[self.leaves]
+        first, last = np.searchsorted(starts, self.starts[nodes]), np.searchsorted(starts, self.ends[nodes])
+        return self.leaves[_ranges(first, last)]
+
+    def sizes(self, nodes: np.ndarray) -> np.ndarray:
+        return (self.ends[nodes] - self.starts[nodes]).astype(np.int64)
+
+
+def _narrow(points: np.ndarray) -> np.ndarray:
+    """The same numbers in fewer bytes, if they are small whole ones."""
+    for kind in (np.int8, np.int16, np.int32):
+        limits = np.iinfo(kind)
+        if not points.size or limits.min <= points.min() and points.max() <= limits.max:
+            narrow = points.astype(kind)
+            return narrow if (narrow == points).all() else points
+    return points
+
+
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers from each first to before its last, one range after the other."""
+    lengths = (last - first).astype(np.int64)
+    return np.repeat(last - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
+
 
 class Search:
-    """The k best points for each query of one tree among those of another, by score, then smaller id."""
+    """The k best points for each query of one tree among those of the trees that it meets, by score, then smaller id.
 
-    def __init__(self, queries: CoverTree, data: CoverTree, k: int):
-        self.q, self.p, self.k = queries, data, k
+    Points of one id and score count once. What was found in one tree bounds the search in the next.
+    """
+
+    def __init__(self, queries: CoverTree, data: CoverTree | None, k: int):
+        self.q, self.k = queries, k
         n = len(queries.points)
         self.scores = np.full((n, k), NONE, np.int64)
         self.ids = np.full((n, k), np.iinfo(np.int64).max, np.int64)
         self.pairs = 0  # node pairs looked at
-        if n and len(data.points):
-            self._both(0, np.array([0]))
+        self.compared = 0  # pairs of points
+        self.pause = self.wait = 0
+        self.begun = False
+        if data is not None:
+            self.meet(data)
+
+    def meet(self, data: CoverTree) -> None:
+        """Search another tree."""
+        self.p = data
+        whole = len(self.q.points) * len(data.points)
+        if not whole:
+            return
+        if self.wait:
+            self.wait -= 1
+            self._compare(0, np.arange(len(data.points)))
+            return
+        if not self.begun:
+            self._begin()
+            self.begun = True
+        before = self.compared
+        self._both(0, np.array([0]))
+        # trees in which the bounds rule out little seldom come alone
+        self.pause = min(2 * self.pause + 1, PAUSE) if self.compared - before > whole / 2 else 0
+        self.wait = self.pause
+
+    def _begin(self) -> None:
+        """A first k-th score for each query, from points all over the tree."""
+        n = len(self.p.points)
+        self._compare(0, np.arange(0, n, max(1, n // FIRST)))
 
     def _bounds(self, node: int, nodes: np.ndarray) -> np.ndarray:
         """No query below the node has a larger product with a point below the nodes than this."""
+        return self._all_bounds(np.array([node]), nodes)[0]
+
+    def _all_bounds(self, groups: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """The bounds of each node of the queries with each of the data's."""
         q, p = self.q, self.p
-        self.pairs += len(nodes)
-        product = p.centers[nodes] @ q.centers[node]
-        rq, rp = q.radii[node], p.radii[nodes]
-        bound = product + rq * p.norms[nodes] + rp * q.norms[node] + rq * rp
+        self.pairs += len(groups) * len(nodes)
+        bound = (q.points[q.at[groups]] @ p.points[p.at[nodes]].T).astype(np.float64)
+        rq, rp = q.radii[groups, None], p.radii[nodes]
+        bound += rq * p.norms[nodes] + rp * q.norms[groups, None] + rq * rp
         return bound + 1e-9 * (1 + np.abs(bound))  # the roots are rounded
 
     def _worst(self, node: int) -> int:
@@ -123,15 +222,33 @@ class Search:
         q, p = self.q, self.p
         bounds = self._bounds(node, nodes)
         nodes = nodes[bounds >= self._worst(node)]
+        if not len(nodes):
+            return
         if q.leaf[node]:
             self._leaf(node, nodes)
             return
+        points = self._dense(node, nodes)
+        if points is not None:
+            self._compare(node, points)
+            return
         coarse = ~p.leaf[nodes] & (p.radii[nodes] > q.radii[node])
         if coarse.any():
             nodes = np.concatenate([nodes[~coarse], p.below(nodes[coarse])])
         for child in q.children[q.first[node] : q.first[node + 1]]:
             self._both(int(child), nodes)
 
+    def _dense(self, node: int, nodes: np.ndarray) -> np.ndarray | None:
+        """The points below the nodes that any query below the node needs, if a fair share of all pairs of both is needed."""
+        q, p = self.q, self.p
+        groups, parts = q.leaves_of(np.array([node])), p.leaves_of(nodes)
+        worst = np.minimum.reduceat(self.scores[q.starts[node] : q.ends[node], -1], q.starts[groups] - q.starts[node])
+        needed = self._all_bounds(groups, parts) >= worst[:, None]
+        sizes, some = p.sizes(parts), needed.any(0)
+        if q.sizes(groups) @ (needed @ sizes) < DENSE * int(q.ends[node] - q.starts[node]) * sizes[some].sum():
+            return None
+        parts = parts[some]
+        return _ranges(p.starts[parts], p.ends[parts])
+
     def _leaf(self, node: int, nodes: np.ndarray) -> None:
         p = self.p
         bounds = self._bounds(node, nodes)
@@ -151,39 +268,106 @@ class Search:
                 bounds = np.concatenate([bounds, self._bounds(node, more)])
 
     def _compare(self, node: int, points: np.ndarray) -> None:
-        own = slice(self.q.starts[node], self.q.ends[node])
-        ids = self.p.ids[points]
-        score = np.rint(self.q.points[own] @ self.p.points[points].T).astype(np.int64)
-        score[self.q.ids[own][:, None] == ids[None, :]] = NONE
-        useful = (score >= self.scores[own, -1:]).any(0)
-        score, ids = score[:, useful], ids[useful]
-        scores = np.concatenate([self.scores[own], score], 1)
-        ids = np.concatenate([self.ids[own], np.broadcast_to(ids, score.shape)], 1)
-        best = np.lexsort((ids, -scores), 1)[:, : self.k]
-        self.scores[own], self.ids[own] = np.take_along_axis(scores, best, 1), np.take_along_axis(ids, best, 1)
+        q, p = self.q, self.p
+        first, last = int(q.starts[node]), int(q.ends[node])
+        self.compared += (last - first) * len(points)
+        if not len(points):
+            return
+        data, ids = (p.points, p.ids) if len(points) == len(p.points) else (p.points[points], p.ids[points])
+        found = []
+        for at in range(first, last, ROWS):
+            own = slice(at, min(at + ROWS, last))
+            score, worst = p.products(q.points[own], data), self.scores[own, -1]
+            hot = np.flatnonzero(score.max(1) >= worst)
+            if not len(hot):
+                continue
+            score, least = score if len(hot) == len(score) else score[hot], worst[hot, None].astype(score.dtype)
+            needed = score >= least
+            if p.unique and len(points) > self.k and np.count_nonzero(needed) > MANY * self.k * len(hot):
+                score[ids == q.ids[own][hot, None]] = -np.inf
+                needed = score >= np.maximum(least, np.partition(score, -self.k, 1)[:, -self.k, None])
+            row, column = np.divmod(np.flatnonzero(needed), len(points))
+            score, row, other = np.rint(score[row, column]).astype(np.int64), hot[row], ids[column]
+            better = (score > worst[row]) | (score == worst[row]) & (other < self.ids[own, -1][row])
+            better &= other != q.ids[own][row]
+            found.append((row[better] + at, score[better], other[better]))
+        if found:
+            self._keep(*map(np.concatenate, zip(*found)))
+
+    def _keep(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Put found points in their places among the k best of their queries."""
+        if not len(rows):
+            return
+        own = np.unique(rows)
+        rows = np.concatenate([np.repeat(own, self.k), rows])
+        scores = np.concatenate([self.scores[own].ravel(), scores])
+        ids = np.concatenate([self.ids[own].ravel(), ids])
+        order = np.lexsort((ids, -scores, rows))
+        rows, scores, ids = rows[order], scores[order], ids[order]
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:] != rows[:-1]) | (scores[1:] != scores[:-1]) | (ids[1:] != ids[:-1])
+        rows, scores, ids = rows[new], scores[new], ids[new]
+        place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        top = place < self.k
+        self.scores[own], self.ids[own] = NONE, np.iinfo(np.int64).max
+        self.scores[rows[top], place[top]], self.ids[rows[top], place[top]] = scores[top], ids[top]
+
+
+def finite(vector: Column) -> Column:
+    """Whether all components are finite numbers; null for no vector."""
+    limit = float("inf")
+    return F.forall(vector.cast("array<double>"), lambda v: v.isNotNull() & (v < limit) & (v > -limit))
 
 
 def whole(vector: Column) -> Column:
-    """floor(256 * x) of every component; null unless all are finite numbers."""
-    x = vector.cast("array<double>")
-    limit = float("inf")
-    fine = F.forall(x, lambda v: v.isNotNull() & (v < limit) & (v > -limit))
-    return F.when(fine, F.transform(x, lambda v: F.floor(v * 256.0).cast("double")))
+    """floor(256 * x) of every component."""
+    return F.transform(vector.cast("array<double>"), lambda v: F.floor(v * 256.0).cast("double"))
+
+
+def _trees(vectors: DataFrame, blocks: int, block: int, leaf: int) -> DataFrame:
+    """Cover trees of at most ``block`` distinct rows of one vector length each, and a number by which they can be dealt out.
 
+    Blocks are cut from the tasks' sorted rows, so that a task that runs again cuts the same.
+    """
+    def build(batches):
+        schema = pa.schema([("number", pa.int32()), ("tree", pa.binary())])
+        number, size, taken, held = TaskContext.get().partitionId(), 0, 0, []
 
-def _trees(vectors: DataFrame, blocks: int, name: str, leaf: int) -> DataFrame:
-    """One row for each block and vector length: the block's cover tree."""
-    def build(table: pa.Table) -> pa.Table:
-        points = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        points = points.reshape(table.num_rows, -1)
-        ids = table.column("vec_id").to_numpy()
-        order = np.lexsort((*points.T[:2], ids))  # the same tree whatever order the rows arrive in
-        tree = CoverTree(points[order], ids[order], leaf)
-        return pa.table({name: table.column(name)[:1], "size": table.column("size")[:1], f"{name}_tree": [tree.to_bytes()]})
+        def tree():
+            tree = CoverTree(np.concatenate([points for points, _ in held]), np.concatenate([ids for _, ids in held]), leaf)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([tree.to_bytes()], pa.binary())], schema=schema)
 
-    block = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int").alias(name)
-    return vectors.select("vec_id", "vector", F.size("vector").alias("size"), block).groupBy(name, "size").applyInArrow(
-        build, f"{name} int, size int, {name}_tree binary")
+        for batch in batches:
+            ids, column = batch.column("vec_id").to_numpy(), batch.column("vector")
+            flat, lengths = column.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(column).to_numpy()
+            starts = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+            at = 0
+            while at < len(ids):
+                if held and (lengths[at] != size or taken == block):
+                    yield tree()
+                    number, taken = number + 1, 0
+                size = int(lengths[at])
+                same = at + int(np.argmin(np.append(lengths[at:] == size, False)))
+                end = min(same, at + block - taken)
+                held.append((flat[starts[at] : starts[end]].reshape(-1, size), ids[at:end]))
+                at, taken = end, taken + end - at
+        if held:
+            yield tree()
+
+    rows = vectors.distinct().coalesce(blocks).select("vec_id", "vector", F.size("vector").alias("size"))
+    return rows.sortWithinPartitions("size", "vec_id", "vector").select("vec_id", "vector").mapInArrow(build, "number int, tree binary")
+
+
+def layout(n: int, q: int, held: int, parallel: int) -> tuple[int, int]:
+    """Into how many groups the query blocks and the data blocks are dealt. A task searches a group of the one in a group of the other.
+
+    ``held``: bytes of all query blocks and their results; ``parallel``: tasks that run at once. Every data block is copied
+    for each group of query blocks and the other way round, so the groups are few and large, as far as a task's memory allows.
+    """
+    wide = min(q, max(1, -(-held // HELD)))
+    fair = max(int(COPIES * n / q), -(-3 * parallel // wide))
+    return wide, max(1, min(n, -(-n * q // (PAIRS * wide)), fair, TASKS // wide))
 
 
 def top_k(vectors: DataFrame, k: int = 5, every: int = 50, block: int = BLOCK) -> DataFrame:
@@ -192,35 +376,61 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, block: int = BLOCK) -
     The score is the integer inner product of floor(256 * x). Ties go to the smaller vec_id. Rows are spread over
     blocks by hash, each block is indexed by a cover tree once, and so are the queries. Every pair of a query block and a
     data block is searched by both trees together: a pair of nodes is dropped when its bound, from the centres and
-    covering radii, is below the worst k-th score in the query group. The blocks' results are merged by rank.
+    covering radii, is below the worst k-th score in the query group. Where the bounds rule out little, all points are compared
+    by matrix products. A task searches a group of data blocks for a group of query blocks, one tree after the other, with the
+    scores found so far; the number of tasks has a limit. The tasks' results are merged by rank.
 
     Vectors that are null, empty or hold null or non-finite components take no part; vectors of another length are
     no candidates; rows with a null id are none either. Rows that share the query's id count as its own; a query that
     repeats is answered once. Products are exact up to 2 ** 53. With fewer candidates than k all are given; an empty table
     gives an empty result. Other columns don't matter.
     """
-    usable = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), whole(F.col("embedding")).alias("vector"))
-    usable = usable.filter(F.col("vec_id").isNotNull() & (F.size("vector") > 0)).distinct()
-    queries = usable.filter(F.col("vec_id") % every == 0)
-    counts = usable.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("q")).first()
+    rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
+    rows = rows.filter(F.col("vec_id").isNotNull() & (F.size("embedding") > 0))
+    usable = rows.filter(finite(F.col("embedding"))).select("vec_id", whole(F.col("embedding")).alias("vector"))
+    asked = F.col("vec_id") % every == 0
+    # for the layout alone, so that rows which repeat or aren't usable may count
+    size = F.when(asked, F.size("embedding"))
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count(size).alias("q"), F.sum(size).alias("values")).first()
     n, q = max(1, -(-counts["n"] // block)), max(1, -(-counts["q"] // block))
-    data = materialize(_trees(usable, n, "data", LEAF), "vectors")
-    asked = materialize(_trees(queries, q, "query", GROUP), "queries")
+    held = 4 * (counts["values"] or 0) + (16 * k + 64) * counts["q"]
+    wide, tall = layout(n, q, held, vectors.sparkSession.sparkContext.defaultParallelism)
 
     def search(batches):
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-        for batch in batches:
-            for i in range(batch.num_rows):
-                found = Search(CoverTree.from_bytes(batch.column("query_tree")[i].as_py()),
-                               CoverTree.from_bytes(batch.column("data_tree")[i].as_py()), k)
+        cell, searches = None, {}
+
+        def results():
+            for found in (found for same in searches.values() for found in same):
                 real = found.scores.ravel() > NONE
                 columns = [np.repeat(found.q.ids, k)[real], found.ids.ravel()[real], found.scores.ravel()[real]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
+            searches.clear()
 
-    # blocks, not rows, are paired: each data block with every block of the stated queries
-    pairs = asked.withColumn("data", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    pairs = pairs.join(data, ["data", "size"]).repartition(min(n * q, TASKS), "data", "query", "size")
-    pairs = pairs.select("query_tree", "data_tree")
-    found = pairs.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.distinct().withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if batch.column("cell")[i].as_py() != cell:
+                    yield from results()
+                    cell = batch.column("cell")[i].as_py()
+                tree = CoverTree.from_bytes(batch.column("tree")[i].as_py())
+                same = searches.setdefault(tree.points.shape[1], [])
+                if batch.column("data")[i].as_py():
+                    for one in same:
+                        one.meet(tree)
+                else:
+                    same.append(Search(tree, None, k))
+        yield from results()
+        give_back()
+
+    # blocks, not rows, are paired; in a cell the query blocks stand before the data
+    group = F.pmod(F.col("number"), F.lit(wide))
+    queries = _trees(usable.filter(asked), q, block, GROUP).select(
+        F.explode(F.sequence(group, group + (tall - 1) * wide, F.lit(wide))).alias("cell"), F.lit(False).alias("data"), "tree")
+    group = F.pmod(F.col("number"), F.lit(tall)) * wide
+    data = _trees(usable, n, block, LEAF).select(
+        F.explode(F.sequence(group, group + (wide - 1))).alias("cell"), F.lit(True).alias("data"), "tree")
+    cells = queries.unionByName(data).repartitionById(min(wide * tall, TASKS), "cell").sortWithinPartitions("cell", "data")
+    found = cells.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+    # a row that was found for several rows of its query's id has one rank
+    place = F.dense_rank().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score").distinct()

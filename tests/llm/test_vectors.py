@@ -84,3 +84,70 @@ def test_bounds_prune(spark):
     exact[queries.ids[:, None] == data.ids[None]] = -np.inf
     assert (np.sort(exact, 1)[:, :-6:-1] == found.scores).all()
     assert sum(compared) < 0.3 * exact.size
+
+
+def merged(rows, k, every):
+    """As ``expected``, where ids repeat: every row of an id is asked and answers, but a pair of ids and a score counts once."""
+    vectors, out = {(i, tuple(int(np.floor(256 * x)) for x in v)) for i, v in rows}, []
+    for i in {i for i, _ in vectors if i % every == 0}:
+        found = {(-sum(a * b for a, b in zip(v, w)), j) for q, v in vectors if q == i for j, w in vectors if j != i and len(w) == len(v)}
+        out.extend((i, rank + 1, j, -score) for rank, (score, j) in enumerate(sorted(found)[:k]))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [9, 5000])
+def test_repeated_ids(spark, block):
+    rng = random.Random(block)
+    rows = [(i % 70, [rng.randrange(-2, 3) / 256 for _ in range(3 + i % 2)]) for i in range(600)]  # few vectors: many equal scores
+    assert sorted(map(tuple, top_k(frame(spark, rows), k=4, every=5, block=block).collect())) == merged(rows, 4, 5)
+
+
+def test_long_vectors_are_exact(spark):
+    """Products that single floats don't hold, beside those that they do."""
+    rng = random.Random(4)
+    rows = [(i, [float(rng.randrange(-(2**length), 2**length)) / 256 for _ in range(6)]) for i in range(400) for length in [(4, 11, 22)[i % 3]]]
+    assert sorted(map(tuple, top_k(frame(spark, rows), every=10, block=60).collect())) == expected(rows, 5, 10)
+
+
+@given(st.integers(0, 10_000), st.integers(1, 7), st.sampled_from([1, 3, 300]))
+@settings(max_examples=25, deadline=None)
+def test_search_of_many_trees(seed, k, spread):
+    """The trees met one after the other give what all points give at once, whether bounds or products decide."""
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(1, 400, rng.integers(1, 9))
+    centers = rng.integers(-spread * 20, spread * 20 + 1, (5, 4))
+    points = (centers[rng.integers(0, 5, sizes.sum())] + rng.integers(-spread, spread + 1, (sizes.sum(), 4))).astype(float)
+    ids = rng.integers(0, 150, len(points))
+    asked = rng.permutation(len(points))[:90]
+    search = Search(CoverTree.from_bytes(CoverTree(points[asked], ids[asked], cover_tree.GROUP).to_bytes()), None, k)
+    for part in np.split(np.arange(len(points)), np.cumsum(sizes)[:-1]):
+        search.meet(CoverTree.from_bytes(CoverTree(points[part], ids[part]).to_bytes()))
+    for query, own, scores, found in zip(search.q.points.astype(float), search.q.ids, search.scores, search.ids):
+        best = sorted({(-int(s), int(i)) for s, i in zip(points @ query, ids) if i != own})[:k]
+        assert [(-int(s), int(i)) for s, i in zip(scores, found) if s > cover_tree.NONE] == best
+
+
+def test_number_of_tasks_has_a_limit(spark, name):
+    """The driver holds something of every task: many blocks are dealt out to few of them."""
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(300)]
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        found = sorted(map(tuple, top_k(frame(spark, rows), every=10, block=1).collect()))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found == expected(rows, 5, 10)
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup(name) for s in status.getJobInfo(j).stageIds]
+    assert max(s.numTasks for s in stages if s) <= 300  # 9,000 pairs of blocks
+
+
+@pytest.mark.parametrize("rows, every", [(500, 50), (15_000_000, 50), (20_000_000, 50), (20_000_000, 1), (2_000_000_000, 50)])
+def test_layout(rows, every):
+    asked = rows // every
+    n, q, held = -(-rows // 2048), -(-asked // 2048), asked * (4 * 64 + 16 * 5 + 64)
+    wide, tall = cover_tree.layout(n, q, held, 6)
+    assert 1 <= wide <= q and 1 <= tall <= n and wide * tall <= cover_tree.TASKS
+    assert held / wide <= cover_tree.HELD  # what a task holds at once
+    assert wide * tall >= min(12, n * q // cover_tree.PAIRS)
+    assert tall * q <= max(1.5 * n, 18 * q / wide + q)  # copies of the query blocks
