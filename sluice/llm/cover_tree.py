@@ -28,7 +28,7 @@ ROWS = 256
 FIRST = 256
 #: Times k of a query's points that are worth telling the k best from before they are sorted.
 MANY = 32
-#: Most blocks of a data tree's kind that a query block meets without a look at the bounds, where they have ruled nothing out.
+#: Most data blocks in a row that a query block is compared with whole, after bounds that ruled out less than half.
 PAUSE = 63
 #: Bytes of query blocks and their results that a task holds.
 HELD = 96 << 20
